@@ -1,0 +1 @@
+"""Empty on purpose: the work is a daily batch, and no stage of it reads a stream."""

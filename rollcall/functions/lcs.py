@@ -10,7 +10,8 @@ from __future__ import annotations
 
 import numpy as np
 
-CELLS = 1 << 18  # (name, candidate) cells looked at in one go
+CELLS = 1 << 17  # (name, candidate) cells looked at in one go
+PAIRS = 1 << 14  # pairs compared in one go; their bit vectors fit a core's cache
 MASK_BYTES = 1 << 26
 
 
@@ -37,8 +38,8 @@ class Candidates:
         owner, place = _places(self.lens)
         code = np.searchsorted(self.alphabet, points) + 1
         shape = (len(self.alphabet) + 1, len(texts))  # row 0: characters no candidate has
-        self.masks = np.zeros((*shape, self.words), dtype=np.uint64)
-        np.bitwise_or.at(self.masks, (code, owner, place // 64), np.uint64(1) << (place % 64).astype(np.uint64))
+        self.masks = np.zeros((self.words, *shape), dtype=np.uint64)
+        np.bitwise_or.at(self.masks, (place // 64, code, owner), np.uint64(1) << (place % 64).astype(np.uint64))
         small = self.words <= 3  # then no count, and no sum of counts, exceeds 192
         self.counts = np.zeros(shape, dtype=np.uint8 if small else np.int32)
         np.add.at(self.counts, (code, owner), 1)
@@ -53,23 +54,30 @@ class Candidates:
         matrix[_places(lens)] = np.where(known, code + 1, 0)
         return matrix, lens
 
-    def lcs(self, matrix: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        """LCS of each text in ``matrix`` with the candidate at the same place in ``rows``."""
-        state = np.full((self.words, len(rows)), ~np.uint64(0))
-        for step in range(matrix.shape[1]):
-            carry = None
-            for word in range(self.words):
-                v = state[word]
-                hit = v & self.masks[matrix[:, step], rows, word]
-                total = v + hit
-                if self.words > 1:
-                    over = total < v
-                    if carry is not None:
-                        total += carry
-                        over |= total < carry
-                    carry = over.astype(np.uint64)
-                state[word] = total | (v - hit)
-        return np.bitwise_count(~state).sum(axis=0, dtype=np.int64)
+    def lcs(self, matrix: np.ndarray, texts: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """LCS of each pair (row of ``matrix``, candidate) in ``texts`` and ``rows``."""
+        steps = np.ascontiguousarray(matrix.T) * len(self.lens)  # where each character's masks start
+        masks = [word.ravel() for word in self.masks]
+        found = np.empty(len(rows), dtype=np.int64)
+        for at in range(0, len(rows), PAIRS):
+            text, row = texts[at : at + PAIRS], rows[at : at + PAIRS]
+            state = [np.full(len(row), ~np.uint64(0)) for _ in masks]
+            for starts in steps:
+                place, carry = starts[text] + row, None
+                for word, v in enumerate(state):
+                    hit = masks[word][place]
+                    hit &= v
+                    total = v + hit
+                    if self.words > 1:
+                        over = total < v
+                        if carry is not None:
+                            total += carry
+                            over |= total < carry
+                        carry = over.astype(np.uint64)
+                    v ^= hit  # takes the hits out: they are all set in v
+                    v |= total
+            found[at : at + PAIRS] = sum(np.bitwise_count(~v).astype(np.int64) for v in state)
+        return found
 
     def common(self, matrix: np.ndarray) -> np.ndarray:
         """Characters each text shares with each candidate, order ignored: LCS is never more."""
@@ -83,24 +91,36 @@ class Candidates:
 
 
 def _share(common, total):
-    return np.divide(200.0 * common, total, out=np.zeros(np.shape(total)), where=total > 0)
+    return 200.0 * common / np.maximum(total, 1)
+
+
+def _batches(lens: np.ndarray, most: int):
+    """Text numbers, alike in length, in batches of bounded count and bounded matrix size."""
+    order = np.argsort(lens, kind="stable")
+    at = 0
+    while at < len(order):
+        size = min(most, len(order) - at)
+        while size > 1 and size * int(lens[order[at + size - 1]]) > 8 * CELLS:
+            size //= 2
+        yield order[at : at + size]
+        at += size
 
 
 def pair_similarity(left, right) -> np.ndarray:
     """Similarity (0 to 100, not rounded) of the texts at the same places."""
     out = np.zeros(len(left))
-    order = np.argsort(np.fromiter((max(len(a), len(b)) for a, b in zip(left, right)), np.int64, len(left)))
-    for part in np.array_split(order, max(1, -(-len(order) // 4096))):
-        part = part[[bool(left[i]) and bool(right[i]) for i in part]] if len(part) else part
-        if not len(part):
-            continue
-        texts, rows = np.unique(np.array([right[i] for i in part], dtype=object), return_inverse=True)
-        for piece in _pieces(list(texts)):
-            here = np.flatnonzero((rows >= piece[0]) & (rows <= piece[-1]))
-            cand = Candidates([texts[i] for i in piece])
-            matrix, lens = cand.encode([left[i] for i in part[here]])
-            local = rows[here] - piece[0]
-            out[part[here]] = _share(cand.lcs(matrix, local), lens + cand.lens[local])
+    longest = np.array([max(len(a), len(b)) for a, b in zip(left, right)], dtype=np.int64)
+    for batch in _batches(longest, 4096):
+        texts = sorted({right[i] for i in batch}, key=len)
+        place = {text: i for i, text in enumerate(texts)}
+        row = np.array([place[right[i]] for i in batch])
+        for run in _pieces(texts):
+            here = np.flatnonzero((row >= run.start) & (row < run.stop))
+            cand = Candidates(texts[run.start : run.stop])
+            matrix, lens = cand.encode([left[i] for i in batch[here]])
+            local = row[here] - run.start
+            total = lens + cand.lens[local]
+            out[batch[here]] = _share(cand.lcs(matrix, np.arange(len(here)), local), total)
     return out
 
 
@@ -138,10 +158,9 @@ class BestMatch:
         """Per text: row of the best candidate (-1: none reaches ``floor``) and its similarity."""
         score = np.full(len(texts), -1.0) if floor is None else np.array(floor, dtype=float)
         row = np.full(len(texts), -1, dtype=np.int64)
-        by_length = np.argsort([len(t) for t in texts], kind="stable")
-        step = max(1, CELLS // max((c.counts.shape[1] for _, c in self.parts), default=1))
-        for at in range(0, len(texts), step):
-            batch = by_length[at : at + step]
+        lens = np.array([len(t) for t in texts], dtype=np.int64)
+        most = max(1, CELLS // max((len(c.lens) for _, c in self.parts), default=1))
+        for batch in _batches(lens, most):
             for start, cand in self.parts:
                 self._visit(cand, start, [texts[i] for i in batch], batch, score, row)
         return np.where(row < 0, -1, self.pick[row]), score
@@ -161,19 +180,21 @@ class BestMatch:
             else:
                 bound[names, first] = -1.0
                 left, right = np.nonzero(bound >= np.maximum(score[batch], 0.0)[:, None])
-            for at in range(0, len(left), CELLS):
-                a, b = left[at : at + CELLS], right[at : at + CELLS]
-                found = _share(cand.lcs(matrix[a], b), total[a, b])
-                self._keep_best(batch[a], b + start, found, score, row)
-
-    def _keep_best(self, name, cand_row, found, score, row):
-        if not len(name):
-            return
-        order = np.lexsort((self.ords[cand_row], -found, name))
-        name, cand_row, found = name[order], cand_row[order], found[order]
-        lead = np.r_[True, name[1:] != name[:-1]]
-        name, cand_row, found = name[lead], cand_row[lead], found[lead]
+            if len(left):
+                found = _share(cand.lcs(matrix, left, right), total[left, right])
+                self._keep_best(batch, left, right + start, found, score, row)
+
+    def _keep_best(self, batch, left, cand_row, found, score, row):
+        """``left`` comes in ascending order: one run of pairs per text."""
+        begin = np.flatnonzero(np.r_[True, left[1:] != left[:-1]])
+        top = np.maximum.reduceat(found, begin)
+        size = np.diff(np.r_[begin, len(left)])
+        last = np.iinfo(np.int64).max
+        ords = np.where(found == np.repeat(top, size), self.ords[cand_row], last)
+        low = np.minimum.reduceat(ords, begin)
+        winner = np.flatnonzero(ords == np.repeat(low, size))
+        name, best = batch[left[begin]], cand_row[winner]
         held = row[name]
-        tie = (found == score[name]) & ((held < 0) | (self.ords[cand_row] < self.ords[held]))
-        win = (found > score[name]) | tie
-        score[name[win]], row[name[win]] = found[win], cand_row[win]
+        tie = (top == score[name]) & ((held < 0) | (low < self.ords[held]))
+        win = (top > score[name]) | tie
+        score[name[win]], row[name[win]] = top[win], best[win]

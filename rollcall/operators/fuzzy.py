@@ -16,11 +16,13 @@ each task returns at most one row per key.
 from __future__ import annotations
 
 import math
+import sys
 
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from rollcall.functions import lcs
 from rollcall.functions.text import token_key
@@ -28,7 +30,8 @@ from rollcall.operators.dictionary import candidate_keys
 from rollcall.operators.skew import measure
 from rollcall.session import cut_lineage
 
-cloudpickle.register_pickle_by_value(lcs)  # executors need no copy of this package
+for module in (lcs, sys.modules[__name__]):  # executors need no copy of this package
+    cloudpickle.register_pickle_by_value(module)
 
 SMALL_ROWS = 50_000
 SMALL_BYTES = 8 << 20
@@ -47,7 +50,7 @@ def similarity(left: Column, right: Column) -> Column:
     return _pair_similarity(token_key(left), token_key(right))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def _pair_similarity(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series(lcs.pair_similarity(left.tolist(), right.tolist()))
 

@@ -73,18 +73,23 @@ def resolve(
     return hits.unionByName(back.drop("key"))
 
 
-def master(resolved: DataFrame, name: str = "name", group: str = "league") -> DataFrame:
-    """The four columns of the master table."""
+def master(
+    resolved: DataFrame, name: str = "name", group: str = "league", keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """The four columns of the master table, and those in ``keep``."""
     return resolved.select(
-        F.col(name).alias("raw_name"), "standard_name", F.col(group).alias("league"), "match_confidence"
+        F.col(name).alias("raw_name"), "standard_name", F.col(group).alias("league"), "match_confidence", *keep
     )
 
 
-def review(resolved: DataFrame, name: str = "name", group: str = "league", below: int = 100) -> DataFrame:
+def review(
+    resolved: DataFrame, name: str = "name", group: str = "league", below: int = 100, keep: tuple[str, ...] = ()
+) -> DataFrame:
     """Rows to look at by hand: every score under 100, the UNKNOWN ones included."""
     return resolved.filter(F.col("match_confidence") < below).select(
         F.col(name).alias("raw_input"),
         F.col("standard_name").alias("guessed_name"),
         F.col("match_confidence").alias("confidence_score"),
         F.col(group).alias("league"),
+        *keep,
     )

@@ -46,7 +46,7 @@ def join_lookup(
     hot = F.broadcast(hot_keys(counts, key, hot_rows))
     salt = F.pmod(F.xxhash64(*spread), F.coalesce("fan", F.lit(1)))
     salted = rows.join(hot, F.xxhash64(key) == F.col("hot"), "left").withColumn("salt", salt).drop("hot", "fan")
-    copies = F.explode(F.sequence(F.lit(0), F.coalesce("fan", F.lit(1)) - 1)).cast("long")
+    copies = F.explode(F.sequence(F.lit(0), F.coalesce("fan", F.lit(1)) - 1).cast("array<bigint>"))
     copied = (
         lookup.join(hot, F.xxhash64(key) == F.col("hot"), "left").withColumn("salt", copies).drop("hot", "fan")
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from rollcall.operators.names import clean_feed, probe_longer
 from rollcall.operators.ranking import gold_ranking
@@ -21,7 +22,8 @@ def bronze(pages: DataFrame, group: str, ord: str, html: str = "html", probe=pro
     probed = probed_column(pages, html, probe, [group, ord])
     cells = column_names(probed, [group, ord], "cell", "_row")
     # 2^24 rows in a table, 2^39 pages in a group
-    placed = cells.selectExpr(f"`{group}`", f"shiftleft(`{ord}`, 24) + _row AS ord", "cell")
+    place = F.shiftleft(F.col(ord).cast("long"), 24) + F.col("_row")
+    placed = cells.select(group, place.alias("ord"), "cell")
     return clean_feed(placed, group, "ord", limit)
 
 
@@ -37,8 +39,9 @@ def run(
     """Run and store every stage under ``base``; a failing stage raises and the later ones do not run."""
     names = write_layer(bronze(pages, group, ord), f"{base}/bronze/names")
     silver = write_layer(resolve(names, dictionary, **options), f"{base}/silver/master")
-    export_csv(master(silver, group=group), f"{base}/silver/master_csv")
-    export_if_any(review(silver, group=group), f"{base}/silver/review_csv")
+    arrival = {"order": ("league", "first_ord"), "drop": ("first_ord",)}
+    export_csv(master(silver, group=group, keep=("first_ord",)), f"{base}/silver/master_csv", **arrival)
+    export_if_any(review(silver, group=group, keep=("first_ord",)), f"{base}/silver/review_csv", **arrival)
     gold = gold_ranking(silver, season, group, "first_ord")
-    snapshot = export_snapshot(gold, f"{base}/gold", "ranking", as_of)
+    snapshot = export_snapshot(gold, f"{base}/gold", "ranking", as_of, order=("League", "Positions"))
     return {"bronze": f"{base}/bronze/names", "silver": f"{base}/silver/master", "gold": snapshot}

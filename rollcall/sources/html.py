@@ -13,6 +13,8 @@ from html.entities import name2codepoint
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rollcall.functions.text import strip
+
 # Two control characters that HTML does not allow: "cell starts" and "its content starts".
 CELL, BODY = "\x01", "\x02"
 ENTITY = r"(?s)^(#\d{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});(.*)\z"
@@ -24,10 +26,10 @@ def unescape(text: Column) -> Column:
     named = F.create_map(*(F.lit(v) for name, point in name2codepoint.items() for v in (name, chr(point))))
 
     def numeric(ref: Column) -> Column:
-        hexed = F.when(ref.rlike("^#[xX]"), F.substring(ref, 3, 6)).otherwise(
-            F.hex(F.substring(ref, 2, 7).try_cast("bigint"))
-        )
-        return F.decode(F.unhex(F.lpad(hexed, 8, "0")), F.lit("UTF-32"))
+        hexed = F.conv(F.substring(ref, 3, 6), 16, 10)
+        point = F.when(ref.rlike("^#[xX]"), hexed).otherwise(F.substring(ref, 2, 7)).try_cast("bigint")
+        known = point.between(1, 0xD7FF) | point.between(0xE000, 0x10FFFF)
+        return F.decode(F.unhex(F.lpad(F.hex(F.when(known, point).otherwise(F.lit(0xFFFD))), 8, "0")), "UTF-32")
 
     def decoded(piece: Column) -> Column:
         ref = F.regexp_extract(piece, ENTITY, 1)
@@ -44,7 +46,7 @@ def unescape(text: Column) -> Column:
 def cell_text(content: Column) -> Column:
     """Text of a cell: markup dropped, references decoded, line breaks and runs of spaces to one space."""
     bare = F.regexp_replace(F.regexp_replace(content, r"(?i)<br\b[^>]*>", "\n"), "<[^>]*>", "")
-    return F.trim(F.regexp_replace(unescape(bare), r"(?U)[\r\n]+|\s{2,}", " "))
+    return F.regexp_replace(strip(unescape(bare)), r"(?U)[\r\n]+|\s{2,}", " ")
 
 
 def tables(html: Column) -> Column:

@@ -23,25 +23,25 @@ def write_layer(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def export_csv(df: DataFrame, path: str, order: list[str] | None = None) -> None:
-    """Replace the CSV export at ``path``; ``order`` columns set the row order and are not written."""
+def export_csv(df: DataFrame, path: str, order: tuple[str, ...] = (), drop: tuple[str, ...] = ()) -> None:
+    """Replace the CSV export at ``path``, rows in ``order``, without the ``drop`` columns."""
     if order:
-        df = df.orderBy(*order).drop(*order)
-    df.write.mode("overwrite").options(**CSV).csv(path)
+        df = df.orderBy(*order)
+    df.drop(*drop).write.mode("overwrite").options(**CSV).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).options(**CSV, multiLine="true").csv(path)
 
 
-def export_if_any(df: DataFrame, path: str, clear_when_empty: bool = False) -> bool:
+def export_if_any(df: DataFrame, path: str, clear_when_empty: bool = False, **layout) -> bool:
     """Replace the export only when there are rows: an earlier one stays otherwise.
 
     ``clear_when_empty`` replaces it by an empty one instead.
     """
     some = not df.isEmpty()
     if some or clear_when_empty:
-        export_csv(df, path)
+        export_csv(df, path, **layout)
     return some
 
 
@@ -49,16 +49,16 @@ def snapshot_path(base: str, prefix: str, as_of: datetime) -> str:
     return f"{base.rstrip('/')}/{prefix}_{as_of:%d%m%Y_%H%M}.csv"
 
 
-def export_snapshot(df: DataFrame, base: str, prefix: str, as_of: datetime, order: list[str] | None = None) -> str:
+def export_snapshot(df: DataFrame, base: str, prefix: str, as_of: datetime, **layout) -> str:
     """Write a CSV snapshot named after ``as_of``; only one of the same minute is replaced."""
     path = snapshot_path(base, prefix, as_of)
-    export_csv(df, path, order)
+    export_csv(df, path, **layout)
     return path
 
 
-def land_raw(docs: DataFrame, path: str, body: str = "body") -> None:
+def land_raw(docs: DataFrame, path: str) -> None:
     """Store documents as they came; nothing parses them."""
-    docs.select(F.col(body).alias("body")).write.mode("overwrite").parquet(path)
+    docs.write.mode("overwrite").parquet(path)
 
 
 def write_feed(documents: DataFrame, path: str, part: str = "part") -> None:

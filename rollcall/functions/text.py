@@ -8,20 +8,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _digit_class() -> str:
-    """Regex class body for every character ``str.isdigit`` accepts.
-
-    ``\\p{Nd}`` covers the decimal digits; the rest (superscripts, circled
-    digits and the like) is listed by testing every code point once.
-    """
-    extra = [c for c in map(chr, range(sys.maxunicode + 1)) if c.isdigit() and not c.isdecimal()]
-    return r"\p{Nd}" + "".join(extra)
-
-
-DIGITS = f"[{_digit_class()}]+"
-# White space as str.strip sees it: Unicode's own plus four ASCII separators.
-SPACE = r"[\s\x1c-\x1f]"
-EDGES = rf"(?U)^{SPACE}+|{SPACE}+\z"
+# Every character str.isdigit and str.isspace accept, found by asking for each code point.
+DIGITS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isdigit())
+SPACES = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isspace())
 
 
 def head_before(text: Column, marker: str) -> Column:
@@ -31,12 +20,12 @@ def head_before(text: Column, marker: str) -> Column:
 
 def drop_digits(text: Column) -> Column:
     """Remove every digit, wherever it stands."""
-    return F.regexp_replace(text, DIGITS, "")
+    return F.translate(text, DIGITS, "")
 
 
 def strip(text: Column) -> Column:
     """Remove Unicode white space at both ends."""
-    return F.regexp_replace(text, EDGES, "")
+    return F.btrim(text, F.lit(SPACES))
 
 
 def clean_cell(cell: Column, marker: str = "Form:") -> Column:

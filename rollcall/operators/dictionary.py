@@ -2,12 +2,43 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.functions.text import token_key
 
 
+BROADCAST_BYTES = 32 << 20
+ROW_BYTES = 32  # what a broadcast row costs beside its texts
+
+
+class DictionarySize(NamedTuple):
+    """Counted by one aggregate over the dictionary; upper bounds for what is derived from it."""
+
+    names: int
+    name_bytes: int
+    aliases: int
+    alias_bytes: int  # each alias with its canonical name
+
+    def aliases_fit(self, limit: int = BROADCAST_BYTES) -> bool:
+        return self.alias_bytes + ROW_BYTES * self.aliases <= limit
+
+
+def dictionary_size(dictionary: DataFrame) -> DictionarySize:
+    name = F.octet_length("standard_name").cast("long")
+    listed = F.size(F.coalesce("aliases", F.array().cast("array<string>"))).cast("long")
+    texts = F.coalesce(F.octet_length(F.array_join("aliases", "")), F.lit(0))
+    counted = dictionary.agg(
+        F.count(F.lit(1)),
+        F.coalesce(F.sum(name), F.lit(0)),
+        F.coalesce(F.sum(listed), F.lit(0)),
+        F.coalesce(F.sum(texts + listed * name), F.lit(0)),
+    )
+    return DictionarySize(*counted.first())
+
+
 def flatten_aliases(dictionary: DataFrame) -> DataFrame:
     """``(alias, standard_name)``, one row per alias; the last entry that names an alias owns it."""
     listed = dictionary.select("ord", "standard_name", F.posexplode("aliases").alias("pos", "alias"))

@@ -26,8 +26,7 @@ from pyspark.sql.types import DoubleType
 
 from rollcall.functions import lcs
 from rollcall.functions.text import token_key
-from rollcall.operators.dictionary import candidate_keys
-from rollcall.operators.skew import measure
+from rollcall.operators.dictionary import DictionarySize, candidate_keys, dictionary_size
 from rollcall.session import cut_lineage
 
 for module in (lcs, sys.modules[__name__]):  # executors need no copy of this package
@@ -66,17 +65,22 @@ def gate(best: Column, score: Column, above: int = GATE) -> Column:
 
 
 def best_match(
-    keys: DataFrame, dictionary: DataFrame, small_rows: int = SMALL_ROWS, small_bytes: int = SMALL_BYTES, **blocks
+    keys: DataFrame,
+    dictionary: DataFrame,
+    size: DictionarySize | None = None,
+    small_rows: int = SMALL_ROWS,
+    small_bytes: int = SMALL_BYTES,
+    **blocks,
 ) -> DataFrame:
     """``keys`` (unique, non-null ``key``; further columns are kept) plus ``best`` and ``sim``.
 
     Of equally similar candidates the one with the smaller ``ord`` is best.
     """
+    size = size or dictionary_size(dictionary)
     candidates = candidate_keys(dictionary)
-    rows, size = measure(candidates, "cand_key", "standard_name")
-    if not rows:
+    if not size.names:
         return keys.withColumn("best", F.lit(None).cast("string")).withColumn("sim", F.lit(0.0))
-    if rows <= small_rows and size <= small_bytes:
+    if size.names <= small_rows and size.name_bytes <= small_bytes:
         return _stream(keys, candidates)
     return _blocks(keys, candidates, **blocks)
 
@@ -93,11 +97,12 @@ def _stream(keys: DataFrame, candidates: DataFrame) -> DataFrame:
             row, sim = index.find(batch["key"].tolist())
             yield batch.assign(best=names[row], sim=sim)
 
-    # Keys are few bytes but much work: left alone, adaptive execution would merge
-    # them into few tasks. More candidates, more tasks.
+    # Keys are few bytes but much work: left alone, adaptive execution would merge them
+    # into few tasks (as it does with a repartition by the key itself, which the keys
+    # already have). More candidates, more tasks.
     tasks = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions")) * max(1, len(held) // TASK_CANDIDATES)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keys.schema.fields)
-    return keys.repartition(tasks, "key").mapInPandas(run, schema + ", best string, sim double")
+    return keys.repartition(tasks, F.xxhash64("key")).mapInPandas(run, schema + ", best string, sim double")
 
 
 def _band(length: Column) -> Column:

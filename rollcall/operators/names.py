@@ -17,11 +17,16 @@ def clean_names(
     stop: tuple[str, ...] = ("Team", "nan"),
     out: str = "name",
 ) -> DataFrame:
-    """Replace ``cell`` by the bare name; rows without a usable name go."""
-    named = cells.withColumn(out, clean_cell(F.col(cell), marker))
-    if out != cell:
-        named = named.drop(cell)
-    return named.filter(usable_name(F.col(out), longer_than, stop))
+    """Replace ``cell`` by the bare name; rows without a usable name go.
+
+    Name and test share one pass: as a filter over a computed column, Spark would
+    work the name out once for each mention in the test and again for the output.
+    """
+    usable = F.filter(
+        F.array(clean_cell(F.col(cell), marker)), lambda name: usable_name(name, longer_than, stop)
+    )
+    kept = [F.col(f"`{c}`") for c in cells.columns if c not in (cell, out)]
+    return cells.select(*kept, F.explode(usable).alias(out))
 
 
 def dedup_ordered(names: DataFrame, group: str = "league", name: str = "name", ord: str = "ord") -> DataFrame:

@@ -6,16 +6,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.functions.text import token_key
-from rollcall.operators.dictionary import flatten_aliases
+from rollcall.operators.dictionary import BROADCAST_BYTES, DictionarySize, dictionary_size, flatten_aliases
 from rollcall.operators.fuzzy import GATE, best_match, gate, score
-from rollcall.operators.skew import BROADCAST_BYTES, HOT_ROWS, fits_broadcast, join_lookup
+from rollcall.operators.skew import HOT_ROWS, join_lookup
 
 
 def match_exact(
     rows: DataFrame,
-    aliases: DataFrame,
+    dictionary: DataFrame,
     name: str = "name",
-    limit: int = BROADCAST_BYTES,
+    size: DictionarySize | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """``rows`` plus ``standard_name`` and ``score`` 100 where the name is an alias; NULL elsewhere.
@@ -24,8 +25,11 @@ def match_exact(
     Beyond that each distinct name is looked up once, and the answer joined back
     with the rows of a hot name spread over many tasks.
     """
+    rows = rows.filter(F.col(name).isNotNull())
+    aliases = flatten_aliases(dictionary)
+    size = size or dictionary_size(dictionary)
     kept = [F.col(f"`{c}`") for c in rows.columns]
-    if fits_broadcast(aliases, "alias", "standard_name", limit=limit):
+    if size.aliases_fit(broadcast_bytes):
         tagged = rows.join(F.broadcast(aliases), F.col(name) == F.col("alias"), "left")
     else:
         names = rows.groupBy(F.col(name)).agg(F.count(F.lit(1)).alias("n"))
@@ -55,15 +59,15 @@ def resolve(
     keys, which are compared, and once to bring the answers back. ``rows`` is read
     for each branch, so pass a stored layer rather than a long computation.
     """
-    named = rows.filter(F.col(name).isNotNull())
-    tagged = match_exact(named, flatten_aliases(dictionary), name, broadcast_bytes, hot_rows)
+    size = dictionary_size(dictionary)
+    tagged = match_exact(rows, dictionary, name, size, broadcast_bytes, hot_rows)
     kept = [F.col(f"`{c}`") for c in rows.columns]
     hits = tagged.filter(F.col("score").isNotNull()).select(
         *kept, "standard_name", F.col("score").alias("match_confidence")
     )
     missed = tagged.filter(F.col("score").isNull()).select(*kept)
     keys = missed_keys(missed, name)
-    found = best_match(keys, dictionary, **match)
+    found = best_match(keys, dictionary, size, **match)
     confidence = score(F.col("sim"))
     answers = found.select(
         "key", gate(F.col("best"), confidence, above).alias("standard_name"), confidence.alias("match_confidence")

@@ -1,24 +1,11 @@
-"""Size checks before a broadcast, and joins that spread a hot key."""
+"""Joins that spread a hot key."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_BYTES = 32 << 20
 HOT_ROWS = 10_000_000
-ROW_OVERHEAD = 32  # bytes a broadcast row costs beside its texts
-
-
-def measure(df: DataFrame, *texts: str) -> tuple[int, int]:
-    """Rows of ``df`` and the bytes of its text columns, counted by one aggregate."""
-    size = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in texts), F.lit(ROW_OVERHEAD))
-    rows, size = df.agg(F.count(F.lit(1)), F.sum(size.cast("long"))).first()
-    return rows, size or 0
-
-
-def fits_broadcast(df: DataFrame, *texts: str, limit: int = BROADCAST_BYTES) -> bool:
-    return measure(df, *texts)[1] <= limit
 
 
 def hot_keys(counts: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:

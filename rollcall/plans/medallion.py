@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from rollcall.operators.names import clean_feed, probe_longer
 from rollcall.operators.ranking import gold_ranking
 from rollcall.operators.resolve import master, resolve, review
+from rollcall.session import cut_lineage
 from rollcall.sources.html import column_names, probed_column
 from rollcall.sources.sinks import export_csv, export_if_any, export_snapshot, write_layer
 
@@ -28,9 +29,10 @@ def bronze(pages: DataFrame, group: str, ord: str, html: str = "html", probe=pro
 
 
 def medallion(pages: DataFrame, dictionary: DataFrame, group: str, ord: str, season: int, **options) -> DataFrame:
-    """The ranking, without storing the layers in between."""
-    names = bronze(pages, group, ord)
-    return gold_ranking(resolve(names, dictionary, **options), season, group, "first_ord")
+    """The ranking; the layers in between are stored once in the shared scratch folder."""
+    names = cut_lineage(bronze(pages, group, ord))
+    silver = cut_lineage(resolve(names, dictionary, **options))
+    return gold_ranking(silver, season, group, "first_ord")
 
 
 def run(

@@ -18,6 +18,7 @@ def build_session(app: str = "rollcall", master: str | None = None, conf: dict[s
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         **(conf or {}),
     }
     for key, value in settings.items():

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rollcall.sources.inline import inline_table
+
 FEED = "map<string,array<string>>"
 
 
@@ -50,8 +53,8 @@ def slug_of(url: Column) -> Column:
 
 def tag_groups(feeds: DataFrame, slugs: dict[str, str], url: str = "url") -> DataFrame:
     """Add ``slug`` and ``formal_name``; feeds of no listed group go. One frame holds all groups' feeds."""
-    spark = feeds.sparkSession
-    listed = spark.createDataFrame(list(slugs.items()), "slug string, formal_name string")
+    columns = {"slug": pa.string(), "formal_name": pa.string()}
+    listed = inline_table(feeds.sparkSession, columns, list(slugs.items()))
     return feeds.withColumn("slug", slug_of(F.col(url))).join(F.broadcast(listed), "slug")
 
 

@@ -8,6 +8,7 @@ and of nested tables the outer one ends where the first inner one does.
 
 from __future__ import annotations
 
+import json
 from html.entities import name2codepoint
 
 from pyspark.sql import Column, DataFrame
@@ -15,32 +16,50 @@ from pyspark.sql import functions as F
 
 from rollcall.functions.text import strip
 
-# Two control characters that HTML does not allow: "cell starts" and "its content starts".
-CELL, BODY = "\x01", "\x02"
-ENTITY = r"(?s)^(#\d{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});(.*)\z"
+# Control characters that HTML does not allow: "row or cell starts" and "its content starts".
+START, BODY = "\x01", "\x02"
+ROW = r"(?i)<tr\b[^>]*>"
+THEAD = r"(?is)<thead\b[^>]*>(.*?)(?:</thead\s*>|<tbody\b[^>]*>|\z)"
+ENTITY = r"^(#\d{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
 SPAN = r"(?i)colspan\s*=\s*[\"']?(\d{1,4})"
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once, also inside a lambda."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _rest(pieces: Column) -> Column:
+    """All pieces but the first."""
+    return F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0)))
+
+
 def unescape(text: Column) -> Column:
     """Decode character references, numeric and named, in one pass."""
-    named = F.create_map(*(F.lit(v) for name, point in name2codepoint.items() for v in (name, chr(point))))
+    names = json.dumps({name: chr(point) for name, point in name2codepoint.items()})
+    named = F.from_json(F.lit(names), "map<string,string>")
 
     def numeric(ref: Column) -> Column:
         hexed = F.conv(F.substring(ref, 3, 6), 16, 10)
         point = F.when(ref.rlike("^#[xX]"), hexed).otherwise(F.substring(ref, 2, 7)).try_cast("bigint")
-        known = point.between(1, 0xD7FF) | point.between(0xE000, 0x10FFFF)
-        return F.decode(F.unhex(F.lpad(F.hex(F.when(known, point).otherwise(F.lit(0xFFFD))), 8, "0")), "UTF-32")
+        known = lambda p: p.between(1, 0xD7FF) | p.between(0xE000, 0x10FFFF)
+        point = _let(point, lambda p: F.when(known(p), p).otherwise(F.lit(0xFFFD)))
+        return F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")
 
     def decoded(piece: Column) -> Column:
-        ref = F.regexp_extract(piece, ENTITY, 1)
-        char = F.when(ref.startswith("#"), numeric(ref)).otherwise(F.try_element_at(named, ref))
-        return F.when((ref != "") & char.isNotNull(), F.concat(char, F.regexp_extract(piece, ENTITY, 2))).otherwise(
-            F.concat(F.lit("&"), piece)
-        )
+        def char(ref: Column) -> Column:
+            return F.when(ref.startswith("#"), numeric(ref)).when(ref != "", F.try_element_at(named, ref))
+
+        def joined(ref: Column) -> Column:
+            tail = F.substr(piece, F.length(ref) + 2)
+            return F.coalesce(F.concat(char(ref), tail), F.concat(F.lit("&"), piece))
+
+        return _let(F.regexp_extract(piece, ENTITY, 1), joined)
 
-    pieces = F.split(text, "&")
-    rest = F.transform(F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0))), decoded)
-    return F.when(text.contains("&"), F.concat(F.get(pieces, F.lit(0)), F.array_join(rest, ""))).otherwise(text)
+    def spliced(pieces: Column) -> Column:
+        return F.concat(F.get(pieces, F.lit(0)), F.array_join(F.transform(_rest(pieces), decoded), ""))
+
+    return _let(text, lambda t: F.when(t.contains("&"), _let(F.split(t, "&"), spliced)).otherwise(t))
 
 
 def cell_text(content: Column) -> Column:
@@ -57,26 +76,18 @@ def tables(html: Column) -> Column:
     )
 
 
-def _after_each(text: Column, tag: str) -> Column:
-    pieces = F.split(F.regexp_replace(text, tag, CELL), CELL)
-    return F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0)))
-
-
-def _row(text: Column) -> Column:
-    """One row's text -> ``struct(head: every cell is a th, cells)``."""
-    marked = F.regexp_replace(text, r"(?i)<t([dh])\b([^>]*)>", f"{CELL}$1$2{BODY}")
-    pieces = F.split(marked, CELL)
-    pieces = F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0)))
-    head = F.forall(pieces, lambda p: F.lower(F.left(p, F.lit(1))) == "h")
+def _cells(row: Column) -> Column:
+    """Texts of the cells of one row."""
 
     def cell(piece: Column) -> Column:
-        content = F.substring_index(piece, BODY, -1)
-        content = F.regexp_replace(content, r"(?is)</t(?:[dhr]|body|foot|head)\b.*\z", "")
-        span = F.regexp_extract(F.substring_index(piece, BODY, 1), SPAN, 1)
-        times = F.coalesce(F.greatest(span.try_cast("int"), F.lit(1)), F.lit(1))
-        return F.array_repeat(cell_text(content), times)
+        content = F.regexp_replace(
+            F.substring_index(piece, BODY, -1), r"(?is)</t(?:[dhr]|body|foot|head)\b.*\z", ""
+        )
+        span = F.regexp_extract(F.substring_index(piece, BODY, 1), SPAN, 1).try_cast("int")
+        return F.array_repeat(cell_text(content), F.greatest(F.coalesce(span, F.lit(1)), F.lit(1)))
 
-    return F.struct(head.alias("head"), F.flatten(F.transform(pieces, cell)).alias("cells"))
+    marked = F.regexp_replace(row, r"(?i)<t[dh]\b([^>]*)>", f"{START}$1{BODY}")
+    return F.flatten(F.transform(_let(F.split(marked, START), _rest), cell))
 
 
 def table_rows(table: Column) -> Column:
@@ -84,26 +95,32 @@ def table_rows(table: Column) -> Column:
 
     Rows in a thead are header rows; without a thead, the leading rows of only th cells are.
     """
-    thead = r"(?is)<thead\b[^>]*>(.*?)(?:</thead\s*>|<tbody\b[^>]*>|\z)"
-    row = r"(?i)<tr\b[^>]*>"
-    in_head = F.transform(_after_each(F.regexp_extract(table, thead, 1), row), _row)
-    in_body = F.transform(_after_each(F.regexp_replace(table, thead, ""), row), _row)
-    in_head = F.transform(in_head, lambda r: r.withField("head", F.lit(True)))
-    flat_body = F.transform(in_body, lambda r: r.withField("head", F.lit(False)))
-    lead = F.aggregate(
-        in_body,
-        F.struct(F.lit(0).alias("n"), F.lit(True).alias("on")),
-        lambda a, r: F.struct((a.n + (a.on & r.head).cast("int")).alias("n"), (a.on & r.head).alias("on")),
-        lambda a: a.n,
+
+    def count_rows(text: Column) -> Column:
+        return F.regexp_count(text, F.lit(ROW))
+
+    def rows(parts: Column) -> Column:
+        texts = _let(F.split(F.regexp_replace(F.concat(parts.thead, parts.rest), ROW, START), START), _rest)
+        in_thead = count_rows(parts.thead)
+        # Rows that start before the first td, but for the one it stands in.
+        all_th = F.when(
+            parts.rest.rlike(r"(?i)<td\b"), count_rows(F.regexp_extract(parts.rest, r"(?is)^(.*?)<td\b", 1)) - 1
+        ).otherwise(count_rows(parts.rest))
+        lead = F.when(in_thead > 0, in_thead).otherwise(all_th)
+        return _let(
+            lead,
+            lambda n: F.transform(texts, lambda row, i: F.struct((i < n).alias("head"), _cells(row).alias("cells"))),
+        )
+
+    parts = F.struct(
+        F.regexp_extract(table, THEAD, 1).alias("thead"), F.regexp_replace(table, THEAD, "").alias("rest")
     )
-    led = F.transform(in_body, lambda r, i: r.withField("head", i < lead))
-    return F.when(F.size(in_head) > 0, F.concat(in_head, flat_body)).otherwise(led)
+    return _let(parts, rows)
 
 
 def first_table_rows(html: Column) -> Column:
     """Rows of the first table; NULL for a page without one."""
-    first = F.get(tables(html), F.lit(0))
-    return F.when(first.isNotNull(), table_rows(first))
+    return _let(F.get(tables(html), F.lit(0)), lambda first: F.when(first.isNotNull(), table_rows(first)))
 
 
 def data_cells(rows: Column) -> Column:
@@ -126,14 +143,17 @@ def table_cells(pages: DataFrame, doc: str, html: str, first_only: bool = False)
 
 
 def probed_column(pages: DataFrame, html: str, probe, keep: list[str]) -> DataFrame:
-    """``keep`` plus ``rows`` (data cells of the first table, NULL without a table) and ``col``, the probed column."""
-    taken = pages.select(*keep, data_cells(first_table_rows(F.col(html))).alias("rows"))
+    """``keep`` plus ``rows`` (data cells of the first table, NULL without a table) and ``col``, the probed column.
+
+    The one-element explode keeps the optimizer from parsing the page again
+    wherever ``rows`` is used.
+    """
+    taken = pages.select(*keep, F.explode(F.array(data_cells(first_table_rows(F.col(html))))).alias("rows"))
     return taken.withColumn("col", probe(F.col("rows")).cast("long"))
 
 
 def column_names(probed: DataFrame, keep: list[str], out: str = "cell", ord: str = "ord") -> DataFrame:
     """Explode only the probed column: ``keep``, the row number in ``ord`` and the cell in ``out``."""
     cells = F.transform("rows", lambda row: F.get(row, F.col("col").cast("int")))
-    return probed.filter(F.col("col").isNotNull()).select(*keep, F.posexplode(cells).alias(ord, out)).withColumn(
-        ord, F.col(ord).cast("long")
-    )
+    listed = probed.select(*keep, F.posexplode(F.when(F.col("col").isNotNull(), cells)).alias(ord, out))
+    return listed.withColumn(ord, F.col(ord).cast("long"))

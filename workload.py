@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +29,7 @@ from rollcall.sources.feeds import (
     tag_groups,
 )
 from rollcall.sources.html import probed_column, table_cells
+from rollcall.sources.inline import inline_table
 from rollcall.sources.sinks import export_csv, export_snapshot, land_raw, read_csv, read_feed, write_feed
 
 SEASON = 2025
@@ -121,7 +123,7 @@ def deduped(spark, sf_dir):
 
 
 def misses(spark, sf_dir):
-    tagged = match_exact(deduped(spark, sf_dir), flatten_aliases(club(spark, sf_dir)))
+    tagged = match_exact(deduped(spark, sf_dir), club(spark, sf_dir))
     return tagged.filter(F.col("score").isNull())
 
 
@@ -172,7 +174,7 @@ def feed_tag_league(spark, sf_dir):
 
 
 def alias_exact(spark, sf_dir):
-    return match_exact(deduped(spark, sf_dir), flatten_aliases(club(spark, sf_dir))).drop("first_ord")
+    return match_exact(deduped(spark, sf_dir), club(spark, sf_dir)).drop("first_ord")
 
 
 def alias_miss(spark, sf_dir):
@@ -216,7 +218,7 @@ def match_gate(spark, sf_dir):
 
 
 def gold(spark, sf_dir):
-    return gold_ranking(silver(spark, sf_dir), SEASON, ord="first_ord")
+    return gold_ranking(cut_lineage(silver(spark, sf_dir)), SEASON, ord="first_ord")
 
 
 def gold_snapshot(spark, sf_dir):
@@ -261,7 +263,7 @@ def bad_feed_quarantine(spark, sf_dir):
     return quarantine(docs, "body", "map<string,string>").drop("body")
 
 
-def inline_table(spark, sf_dir):
+def inline_counts(spark, sf_dir):
     """An inline table of five typed columns, joined to the part counts of its names."""
     rows = [
         ("ECONOMY", "2023/24", 1, 96, 9.8),
@@ -269,9 +271,14 @@ def inline_table(spark, sf_dir):
         ("PROMO", "2023/24", 3, 86, 8.5),
         ("STANDARD", "2023/24", 4, 76, 8.125),
     ]
-    inline = spark.createDataFrame(
-        rows, "team_name string, season string, league_pos int, goals_scored int, success_score_preview double"
-    )
+    columns = {
+        "team_name": pa.string(),
+        "season": pa.string(),
+        "league_pos": pa.int32(),
+        "goals_scored": pa.int32(),
+        "success_score_preview": pa.float64(),
+    }
+    inline = inline_table(spark, columns, rows)
     parts = table(spark, sf_dir, "part").groupBy(F.col("p_type").alias("team_name")).agg(F.count(F.lit(1)).alias("n"))
     return inline.join(parts, "team_name")
 
@@ -320,7 +327,7 @@ QUERIES = {
     "probe_column_len": probe_column_len,
     "probe_column_contains": probe_column_contains,
     "bad_feed_quarantine": bad_feed_quarantine,
-    "inline_table": inline_table,
+    "inline_table": inline_counts,
     "csv_roundtrip": csv_roundtrip,
     "raw_landing": raw_landing,
     "medallion_end_to_end": medallion_end_to_end,

@@ -41,7 +41,7 @@ def unescape(text: Column) -> Column:
 
     def numeric(ref: Column) -> Column:
         hexed = F.conv(F.substring(ref, 3, 6), 16, 10)
-        point = F.when(ref.rlike("^#[xX]"), hexed).otherwise(F.substring(ref, 2, 7)).try_cast("bigint")
+        point = F.when(ref.rlike("^#[xX]"), hexed).otherwise(F.substring(ref, 2, 7)).cast("bigint")
         known = lambda p: p.between(1, 0xD7FF) | p.between(0xE000, 0x10FFFF)
         point = _let(point, lambda p: F.when(known(p), p).otherwise(F.lit(0xFFFD)))
         return F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")
@@ -83,8 +83,11 @@ def _cells(row: Column) -> Column:
         content = F.regexp_replace(
             F.substring_index(piece, BODY, -1), r"(?is)</t(?:[dhr]|body|foot|head)\b.*\z", ""
         )
-        span = F.regexp_extract(F.substring_index(piece, BODY, 1), SPAN, 1).try_cast("int")
-        return F.array_repeat(cell_text(content), F.greatest(F.coalesce(span, F.lit(1)), F.lit(1)))
+        times = _let(
+            F.regexp_extract(F.substring_index(piece, BODY, 1), SPAN, 1),
+            lambda span: F.when(span == "", F.lit(1)).otherwise(F.greatest(span.cast("int"), F.lit(1))),
+        )
+        return F.array_repeat(cell_text(content), times)
 
     marked = F.regexp_replace(row, r"(?i)<t[dh]\b([^>]*)>", f"{START}$1{BODY}")
     return F.flatten(F.transform(_let(F.split(marked, START), _rest), cell))

@@ -18,7 +18,9 @@ from __future__ import annotations
 import math
 import sys
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -87,22 +89,27 @@ def best_match(
 
 def _stream(keys: DataFrame, candidates: DataFrame) -> DataFrame:
     """Every task holds the whole, size-checked dictionary."""
-    held = candidates.orderBy("ord", "standard_name").toPandas()
-    texts = keys.sparkSession.sparkContext.broadcast((held["cand_key"].tolist(), held["standard_name"].to_numpy()))
+    held = candidates.orderBy("ord", "standard_name").toArrow()
+    texts = keys.sparkSession.sparkContext.broadcast(
+        (held["cand_key"].to_pylist(), held["standard_name"].to_pylist())
+    )
 
     def run(batches):
         cand_keys, names = texts.value
         index = lcs.BestMatch(cand_keys, range(len(cand_keys)))
         for batch in batches:
-            row, sim = index.find(batch["key"].tolist())
-            yield batch.assign(best=names[row], sim=sim)
+            row, sim = index.find(batch["key"].to_pylist())
+            best = pa.array([names[r] for r in row], pa.string())
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, best, pa.array(sim)], [*batch.schema.names, "best", "sim"]
+            )
 
     # Keys are few bytes but much work: left alone, adaptive execution would merge them
     # into few tasks (as it does with a repartition by the key itself, which the keys
     # already have). More candidates, more tasks.
     tasks = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions")) * max(1, len(held) // TASK_CANDIDATES)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keys.schema.fields)
-    return keys.repartition(tasks, F.xxhash64("key")).mapInPandas(run, schema + ", best string, sim double")
+    return keys.repartition(tasks, F.xxhash64("key")).mapInArrow(run, schema + ", best string, sim double")
 
 
 def _band(length: Column) -> Column:
@@ -145,7 +152,7 @@ def _blocks(
         return (
             routed.groupBy(*where)
             .cogroup(copied.groupBy(*where))
-            .applyInPandas(_best_in_block, "key string, ord long, best string, sim double")
+            .applyInArrow(_best_in_block, "key string, ord long, best string, sim double")
         )
 
     own = meet(keys.select("key", "band", F.lit(-1.0).alias("floor")))
@@ -154,12 +161,12 @@ def _blocks(
     # 200 * min(c, k) / (c + k) >= s; one band is added at both ends for rounding.
     reach = keys.select("key", "len", "band").join(own.select("key", "sim"), "key", "left")
     floor = F.coalesce("sim", F.lit(-1.0))
-    ratio = F.when(floor > 0, (200 - floor) / floor)
-    low = F.coalesce(_band(F.col("len") / ratio) - 1, F.lit(0))
-    high = F.coalesce(_band(F.col("len") * ratio) + 1, F.lit(last))
+    ratio = (200 - floor) / floor
+    low = F.when(floor > 0, _band(F.col("len") / ratio) - 1).otherwise(0)
+    high = F.when(floor > 0, _band(F.col("len") * ratio) + 1).otherwise(last)
     further = (
         reach.select("key", floor.alias("floor"), F.col("band").alias("own"), low.alias("low"), high.alias("high"))
-        .withColumn("high", F.least("high", F.lit(last)))
+        .withColumns({"low": F.greatest("low", F.lit(0)), "high": F.least("high", F.lit(last))})
         .filter(F.col("low") <= F.col("high"))
         .withColumn("band", F.explode(F.sequence("low", "high")))
         .filter(F.col("band") != F.col("own"))
@@ -176,19 +183,20 @@ def _winner(found: DataFrame) -> DataFrame:
     )
 
 
-def _best_in_block(keys: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
-    if not len(keys) or not len(block):
-        return pd.DataFrame({"key": [], "ord": [], "best": [], "sim": []})
-    block = block.sort_values(["ord", "standard_name"])
-    index = lcs.BestMatch(block["cand_key"].tolist(), range(len(block)))
-    row, sim = index.find(keys["key"].tolist(), keys["floor"].to_numpy())
-    hit = row >= 0
-    won = block.iloc[row[hit]]
-    return pd.DataFrame(
+def _best_in_block(keys: pa.Table, block: pa.Table) -> pa.Table:
+    block = block.sort_by([("ord", "ascending"), ("standard_name", "ascending")])
+    won, sim, names = np.empty(0, int), np.empty(0), []
+    if len(keys) and len(block):
+        index = lcs.BestMatch(block["cand_key"].to_pylist(), range(len(block)))
+        row, sim = index.find(keys["key"].to_pylist(), keys["floor"].to_numpy())
+        hit = row >= 0
+        won, sim, names = row[hit], sim[hit], keys["key"].filter(pa.array(hit))
+    found = block.take(pa.array(won, pa.int64()))
+    return pa.table(
         {
-            "key": keys["key"].to_numpy()[hit],
-            "ord": won["ord"].to_numpy(),
-            "best": won["standard_name"].to_numpy(),
-            "sim": sim[hit],
+            "key": pa.chunked_array([names], pa.string()) if isinstance(names, list) else names,
+            "ord": found["ord"],
+            "best": found["standard_name"],
+            "sim": pa.array(sim, pa.float64()),
         }
     )

@@ -203,9 +203,11 @@ def fuzzy_best(spark, sf_dir):
 
 
 def fuzzy_entities(spark, sf_dir):
-    """Every customer's most similar supplier name."""
+    """Every customer resolved against the suppliers' names, written as customers' are."""
     suppliers = table(spark, sf_dir, "supplier").selectExpr(
-        "s_suppkey AS ord", "s_name AS standard_name", "CAST(array() AS ARRAY<STRING>) AS aliases"
+        "s_suppkey AS ord",
+        "replace(s_name, 'Supplier', 'Customer') AS standard_name",
+        "CAST(array() AS ARRAY<STRING>) AS aliases",
     )
     names = table(spark, sf_dir, "customer").selectExpr("c_custkey", "c_name AS name")
     found = resolve(names, suppliers)

@@ -10,9 +10,10 @@ from __future__ import annotations
 
 import numpy as np
 
-CELLS = 1 << 17  # (name, candidate) cells looked at in one go
+CELLS = 1 << 19  # (name, candidate) cells looked at in one go
 PAIRS = 1 << 14  # pairs compared in one go; their bit vectors fit a core's cache
 MASK_BYTES = 1 << 26
+SLACK = 1e-3
 
 
 def _points(texts) -> tuple[np.ndarray, np.ndarray]:
@@ -161,28 +162,36 @@ class BestMatch:
         lens = np.array([len(t) for t in texts], dtype=np.int64)
         most = max(1, CELLS // max((len(c.lens) for _, c in self.parts), default=1))
         for batch in _batches(lens, most):
-            for start, cand in self.parts:
-                self._visit(cand, start, [texts[i] for i in batch], batch, score, row)
+            near = int(np.median(lens[batch]))
+            for start, cand in sorted(self.parts, key=lambda part: abs(int(np.median(part[1].lens)) - near)):
+                # The closest length bounds the similarity: texts it keeps below their score skip the part.
+                closest = np.clip(lens[batch], cand.lens.min(), cand.lens.max())
+                reach = _share(np.minimum(lens[batch], closest), lens[batch] + closest)
+                left = batch[reach >= score[batch]]
+                if len(left):
+                    self._visit(cand, start, [texts[i] for i in left], left, score, row)
         return np.where(row < 0, -1, self.pick[row]), score
 
     def _visit(self, cand, start, texts, batch, score, row):
         matrix, lens = cand.encode(texts)
-        total = lens[:, None] + cand.lens[None, :]
-        bound = _share(cand.common(matrix), total)
+        # Bounds in single precision, for speed; SLACK exceeds their rounding error.
+        bound = cand.common(matrix).astype(np.float32)
+        bound *= np.float32(200)
+        bound /= np.maximum(lens[:, None].astype(np.float32) + cand.lens.astype(np.float32), np.float32(1))
         # The most promising candidate first: its score thins out the others.
         names = np.arange(len(texts))
         first = bound.argmax(axis=1)
-        for probe in (True, False):
-            if probe:
-                left, right = names, first
-                keep = bound[left, right] >= score[batch]
-                left, right = left[keep], right[keep]
-            else:
-                bound[names, first] = -1.0
-                left, right = np.nonzero(bound >= np.maximum(score[batch], 0.0)[:, None])
-            if len(left):
-                found = _share(cand.lcs(matrix, left, right), total[left, right])
-                self._keep_best(batch, left, right + start, found, score, row)
+        probe = bound[names, first] >= score[batch] - SLACK
+        self._compare(cand, start, matrix, lens, batch, names[probe], first[probe], score, row)
+        bound[names, first] = -1.0
+        floor = np.maximum(score[batch] - SLACK, 0.0).astype(np.float32)
+        left, right = np.nonzero(bound >= floor[:, None])
+        self._compare(cand, start, matrix, lens, batch, left, right, score, row)
+
+    def _compare(self, cand, start, matrix, lens, batch, left, right, score, row):
+        if len(left):
+            found = _share(cand.lcs(matrix, left, right), lens[left] + cand.lens[right])
+            self._keep_best(batch, left, right + start, found, score, row)
 
     def _keep_best(self, batch, left, cand_row, found, score, row):
         """``left`` comes in ascending order: one run of pairs per text."""

@@ -34,8 +34,8 @@ from rollcall.session import cut_lineage
 for module in (lcs, sys.modules[__name__]):  # executors need no copy of this package
     cloudpickle.register_pickle_by_value(module)
 
-SMALL_ROWS = 50_000
-SMALL_BYTES = 8 << 20
+SMALL_ROWS = 5_000
+SMALL_BYTES = 1 << 20
 TASK_CANDIDATES = 1_000
 BLOCK_ROWS = 20_000
 BLOCK_CHARS = 2_000_000

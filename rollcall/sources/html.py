@@ -2,8 +2,8 @@
 
 A page stays one row until its cells are exploded, so taking a table apart, and
 choosing a column of it, needs no shuffle. End tags of rows and cells may be
-missing, as HTML allows. ``colspan`` repeats a cell; ``rowspan`` is not followed,
-and of nested tables the outer one ends where the first inner one does.
+missing, as HTML allows; ``colspan`` and ``rowspan`` repeat a cell. Of nested tables
+the outer one ends where the first inner one does.
 """
 
 from __future__ import annotations
@@ -21,7 +21,9 @@ START, BODY = "\x01", "\x02"
 ROW = r"(?i)<tr\b[^>]*>"
 THEAD = r"(?is)<thead\b[^>]*>(.*?)(?:</thead\s*>|<tbody\b[^>]*>|\z)"
 ENTITY = r"^(#\d{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
-SPAN = r"(?i)colspan\s*=\s*[\"']?(\d{1,4})"
+SPAN = r"(?i)\b%s\s*=\s*[\"']?(\d{1,4})"
+SPANNED = "array<struct<text:string,left:int>>"
+ROWS = "array<struct<head:boolean,cells:array<string>>>"
 
 
 def _let(value: Column, body) -> Column:
@@ -77,22 +79,58 @@ def tables(html: Column) -> Column:
 
 
 def _cells(row: Column) -> Column:
-    """Texts of the cells of one row."""
+    """Cells of one row as ``array<struct<text, left>>``: ``left`` rows to fill, this one included."""
 
     def cell(piece: Column) -> Column:
         content = F.regexp_replace(
             F.substring_index(piece, BODY, -1), r"(?is)</t(?:[dhr]|body|foot|head)\b.*\z", ""
         )
-        times = _let(
-            F.regexp_extract(F.substring_index(piece, BODY, 1), SPAN, 1),
-            lambda span: F.when(span == "", F.lit(1)).otherwise(F.greatest(span.cast("int"), F.lit(1))),
-        )
-        return F.array_repeat(cell_text(content), times)
+
+        def span(kind: str) -> Column:
+            given = F.regexp_extract(F.substring_index(piece, BODY, 1), SPAN % kind, 1)
+            return _let(given, lambda n: F.when(n == "", F.lit(1)).otherwise(F.greatest(n.cast("int"), F.lit(1))))
+
+        spanned = F.struct(cell_text(content).alias("text"), span("rowspan").alias("left"))
+        return F.array_repeat(spanned, span("colspan"))
 
     marked = F.regexp_replace(row, r"(?i)<t[dh]\b([^>]*)>", f"{START}$1{BODY}")
     return F.flatten(F.transform(_let(F.split(marked, START), _rest), cell))
 
 
+def _fill_down(rows: Column) -> Column:
+    """Put cells that span several rows into the rows below them; only tables that have some come here."""
+
+    def add_row(state: Column, row: Column) -> Column:
+        def held_from(place: Column) -> Column:
+            """Cells held from the rows above, from column ``place`` on without a gap."""
+            columns = F.when(place <= F.size(state.open), F.sequence(place, F.size(state.open)))
+            ends = F.filter(columns, lambda i: F.coalesce(F.get(state.open, i).left, F.lit(0)) < 1)
+            return F.slice(state.open, place + 1, F.coalesce(F.array_min(ends) - place, F.lit(0)))
+
+        def put(out: Column, cell: Column) -> Column:
+            return F.concat(out, held_from(F.size(out)), F.array(cell))
+
+        def close(out: Column) -> Column:
+            below = F.slice(state.open, F.size(out) + 1, F.greatest(F.size(state.open) - F.size(out), F.lit(0)))
+            return F.concat(out, F.filter(below, lambda c: c.left > 0))
+
+        filled = F.aggregate(row.cells, F.array().cast(SPANNED), put, close)
+        return _let(
+            filled,
+            lambda cells: F.struct(
+                F.concat(
+                    state.done, F.array(F.struct(row.head.alias("head"), cells.getField("text").alias("cells")))
+                ).alias("done"),
+                F.transform(
+                    cells, lambda c: F.struct(c.text.alias("text"), (c.left - 1).alias("left"))
+                ).alias("open"),
+            ),
+        )
+
+    start = F.struct(F.array().cast(ROWS).alias("done"), F.array().cast(SPANNED).alias("open"))
+    return F.aggregate(rows, start, add_row, lambda state: state.done)
+
+
 def table_rows(table: Column) -> Column:
     """Rows of one table as ``array<struct<head, cells>>``.
 
@@ -110,11 +148,17 @@ def table_rows(table: Column) -> Column:
             parts.rest.rlike(r"(?i)<td\b"), count_rows(F.regexp_extract(parts.rest, r"(?is)^(.*?)<td\b", 1)) - 1
         ).otherwise(count_rows(parts.rest))
         lead = F.when(in_thead > 0, in_thead).otherwise(all_th)
-        return _let(
+        spanned = _let(
             lead,
             lambda n: F.transform(texts, lambda row, i: F.struct((i < n).alias("head"), _cells(row).alias("cells"))),
         )
 
+        def plain(rows: Column) -> Column:
+            return F.transform(rows, lambda r: F.struct(r.head.alias("head"), r.cells.getField("text").alias("cells")))
+
+        tall = lambda rows: F.exists(rows, lambda r: F.exists(r.cells, lambda c: c.left > 1))
+        return _let(spanned, lambda rows: F.when(tall(rows), _fill_down(rows)).otherwise(plain(rows)))
+
     parts = F.struct(
         F.regexp_extract(table, THEAD, 1).alias("thead"), F.regexp_replace(table, THEAD, "").alias("rest")
     )

@@ -30,6 +30,16 @@ PAGES = {
         "<table><tr><td colspan='2'>a</td><td>b</td></tr><tr><td COLSPAN=0>c</td></tr></table>",
         [[False, ["a", "a", "b"]], [False, ["c"]]],
     ),
+    "rowspan": (
+        "<table><tr><td rowspan=3>a</td><td>b</td><td rowspan='2'>c</td></tr><tr><td>d</td></tr>"
+        "<tr><td>e</td><td>f</td></tr><tr><td>g</td></tr></table>",
+        [[False, ["a", "b", "c"]], [False, ["a", "d", "c"]], [False, ["a", "e", "f"]], [False, ["g"]]],
+    ),
+    "rowspan and colspan": (
+        "<table><tr><th rowspan=2>h</th><th>i</th></tr><tr><td colspan=2 rowspan=2>j</td><td>k</td></tr><tr><td>l</td></tr></table>",
+        [[True, ["h", "i"]], [False, ["h", "j", "j", "k"]], [False, ["l", "j", "j"]]],
+    ),
+    "rowspan past the end": ("<table><tr><td rowspan=9>a</td></tr><tr></tr></table>", [[False, ["a"]], [False, ["a"]]]),
     "references": (
         "<table><tr><td>A &amp; B</td><td>&eacute;&#233;&#xE9;&nbsp;</td><td>&amp;lt; &unknown; &#0; 5 & 6;</td></tr></table>",
         [[False, ["A & B", "ééé", "&lt; &unknown; � 5 & 6;"]]],

@@ -127,10 +127,13 @@ ORACLE = {
            FROM deduped QUALIFY rn <= 20""",
     ),
     "names_to_json": ctes(
-        NAMES,
+        [f"feed AS (SELECT CASE WHEN cell = 'Team' THEN 'BLANK' ELSE p_type END AS league, p_partkey AS ord, cell "
+         f"FROM (SELECT *, {NOISE} AS cell FROM part))", CLEANED, DEDUPED],
         """SELECT league, part, '{' || to_json(league) || ':' || to_json(list(name ORDER BY first_ord)) || '}' AS names_json
            FROM (SELECT *, (row_number() OVER (PARTITION BY league ORDER BY first_ord) - 1) // 100 AS part FROM deduped)
-           GROUP BY league, part""",
+           GROUP BY league, part
+           UNION ALL
+           SELECT DISTINCT league, 0, '{' || to_json(league) || ':[]}' FROM feed WHERE league NOT IN (SELECT league FROM deduped)""",
     ),
     "json_feed_roundtrip": ctes(
         NAMES,
@@ -218,6 +221,9 @@ ORACLE = {
     "bad_feed_quarantine": """
         SELECT event_id, 'invalid json' AS reason FROM events
         WHERE NOT json_valid(CASE WHEN event_id % 10 = 0 THEN substr(props, 1, 3) ELSE props END)""",
+    "pages_quarantine": """
+        SELECT page_id, 'no table' AS reason FROM pages
+        WHERE NOT contains(html, '<ul>') OR len(string_split(string_split(html, '</ul>')[1], '<li>')) <= 6""",
     "inline_table": """
         SELECT team_name, season, league_pos::INT AS league_pos, goals_scored::INT AS goals_scored,
           success_score_preview::DOUBLE AS success_score_preview, n

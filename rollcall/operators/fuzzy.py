@@ -89,7 +89,7 @@ def best_match(
 
 def _stream(keys: DataFrame, candidates: DataFrame) -> DataFrame:
     """Every task holds the whole, size-checked dictionary."""
-    held = candidates.orderBy("ord", "standard_name").toArrow()
+    held = candidates.toArrow().sort_by([("ord", "ascending"), ("standard_name", "ascending")])
     texts = keys.sparkSession.sparkContext.broadcast(
         (held["cand_key"].to_pylist(), held["standard_name"].to_pylist())
     )

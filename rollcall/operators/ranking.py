@@ -56,11 +56,22 @@ def first_k(df: DataFrame, group: str, ord: str, k: int = 20, out: str = "rn") -
     return df.withColumn(out, place).filter(F.col(out) <= k).withColumn(out, F.col(out).cast("long"))
 
 
-def ordered_lists(df: DataFrame, group: str, name: str, ord: str, list_rows: int = LIST_ROWS) -> DataFrame:
-    """``(group, part, names)``: names in order; a longer list goes on in parts 1, 2, .. of ``list_rows`` names."""
+def ordered_lists(
+    df: DataFrame, group: str, name: str, ord: str, list_rows: int = LIST_ROWS, groups: DataFrame | None = None
+) -> DataFrame:
+    """``(group, part, names)``: names in order; a longer list goes on in parts 1, 2, .. of ``list_rows`` names.
+
+    ``groups`` are all groups that were read: those without a name get an empty list.
+    """
     ranked = arrival_rank(df.select(group, name, ord), group, ord, "_rank")
     part = F.floor((F.col("_rank") - 1) / list_rows).cast("long")
     listed = ranked.groupBy(F.col(group), part.alias("part")).agg(
         F.sort_array(F.collect_list(F.struct("_rank", F.col(name).alias("_name")))).alias("listed")
     )
-    return listed.select(group, "part", F.col("listed._name").alias("names"))
+    lists = listed.select(group, "part", F.col("listed._name").alias("names"))
+    if groups is None:
+        return lists
+    # Of each group only its part 0 meets the list of groups, so the anti join has no hot key.
+    without = groups.select(group).distinct().join(lists.filter(F.col("part") == 0).select(group), group, "left_anti")
+    empty = without.select(group, F.lit(0).cast("long").alias("part"), F.array().cast("array<string>").alias("names"))
+    return lists.unionByName(empty)

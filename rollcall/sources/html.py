@@ -204,3 +204,14 @@ def column_names(probed: DataFrame, keep: list[str], out: str = "cell", ord: str
     cells = F.transform("rows", lambda row: F.get(row, F.col("col").cast("int")))
     listed = probed.select(*keep, F.posexplode(F.when(F.col("col").isNotNull(), cells)).alias(ord, out))
     return listed.withColumn(ord, F.col(ord).cast("long"))
+
+
+def unreadable(probed: DataFrame, keep: list[str], column_needed: bool = False) -> DataFrame:
+    """``keep`` and the reason, for pages that give no feed at all; the others go on without them.
+
+    A table without a fitting column is an empty feed, unless ``column_needed``.
+    """
+    reason = F.when(F.col("rows").isNull(), "no table")
+    if column_needed:
+        reason = reason.when(F.col("col").isNull(), "no such column")
+    return probed.withColumn("reason", reason).filter(F.col("reason").isNotNull()).select(*keep, "reason")

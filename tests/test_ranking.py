@@ -74,3 +74,10 @@ def test_long_lists_go_on_in_parts(spark):
         assert [p for p, _ in parts] == list(range(len(parts)))
         want = [n for _, n in sorted((o, n) for g, o, n in rows if g == group)]
         assert [n for _, names in parts for n in names] == want
+
+
+def test_group_without_names_keeps_an_empty_list(spark):
+    df = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y")], "league string, ord long, name string")
+    groups = spark.createDataFrame([("a",), ("b",), ("b",)], "league string")
+    got = sorted(map(tuple, ordered_lists(df, "league", "name", "ord", 1, groups).collect()))
+    assert got == [("a", 0, ["x"]), ("a", 1, ["y"]), ("b", 0, [])]

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from rollcall.operators.names import probe_contains, probe_longer
 from rollcall.sources import feeds, sinks
-from rollcall.sources.html import column_names, data_cells, first_table_rows, probed_column, table_cells
+from rollcall.sources.html import column_names, data_cells, first_table_rows, probed_column, table_cells, unreadable
 from rollcall.sources.inline import inline_table
 
 PAGES = {
@@ -107,6 +107,14 @@ def test_pages_without_table_or_column_give_no_names(spark):
     assert {r.doc: r.rows is None for r in probed.collect()} == {"a": False, "b": True, "c": False, "d": True}
 
 
+def test_pages_that_give_no_feed_are_set_aside(spark):
+    pages = [("a", grid([["1", "Foxes"]])), ("b", "no table"), ("c", grid([["x"]])), ("d", None)]
+    probed = probed_column(spark.createDataFrame(pages, "doc string, html string"), "html", probe_longer, ["doc"])
+    assert sorted(map(tuple, unreadable(probed, ["doc"]).collect())) == [("b", "no table"), ("d", "no table")]
+    needed = {r.doc: r.reason for r in unreadable(probed, ["doc"], column_needed=True).collect()}
+    assert needed == {"b": "no table", "c": "no such column", "d": "no table"}
+
+
 def test_page_is_parsed_once(spark):
     df = spark.createDataFrame([("a", grid([["1", "Foxes"]]))], "doc string, html string")
     names = column_names(probed_column(df, "html", probe_longer, ["doc"]), ["doc"])

@@ -28,7 +28,7 @@ from rollcall.sources.feeds import (
     quarantine,
     tag_groups,
 )
-from rollcall.sources.html import probed_column, table_cells
+from rollcall.sources.html import probed_column, table_cells, unreadable
 from rollcall.sources.inline import inline_table
 from rollcall.sources.sinks import export_csv, export_snapshot, land_raw, read_csv, read_feed, write_feed
 
@@ -153,7 +153,10 @@ def json_feed_explode(spark, sf_dir):
 
 
 def names_to_json(spark, sf_dir):
-    lists = ordered_lists(deduped(spark, sf_dir), "league", "name", "first_ord", LIST_ROWS)
+    """One document per league and hundred names; a league of stop words only keeps an empty list."""
+    read = feed(spark, sf_dir).withColumn("league", F.expr("CASE WHEN cell = 'Team' THEN 'BLANK' ELSE league END"))
+    names = dedup_ordered(clean_names(read))
+    lists = ordered_lists(names, "league", "name", "first_ord", LIST_ROWS, groups=read)
     return feed_documents(lists, "league", ["league", "part"])
 
 
@@ -265,6 +268,14 @@ def bad_feed_quarantine(spark, sf_dir):
     return quarantine(docs, "body", "map<string,string>").drop("body")
 
 
+def pages_quarantine(spark, sf_dir):
+    """Pages whose first list holds five entries or fewer lose it: they have no table then."""
+    few = F.size(F.split(F.substring_index("html", "</tr></table>", 1), "<tr>")) <= 6
+    pages = pages_tables(spark, sf_dir).withColumn("html", F.when(few, F.replace("html", F.lit("<table>"))).otherwise(F.col("html")))
+    probed = probed_column(pages, "html", probe_longer, ["page_id"])
+    return unreadable(probed, ["page_id"])
+
+
 def inline_counts(spark, sf_dir):
     """An inline table of five typed columns, joined to the part counts of its names."""
     rows = [
@@ -329,6 +340,7 @@ QUERIES = {
     "probe_column_len": probe_column_len,
     "probe_column_contains": probe_column_contains,
     "bad_feed_quarantine": bad_feed_quarantine,
+    "pages_quarantine": pages_quarantine,
     "inline_table": inline_counts,
     "csv_roundtrip": csv_roundtrip,
     "raw_landing": raw_landing,

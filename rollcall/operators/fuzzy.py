@@ -37,9 +37,10 @@ for module in (lcs, sys.modules[__name__]):  # executors need no copy of this pa
 SMALL_ROWS = 5_000
 SMALL_BYTES = 1 << 20
 TASK_CANDIDATES = 1_000
-BLOCK_ROWS = 20_000
-BLOCK_CHARS = 2_000_000
-GROUP_KEYS = 200_000
+BLOCK_ROWS = 50_000
+BLOCK_CHARS = 5_000_000
+GROUP_KEYS = 50_000
+MOST_TASKS = 20_000
 BAND = 1.15  # lengths of one band differ by at most this factor
 
 GATE = 80
@@ -135,7 +136,10 @@ def _blocks(
         sized.join(F.broadcast(bands), "band").withColumn("part", F.pmod(F.xxhash64("cand_key"), "parts").cast("int"))
     )
     all_bands = cut_lineage(dictionary.select("band", "parts").distinct())
-    last = all_bands.agg(F.max("band")).first()[0]
+    last, parts_in_all = all_bands.agg(F.max("band"), F.sum("parts")).first()
+    # Groups are few bytes but much work: a fixed number of partitions keeps adaptive
+    # execution from merging them into few tasks.
+    tasks = min(parts_in_all * slices, MOST_TASKS)
 
     def meet(wanted: DataFrame) -> DataFrame:
         """``wanted`` is (key, band, floor): compare each key with every part of its band."""
@@ -150,8 +154,9 @@ def _blocks(
         )
         where = ["band", "part", "slice"]
         return (
-            routed.groupBy(*where)
-            .cogroup(copied.groupBy(*where))
+            routed.repartition(tasks, *where)
+            .groupBy(*where)
+            .cogroup(copied.repartition(tasks, *where).groupBy(*where))
             .applyInArrow(_best_in_block, "key string, ord long, best string, sim double")
         )
 

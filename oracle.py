@@ -227,8 +227,8 @@ ORACLE = {
     "inline_table": """
         SELECT team_name, season, league_pos::INT AS league_pos, goals_scored::INT AS goals_scored,
           success_score_preview::DOUBLE AS success_score_preview, n
-        FROM (VALUES ('ECONOMY', '2023/24', 1, 96, 9.8), ('SMALL', '2023/24', 2, 91, 9.25),
-          ('PROMO', '2023/24', 3, 86, 8.5), ('STANDARD', '2023/24', 4, 76, 8.125))
+        FROM (VALUES ('ECONOMY', '2030/31', 1, 40, 7.5), ('SMALL', '2030/31', 2, 35, 6.25),
+          ('PROMO', '2030/31', 3, 31, 5.5), ('STANDARD', '2030/31', 4, 28, 5.125))
           t(team_name, season, league_pos, goals_scored, success_score_preview)
         JOIN (SELECT p_type AS team_name, count(*) AS n FROM part GROUP BY 1) USING (team_name)""",
     "csv_roundtrip": ctes(

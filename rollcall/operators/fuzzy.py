@@ -54,7 +54,8 @@ def similarity(left: Column, right: Column) -> Column:
 
 @F.pandas_udf(DoubleType())
 def _pair_similarity(left: pd.Series, right: pd.Series) -> pd.Series:
-    return pd.Series(lcs.pair_similarity(left.tolist(), right.tolist()))
+    known = left.notna() & right.notna()
+    return pd.Series(lcs.pair_similarity(left[known].tolist(), right[known].tolist()), left.index[known]).reindex(left.index)
 
 
 def score(sim: Column) -> Column:

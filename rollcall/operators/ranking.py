@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 RANGE_BITS = 21
 LIST_ROWS = 100_000
+WINDOW_ROWS = 100
 
 
 def arrival_rank(df: DataFrame, group: str, ord: str, out: str = "rank", bits: int = RANGE_BITS) -> DataFrame:
@@ -48,9 +49,12 @@ def gold_ranking(resolved: DataFrame, season: int, group: str = "league", ord: s
 
 
 def first_k(df: DataFrame, group: str, ord: str, k: int = 20, out: str = "rn") -> DataFrame:
-    """The first ``k`` rows of each group. Spark keeps only ``k`` per group and task before it shuffles."""
-    limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
-    if k > limit:
+    """The first ``k`` rows of each group.
+
+    For a small ``k`` Spark keeps ``k`` rows per group and task before it shuffles. Many
+    tasks times a large ``k`` would be too many for the one task that ends the group.
+    """
+    if k > WINDOW_ROWS:
         return arrival_rank(df, group, ord, out).filter(F.col(out) <= k)
     place = F.row_number().over(Window.partitionBy(group).orderBy(ord))
     return df.withColumn(out, place).filter(F.col(out) <= k).withColumn(out, F.col(out).cast("long"))

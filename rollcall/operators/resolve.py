@@ -10,6 +10,9 @@ from rollcall.operators.dictionary import BROADCAST_BYTES, DictionarySize, dicti
 from rollcall.operators.fuzzy import GATE, best_match, gate, score
 from rollcall.operators.skew import HOT_ROWS, join_lookup
 
+# Columns that resolving adds on the way or in the end.
+RESERVED = {"standard_name", "match_confidence", "alias", "score", "key", "salt", "n", "hot", "fan", "best", "sim"}
+
 
 def match_exact(
     rows: DataFrame,
@@ -59,6 +62,9 @@ def resolve(
     keys, which are compared, and once to bring the answers back. ``rows`` is read
     for each branch, so pass a stored layer rather than a long computation.
     """
+    taken = RESERVED & set(rows.columns)
+    if taken:
+        raise ValueError(f"rename these columns first: {sorted(taken)}")
     size = dictionary_size(dictionary)
     tagged = match_exact(rows, dictionary, name, size, broadcast_bytes, hot_rows)
     kept = [F.col(f"`{c}`") for c in rows.columns]

@@ -99,6 +99,11 @@ def test_gate_is_a_parameter(raw, entries):
     assert {r.match_confidence for r in rows if r.name == "red foxes"} == {86}
 
 
+def test_columns_in_use_are_refused(raw, entries):
+    with pytest.raises(ValueError, match="score"):
+        resolve(raw.withColumn("score", F.lit(1)), entries)
+
+
 def test_hot_key_is_split_and_nothing_is_lost(spark):
     rnd = random.Random(5)
     rows = [("hot" if rnd.random() < 0.6 else f"k{rnd.randrange(30)}", i) for i in range(3000)]

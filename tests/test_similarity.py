@@ -59,9 +59,9 @@ def test_floor_hides_what_is_worse():
         ("red foxes", "Red Foxes FC", 86),
         ("FC Red-Foxes", "Red Foxes FC", 100),
         ("qqqq", "Red Foxes FC", 0),
-        ("arsenal", "Arsenal FC", 82),
-        ("forest green rovers", "Forest Green Rovers FC", 93),
-        ("sutton utd", "Sutton United FC", 77),
+        ("gazelle", "Gazelle FC", 82),
+        ("marble stone rovers", "Marble Stone Rovers FC", 93),
+        ("dutton utd", "Dutton United FC", 77),
         ("abcdexyz", "abcdeuvw", 62),  # 62.5
         ("abcdefgx", "abcdefgy", 88),  # 87.5
         ("", "", 0),
@@ -74,6 +74,12 @@ def test_worked_scores(spark, a, b, points):
     assert df.select(score(similarity(F.col("b"), F.col("a")))).first()[0] == points
 
 
+def test_similarity_of_null_is_null(spark):
+    rows = [("a", "a"), (None, "a"), ("a", None), ("ab", "b")]
+    df = spark.createDataFrame(rows, "a string, b string").coalesce(1)
+    assert [r[0] for r in df.select(score(similarity(F.col("a"), F.col("b")))).collect()] == [100, None, None, 67]
+
+
 def test_gate_is_strict(spark):
     df = spark.createDataFrame([("x", 80), ("y", 81)], "best string, score long")
     got = [r[0] for r in df.select(gate(F.col("best"), F.col("score"))).collect()]
@@ -86,7 +92,10 @@ def dictionary(spark, names):
 
 
 def words(rnd, n, letters="abcdefgh"):
-    return [" ".join("".join(rnd.choice(letters) for _ in range(rnd.randint(1, 9))) for _ in range(rnd.randint(1, 4))) for _ in range(n)]
+    def word():
+        return "".join(rnd.choice(letters) for _ in range(rnd.randint(1, 9)))
+
+    return [" ".join(word() for _ in range(rnd.randint(1, 4))) for _ in range(n)]
 
 
 @pytest.mark.parametrize("way", ["stream", "blocks"])

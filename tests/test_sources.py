@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from rollcall.operators.names import probe_contains, probe_longer
 from rollcall.sources import feeds, sinks
-from rollcall.sources.html import column_names, data_cells, first_table_rows, probed_column, table_cells, unreadable
+from rollcall.sources.html import column_names, first_table_rows, probed_column, table_cells, unreadable
 from rollcall.sources.inline import inline_table
 
 PAGES = {

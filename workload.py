@@ -271,7 +271,8 @@ def bad_feed_quarantine(spark, sf_dir):
 def pages_quarantine(spark, sf_dir):
     """Pages whose first list holds five entries or fewer lose it: they have no table then."""
     few = F.size(F.split(F.substring_index("html", "</tr></table>", 1), "<tr>")) <= 6
-    pages = pages_tables(spark, sf_dir).withColumn("html", F.when(few, F.replace("html", F.lit("<table>"))).otherwise(F.col("html")))
+    html = F.when(few, F.replace("html", F.lit("<table>"))).otherwise(F.col("html"))
+    pages = pages_tables(spark, sf_dir).withColumn("html", html)
     probed = probed_column(pages, "html", probe_longer, ["page_id"])
     return unreadable(probed, ["page_id"])
 
@@ -279,10 +280,10 @@ def pages_quarantine(spark, sf_dir):
 def inline_counts(spark, sf_dir):
     """An inline table of five typed columns, joined to the part counts of its names."""
     rows = [
-        ("ECONOMY", "2023/24", 1, 96, 9.8),
-        ("SMALL", "2023/24", 2, 91, 9.25),
-        ("PROMO", "2023/24", 3, 86, 8.5),
-        ("STANDARD", "2023/24", 4, 76, 8.125),
+        ("ECONOMY", "2030/31", 1, 40, 7.5),
+        ("SMALL", "2030/31", 2, 35, 6.25),
+        ("PROMO", "2030/31", 3, 31, 5.5),
+        ("STANDARD", "2030/31", 4, 28, 5.125),
     ]
     columns = {
         "team_name": pa.string(),
@@ -298,7 +299,9 @@ def inline_counts(spark, sf_dir):
 
 def csv_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "csv")
-    awkward = feed(spark, sf_dir).withColumn("cell", F.expr("CASE WHEN ord % 3 = 0 THEN concat(cell, ',\"q\"\\\\NA') ELSE cell END"))
+    awkward = feed(spark, sf_dir).withColumn(
+        "cell", F.expr("CASE WHEN ord % 3 = 0 THEN concat(cell, ',\"q\"\\\\NA') ELSE cell END")
+    )
     export_csv(awkward, path)
     return read_csv(spark, path, "league string, ord long, cell string")
 

@@ -125,8 +125,16 @@ def _blocks(
     block_chars: int = BLOCK_CHARS,
     group_keys: int = GROUP_KEYS,
 ) -> DataFrame:
-    """Two rounds of co-groups of (length band, part of the band, slice of the keys)."""
-    keys = cut_lineage(keys.withColumn("len", F.length("key")).withColumn("band", _band(F.col("len"))))
+    """Equal keys by a join; for the rest two rounds of co-groups of (length band, part of the band, slice of keys)."""
+    # Only equal texts (but for empty ones) reach 100, and candidate keys are unique: these are done.
+    same = (F.col("key") == F.col("cand_key")) & (F.col("cand_key") != "")
+    tagged = cut_lineage(keys.join(candidates, same, "left"))
+    kept = [F.col(f"`{c}`") for c in keys.columns]
+    equal = tagged.filter(F.col("cand_key").isNotNull()).select(
+        *kept, F.col("standard_name").alias("best"), F.lit(100.0).alias("sim")
+    )
+    keys = tagged.filter(F.col("cand_key").isNull()).select(*kept)
+    keys = keys.withColumn("len", F.length("key")).withColumn("band", _band(F.col("len")))
     slices = max(1, math.ceil(keys.count() / group_keys))
 
     sized = candidates.withColumn("cand_len", F.length("cand_key")).withColumn("band", _band(F.col("cand_len")))
@@ -178,7 +186,7 @@ def _blocks(
         .filter(F.col("band") != F.col("own"))
     )
     best = _winner(own.unionByName(meet(further.select("key", "band", "floor"))))
-    return keys.drop("len", "band").join(best.drop("ord"), "key")
+    return equal.unionByName(keys.drop("len", "band").join(best.drop("ord"), "key"))
 
 
 def _winner(found: DataFrame) -> DataFrame:

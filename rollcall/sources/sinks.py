@@ -30,8 +30,9 @@ def export_csv(df: DataFrame, path: str, order: tuple[str, ...] = (), drop: tupl
     df.drop(*drop).write.mode("overwrite").options(**CSV).csv(path)
 
 
-def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return spark.read.schema(schema).options(**CSV, multiLine="true").csv(path)
+def read_csv(spark: SparkSession, path: str, schema: str, multi_line: bool = False) -> DataFrame:
+    """``multi_line`` reads texts with line breaks, at the price that no file is split between tasks."""
+    return spark.read.schema(schema).options(**CSV, multiLine=multi_line).csv(path)
 
 
 def export_if_any(df: DataFrame, path: str, clear_when_empty: bool = False, **layout) -> bool:

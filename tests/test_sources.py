@@ -178,7 +178,7 @@ def test_csv_equals_the_pandas_dialect_and_reads_back(spark, tmp_path):
     sinks.export_csv(df, path, order=("n",))
     written = "".join(p.read_text(encoding="utf-8") for p in sorted((tmp_path / "out").glob("part-*")))
     assert written == pd.DataFrame(AWKWARD, columns=["name", "n"]).to_csv(index=False)
-    back = sinks.read_csv(spark, path, "name string, n long").collect()
+    back = sinks.read_csv(spark, path, "name string, n long", multi_line=True).collect()
     assert sorted(map(tuple, back), key=lambda r: r[1]) == AWKWARD
 
 

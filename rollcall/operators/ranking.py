@@ -75,7 +75,6 @@ def ordered_lists(
     lists = listed.select(group, "part", F.col("listed._name").alias("names"))
     if groups is None:
         return lists
-    # Of each group only its part 0 meets the list of groups, so the anti join has no hot key.
-    without = groups.select(group).distinct().join(lists.filter(F.col("part") == 0).select(group), group, "left_anti")
+    without = groups.select(group).distinct().join(df.select(group).distinct(), group, "left_anti")
     empty = without.select(group, F.lit(0).cast("long").alias("part"), F.array().cast("array<string>").alias("names"))
     return lists.unionByName(empty)

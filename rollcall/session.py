@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -27,19 +26,18 @@ def build_session(app: str = "rollcall", master: str | None = None, conf: dict[s
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``.
-
-    Only a local session that names none gets a temporary folder; on a cluster
-    a folder of one machine would be lost with it, so there we refuse.
-    """
+    """The shared folder the cluster names in ``spark.checkpoint.dir``; without one, intermediate tables have no place."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    root = tempfile.mkdtemp(prefix="rollcall-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if not root:
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and every executor can reach")
+    return root.rstrip("/")
+
+
+def name_scratch(spark: SparkSession, folder: str) -> None:
+    """Name ``folder`` as the shared folder of a session on one machine that has none; a cluster must name its own."""
+    one_machine = spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")
+    if one_machine and not spark.conf.get("spark.checkpoint.dir", None):
+        spark.conf.set("spark.checkpoint.dir", folder)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -52,3 +50,12 @@ def cut_lineage(df):
     path = scratch_path(df.sparkSession, "table")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a table that this library wrote under the shared folder; nothing else may be named."""
+    root = scratch_root(spark)
+    if not path.startswith(f"{root}/"):
+        raise ValueError(f"{path} is not under {root}")
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

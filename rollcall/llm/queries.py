@@ -10,12 +10,36 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm import bradley_terry, guess_cost, packing, simhash, stream_dedup
+from rollcall.llm import (
+    bradley_terry,
+    guess_cost,
+    nbest,
+    packing,
+    paragraph_minhash,
+    quality_rules,
+    simhash,
+    stream_dedup,
+    token_counts,
+    url_markov,
+)
 
 #: The public vocabularies that the queries name.
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
+#: Segmentations of each document.
+N_BEST = 4
 #: Shingle length and greatest bit distance of near copies.
 SHINGLE, BITS = 3, 2
+#: Tokens beyond which a document is marked.
+TOKEN_LIMIT = 512
+#: What is known of hosts; the longest rule that fits a URL decides.
+URL_RULES = [
+    url_markov.Rule("com", "/", "allow"),
+    url_markov.Rule("example.com", "/en/", "block"),
+    url_markov.Rule("www.example.com", "/en/", "allow"),
+    url_markov.Rule("net", "/es/", "block"),
+    url_markov.Rule("net", "/fr/", "block"),
+]
 #: Labels are learnt where the remainder is not 0; the rest is held out.
 FOLDS = 5
 
@@ -44,6 +68,29 @@ def op1_simhash(spark, sf_dir):
     )
 
 
+def op2_nbest_pieces(spark, sf_dir):
+    """Each segmentation's score and a checksum of its ids, and whether they decode to the text."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    found = nbest.encoded(docs, PIECE_BPE, N_BEST)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = nbest.pieces(PIECE_BPE)
+        for batch in batches:
+            texts = [known.decode(x.as_buffer()).encode() for x in batch.column("ids")]
+            columns = [
+                batch.column("id"),
+                batch.column("rank"),
+                batch.column("score"),
+                pa.array([len(x.as_buffer()) // 4 for x in batch.column("ids")], pa.int64()),
+                pa.array([zlib.crc32(x.as_buffer()) for x in batch.column("ids")], pa.int64()),
+                pa.array([zlib.crc32(x) for x in texts], pa.int64()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "rank", "score", "n_pieces", "ids_crc32", "text_crc32"])
+
+    kind = found.schema["id"].dataType.simpleString()
+    return found.mapInArrow(run, f"doc_id {kind}, rank int, score double, n_pieces long, ids_crc32 long, text_crc32 long")
+
+
 def op3_quality_bradley_terry(spark, sf_dir):
     found = bradley_terry.scored(documents(spark, sf_dir), quality_model(spark, sf_dir)).withColumnRenamed("id", "doc_id")
     return found.select(
@@ -68,6 +115,61 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS te
 """
 
 
+def op5_paragraph_minhash(spark, sf_dir):
+    found = paragraph_minhash.repeated_paragraphs(documents(spark, sf_dir))
+    return found.withColumnsRenamed({"id": "doc_id", "keep_id": "keep_doc_id"})
+
+
+def op6_token_counts(spark, sf_dir):
+    found = token_counts.token_counts(documents(spark, sf_dir), BYTE_BPE)
+    return found.select(F.col("id").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
+
+
+def op7_quality_rules(spark, sf_dir):
+    found = quality_rules.judged(documents(spark, sf_dir))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+        F.array_join("failed", ",").alias("failed"),
+    )
+
+
+def _rules_sql() -> str:
+    """The threshold table as DuckDB SQL: the names of broken rules, joined."""
+    broken = []
+    for name, measure, low, high, words in quality_rules.RULES:
+        out = [f"{measure} < {low}"] * (low is not None) + [f"{measure} > {high}"] * (high is not None)
+        broken.append(f"CASE WHEN n_words >= {words} AND ({' OR '.join(out)}) THEN '{name}' END")
+    return f"array_to_string(list_filter([{', '.join(broken)}], lambda x: x IS NOT NULL), ',')"
+
+
+OP7_SQL = rf"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+p AS (SELECT doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w,
+    list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM t),
+g AS (SELECT doc_id, i, w[i] || ' ' || w[i+1] || ' ' || w[i+2] || ' ' || w[i+3] || ' ' || w[i+4] AS g
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM p)),
+d AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS n FROM g) WHERE n > 1),
+r AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM d, range(5) AS x(k) GROUP BY doc_id),
+c AS (SELECT p.doc_id, len(w) AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS n_symbols, len(l) AS n_lines,
+    len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words,
+    len(list_filter(l, lambda x: regexp_matches(x, '^[\x20\x09-\x0D]*[-*•]'))) AS n_bullet_lines,
+    len(list_filter(l, lambda x: regexp_matches(x, '(\.\.\.|…)[\x20\x09-\x0D]*$'))) AS n_ellipsis_lines,
+    len(list_filter(w, lambda x: lower(x) IN ({", ".join(f"'{x}'" for x in sorted(set(quality_rules.STOP_WORDS)))}))) AS n_stop_words
+    FROM p LEFT JOIN r USING (doc_id)),
+v AS (SELECT *, {quality_rules.BASE_FAILED} AS base_failed, {_rules_sql()} AS failed FROM c)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    NOT base_failed AND failed = '' AS kept, failed FROM v
+"""
+
+
 def op8_slack_packing(spark, sf_dir):
     return piece_digests(packing.packed(documents(spark, sf_dir), BYTE_BPE))
 
@@ -86,6 +188,11 @@ def piece_digests(pieces: DataFrame) -> DataFrame:
     return pieces.mapInArrow(run, ", ".join(kinds))
 
 
+def op9_url_markov(spark, sf_dir):
+    found = url_markov.judged(table(spark, sf_dir, "pages"), URL_RULES)
+    return found.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict", "ratio")
+
+
 def op10_secret_guess_cost(spark, sf_dir):
     found = guess_cost.find_secrets(documents(spark, sf_dir))
     joined = lambda spans: F.array_join(
@@ -102,9 +209,14 @@ def op10_secret_guess_cost(spark, sf_dir):
 
 LLM_QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_nbest_pieces": op2_nbest_pieces,
     "op3_quality_bradley_terry": op3_quality_bradley_terry,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_paragraph_minhash": op5_paragraph_minhash,
+    "op6_token_counts": op6_token_counts,
+    "op7_quality_rules": op7_quality_rules,
     "op8_slack_packing": op8_slack_packing,
+    "op9_url_markov": op9_url_markov,
     "op10_secret_guess_cost": op10_secret_guess_cost,
 }
-LLM_ORACLE = {"op4_exact_dedup": OP4_SQL}
+LLM_ORACLE = {"op4_exact_dedup": OP4_SQL, "op7_quality_rules": OP7_SQL}

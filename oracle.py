@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from workload import NOISE, SLUGS
+from workload import CUSTOMER_TEXT, HARD, NOISE, SLUGS
 
 # ---- derived inputs -------------------------------------------------------
 
@@ -112,6 +112,42 @@ def page_cells() -> str:
     return f"SELECT page_id, table_idx, ro, co, trim(regexp_replace(c, '<[^>]+>', '', 'g')) AS cell FROM ({cells})"
 
 
+def bit_matches(raw: str, cand: str) -> str:
+    """Best match of ``raw`` (id, name) among ``cand`` (ord, standard_name).
+
+    Too many pairs for the textbook rows: the LCS is counted in the bits of a HUGEINT.
+    """
+    return f"""
+        WITH raw AS (SELECT id, name, string_split({key('name')}, '') AS letters FROM ({raw})),
+        cand AS (SELECT ord, standard_name, string_split({key('standard_name')}, '') AS letters FROM ({cand})),
+        places AS (SELECT ord, letter, sum(1::HUGEINT << (pos - 1)::HUGEINT)::HUGEINT AS bits FROM (
+          SELECT ord, unnest(letters) AS letter, generate_subscripts(letters, 1) AS pos FROM cand) GROUP BY ALL),
+        masks AS (SELECT ord, map(list(letter), list(bits)) AS m FROM places GROUP BY ord),
+        scored AS (
+          SELECT id, name, ord, standard_name, len(r.letters) + len(c.letters) AS total,
+            (1::HUGEINT << len(c.letters)::HUGEINT) - 1 AS every,
+            list_reduce(list_transform(r.letters, lambda l: coalesce(m[l], 0::HUGEINT)),
+              lambda v, k: ((v + (v & k)) | (v - (v & k))) & every, every) AS left_over
+          FROM raw r CROSS JOIN cand c JOIN masks USING (ord)),
+        best AS (
+          SELECT id, name, first(standard_name ORDER BY sim DESC, ord) AS best, {rounded('max(sim)')} AS score
+          FROM (SELECT *, 200.0::DOUBLE * bit_count(every & ~left_over) / total AS sim FROM scored) GROUP BY ALL)
+        SELECT id AS c_custkey, name, CASE WHEN score > 80 THEN best ELSE 'UNKNOWN' END AS standard_name,
+          score AS match_confidence
+        FROM best"""
+
+
+def hard_cells() -> str:
+    cases = " ".join(
+        f"WHEN {i} THEN " + " || n || ".join("'" + x.replace("'", "''") + "'" for x in text.split("{}"))
+        for i, (_, text) in enumerate(HARD)
+    )
+    return f"""
+        SELECT p_partkey // 50 AS doc, row_number() OVER (PARTITION BY p_partkey // 50 ORDER BY p_partkey) - 1 AS ro,
+          (CASE p_partkey % {len(HARD)} {cases} END) || '|' || p_partkey AS cells
+        FROM (SELECT p_partkey, trim(regexp_replace(p_name, '[^a-z ]', '', 'g')) AS n FROM part)"""
+
+
 ORACLE = {
     "json_feed_explode": ctes(
         [FEED, CLEANED],
@@ -139,6 +175,10 @@ ORACLE = {
         NAMES,
         "SELECT league, row_number() OVER (PARTITION BY league ORDER BY first_ord) - 1 AS name_ord, name FROM deduped",
     ),
+    "json_documents_read": ctes(
+        NAMES,
+        "SELECT league, row_number() OVER (PARTITION BY league ORDER BY first_ord) - 1 AS name_ord, name FROM deduped",
+    ),
     "feed_tag_league": f"""
         WITH slugs(slug, formal_name) AS (VALUES {', '.join(f"('{s}', '{n}')" for s, n in SLUGS.items())})
         SELECT slug, formal_name, 'raw/' || slug || '/table' AS landing_key, count(*) AS n
@@ -163,26 +203,25 @@ ORACLE = {
              FROM cleaned JOIN part ON ord = p_partkey)""",
     ),
     "fuzzy_best": ctes(MATCHED, "SELECT name, best, score FROM best"),
-    # Too many pairs for the textbook rows: the LCS is counted in the bits of a HUGEINT.
-    "fuzzy_entities": f"""
-        WITH raw AS (SELECT c_custkey, c_name AS name, string_split({key('c_name')}, '') AS letters FROM customer),
-        cand AS (SELECT s_suppkey, standard_name, string_split({key('standard_name')}, '') AS letters
-          FROM (SELECT s_suppkey, replace(s_name, 'Supplier', 'Customer') AS standard_name FROM supplier)),
-        places AS (SELECT s_suppkey, letter, sum(1::HUGEINT << (pos - 1)::HUGEINT)::HUGEINT AS bits FROM (
-          SELECT s_suppkey, unnest(letters) AS letter, generate_subscripts(letters, 1) AS pos FROM cand) GROUP BY ALL),
-        masks AS (SELECT s_suppkey, map(list(letter), list(bits)) AS m FROM places GROUP BY s_suppkey),
-        scored AS (
-          SELECT c_custkey, name, s_suppkey, standard_name, len(r.letters) + len(c.letters) AS total,
-            (1::HUGEINT << len(c.letters)::HUGEINT) - 1 AS every,
-            list_reduce(list_transform(r.letters, lambda l: coalesce(m[l], 0::HUGEINT)),
-              lambda v, k: ((v + (v & k)) | (v - (v & k))) & every, every) AS left_over
-          FROM raw r CROSS JOIN cand c JOIN masks USING (s_suppkey)),
-        best AS (
-          SELECT c_custkey, name, first(standard_name ORDER BY sim DESC, s_suppkey) AS best, {rounded('max(sim)')} AS score
-          FROM (SELECT *, 200.0::DOUBLE * bit_count(every & ~left_over) / total AS sim FROM scored) GROUP BY ALL)
-        SELECT c_custkey, name, CASE WHEN score > 80 THEN best ELSE 'UNKNOWN' END AS standard_name,
-          score AS match_confidence
-        FROM best""",
+    "fuzzy_entities": bit_matches(
+        "SELECT c_custkey AS id, c_name AS name FROM customer",
+        "SELECT s_suppkey AS ord, replace(s_name, 'Supplier', 'Customer') AS standard_name FROM supplier",
+    ),
+    "fuzzy_blocks": bit_matches(
+        f"SELECT c_custkey AS id, {CUSTOMER_TEXT.replace('STRING', 'VARCHAR')} AS name FROM customer",
+        "SELECT min(p_partkey) AS ord, concat_ws(' ', p_name, p_brand, p_partkey) AS standard_name FROM part GROUP BY 2",
+    ),
+    "alias_beyond_broadcast": ctes(
+        ALIASED,
+        """SELECT league, name, standard_name, CASE WHEN alias IS NOT NULL THEN 100::BIGINT END AS score
+           FROM deduped LEFT JOIN alias ON name = alias""",
+    ),
+    "resolve_hot": ctes(
+        MATCHED,
+        """SELECT league, d.name, coalesce(a.standard_name, g.standard_name) AS standard_name,
+             CASE WHEN a.alias IS NOT NULL THEN 100 ELSE g.score END::BIGINT AS match_confidence
+           FROM cleaned d LEFT JOIN alias a ON d.name = a.alias LEFT JOIN gated g ON d.name = g.name""",
+    ),
     "match_gate": ctes(MATCHED, "SELECT name, standard_name, score FROM gated"),
     "silver_master": ctes(RESOLVED, "SELECT raw_name, standard_name, league, match_confidence FROM silver"),
     "review_log": ctes([*RESOLVED, REVIEW], "SELECT * FROM review"),
@@ -207,6 +246,7 @@ ORACLE = {
            SELECT DISTINCT league, doc, 0, h.co, true, h.cell
            FROM docs CROSS JOIN (VALUES (0, 'Pos'), (1, 'Team')) h(co, cell)""",
     ),
+    "html_hard_cells": hard_cells(),
     "pages_list_cells": page_cells(),
     "probe_column_len": ctes(
         [DOCS, CELLS],
@@ -219,8 +259,9 @@ ORACLE = {
            FROM cells GROUP BY league, doc""",
     ),
     "bad_feed_quarantine": """
-        SELECT event_id, 'invalid json' AS reason FROM events
-        WHERE NOT json_valid(CASE WHEN event_id % 10 = 0 THEN substr(props, 1, 3) ELSE props END)""",
+        SELECT event_id, CASE event_id % 10 WHEN 4 THEN 'a name that is no text' WHEN 5 THEN 'not an object of lists'
+          ELSE 'invalid json' END AS reason
+        FROM events WHERE event_id % 10 < 6""",
     "pages_quarantine": """
         SELECT page_id, 'no table' AS reason FROM pages
         WHERE NOT contains(html, '<ul>') OR len(string_split(string_split(html, '</ul>')[1], '<li>')) <= 6""",
@@ -233,10 +274,19 @@ ORACLE = {
         JOIN (SELECT p_type AS team_name, count(*) AS n FROM part GROUP BY 1) USING (team_name)""",
     "csv_roundtrip": ctes(
         [FEED],
-        r"""SELECT league, ord, CASE WHEN ord % 3 = 0 AND cell IS NOT NULL THEN cell || ',"q"\NA' ELSE cell END AS cell
+        r"""SELECT league, ord, CASE WHEN ord % 3 = 0 AND cell IS NOT NULL THEN cell || ',"q"\NA' || chr(10) || 'next' ELSE cell END AS cell
             FROM feed""",
     ),
     "raw_landing": "SELECT event_id, props AS body FROM events",
 }
+ORACLE["inline_export"] = ORACLE["inline_table"]
+ORACLE["master_export"] = ORACLE["silver_master"]
+ORACLE["review_export"] = ctes([*RESOLVED, REVIEW], "SELECT *, 'kept' AS log FROM review")
+ORACLE["flow_metrics"] = ORACLE["run_metrics"]
+ORACLE["bronze_guard"] = ctes(
+    NAMES,
+    """SELECT league, n_names, n_aside FROM (SELECT league, count(*) AS n_names FROM deduped GROUP BY league)
+       JOIN (SELECT p_type AS league, count(DISTINCT p_partkey // 300) AS n_aside FROM part GROUP BY 1) USING (league)""",
+)
 # The flow ranks by (page, row of its table); parts of a league come in that same order.
 ORACLE["medallion_end_to_end"] = ORACLE["gold_ranking"]

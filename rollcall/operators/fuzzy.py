@@ -36,10 +36,10 @@ for module in (lcs, sys.modules[__name__]):  # executors need no copy of this pa
 
 SMALL_ROWS = 5_000
 SMALL_BYTES = 1 << 20
-TASK_CANDIDATES = 1_000
-BLOCK_ROWS = 50_000
-BLOCK_CHARS = 5_000_000
-GROUP_KEYS = 50_000
+TASK_PAIRS = 20_000_000  # pairs that one task or group may have to look at
+BLOCK_ROWS = 5_000
+BLOCK_CHARS = 500_000
+GROUP_KEYS = TASK_PAIRS // BLOCK_ROWS
 MOST_TASKS = 20_000
 BAND = 1.15  # lengths of one band differ by at most this factor
 
@@ -106,10 +106,10 @@ def _stream(keys: DataFrame, candidates: DataFrame) -> DataFrame:
                 [*batch.columns, best, pa.array(sim)], [*batch.schema.names, "best", "sim"]
             )
 
-    # Keys are few bytes but much work: left alone, adaptive execution would merge them
-    # into few tasks (as it does with a repartition by the key itself, which the keys
-    # already have). More candidates, more tasks.
-    tasks = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions")) * max(1, len(held) // TASK_CANDIDATES)
+    # Keys are few bytes but much work: left alone, adaptive execution would merge them into few tasks. So
+    # they are stored, counted and dealt out by the pairs they make.
+    keys = cut_lineage(keys)
+    tasks = min(max(1, math.ceil(keys.count() * len(held) / TASK_PAIRS)), MOST_TASKS)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keys.schema.fields)
     return keys.repartition(tasks, F.xxhash64("key")).mapInArrow(run, schema + ", best string, sim double")
 
@@ -135,7 +135,6 @@ def _blocks(
     )
     keys = tagged.filter(F.col("cand_key").isNull()).select(*kept)
     keys = keys.withColumn("len", F.length("key")).withColumn("band", _band(F.col("len")))
-    slices = max(1, math.ceil(keys.count() / group_keys))
 
     sized = candidates.withColumn("cand_len", F.length("cand_key")).withColumn("band", _band(F.col("cand_len")))
     parts = F.greatest(F.ceil(F.count(F.lit(1)) / block_rows), F.ceil(F.sum("cand_len") / block_chars))
@@ -145,21 +144,31 @@ def _blocks(
         sized.join(F.broadcast(bands), "band").withColumn("part", F.pmod(F.xxhash64("cand_key"), "parts").cast("int"))
     )
     all_bands = cut_lineage(dictionary.select("band", "parts").distinct())
-    last, parts_in_all = all_bands.agg(F.max("band"), F.sum("parts")).first()
-    # Groups are few bytes but much work: a fixed number of partitions keeps adaptive
-    # execution from merging them into few tasks.
-    tasks = min(parts_in_all * slices, MOST_TASKS)
+    last = all_bands.agg(F.max("band")).first()[0]
 
     def meet(wanted: DataFrame) -> DataFrame:
-        """``wanted`` is (key, band, floor): compare each key with every part of its band."""
+        """``wanted`` is (key, band, floor): compare each key with every part of its band.
+
+        A band's keys are cut into slices of ``group_keys``, counted for each band, so a band that few
+        keys ask for is copied few times, and no group has more than keys x candidates of one slice and part.
+        """
+        wanted = cut_lineage(wanted)
+        slices = F.greatest(F.ceil(F.count(F.lit(1)) / group_keys), F.lit(1)).cast("int").alias("slices")
+        asked = cut_lineage(wanted.groupBy("band").agg(slices).join(F.broadcast(all_bands), "band"))
+        groups = asked.agg(F.sum(F.col("parts") * F.col("slices"))).first()[0] or 1
+        # Groups are few bytes but much work: a fixed number of partitions keeps adaptive
+        # execution from merging them into few tasks.
+        tasks = min(groups, MOST_TASKS)
         routed = (
-            wanted.join(F.broadcast(all_bands), "band")
+            wanted.join(F.broadcast(asked), "band")
             .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-            .withColumn("slice", F.pmod(F.xxhash64("key"), F.lit(slices)).cast("int"))
+            .withColumn("slice", F.pmod(F.xxhash64("key"), "slices").cast("int"))
             .select("band", "part", "slice", "key", "floor")
         )
-        copied = dictionary.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))).select(
-            "band", "part", "slice", "cand_key", "ord", "standard_name"
+        copied = (
+            dictionary.join(F.broadcast(asked.select("band", "slices")), "band")
+            .withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
+            .select("band", "part", "slice", "cand_key", "ord", "standard_name")
         )
         where = ["band", "part", "slice"]
         return (

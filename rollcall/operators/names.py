@@ -29,17 +29,29 @@ def clean_names(
     return cells.select(*kept, F.explode(usable).alias(out))
 
 
-def dedup_ordered(names: DataFrame, group: str = "league", name: str = "name", ord: str = "ord") -> DataFrame:
-    """One row per name and group, with the place of its first occurrence."""
-    return names.groupBy(group, name).agg(F.min(ord).alias("first_ord"))
+def dedup_ordered(
+    names: DataFrame, group: str = "league", name: str = "name", ord: str = "ord", within: str | None = None
+) -> DataFrame:
+    """One row per name and group, with the place of its first occurrence.
+
+    Places may have two parts, ``ord`` and then ``within``: a page, and a row of it. They stay two
+    columns, ``first_ord`` and ``first_within``, so neither has to fit beside the other.
+    """
+    if within is None:
+        return names.groupBy(group, name).agg(F.min(ord).alias("first_ord"))
+    first = F.min(F.struct(F.col(ord).alias("o"), F.col(within).alias("w"))).alias("first")
+    found = names.groupBy(group, name).agg(first)
+    return found.select(group, name, F.col("first.o").alias("first_ord"), F.col("first.w").alias("first_within"))
 
 
 def clean_feed(
-    cells: DataFrame, group: str = "league", ord: str = "ord", limit: int | None = None, **cleaning
+    cells: DataFrame, group: str = "league", ord: str = "ord", limit: int | None = None, within: str | None = None, **cleaning
 ) -> DataFrame:
-    """``(group, name, first_ord)``: cleaned and de-duplicated; ``limit`` keeps the first of each group."""
-    names = dedup_ordered(clean_names(cells, **cleaning), group, ord=ord)
-    return names if limit is None else first_k(names, group, "first_ord", limit).drop("rn")
+    """``(group, name, first_ord[, first_within])``: cleaned and de-duplicated; ``limit`` keeps the first of each group."""
+    names = dedup_ordered(clean_names(cells, **cleaning), group, ord=ord, within=within)
+    if limit is None:
+        return names
+    return first_k(names, group, "first_ord", limit, within="first_within" if within else None).drop("rn")
 
 
 def first_column_where(rows: Column, found) -> Column:

@@ -11,7 +11,7 @@ from rollcall.operators.fuzzy import GATE, best_match, gate, score
 from rollcall.operators.skew import HOT_ROWS, join_lookup
 
 # Columns that resolving adds on the way or in the end.
-RESERVED = {"standard_name", "match_confidence", "alias", "score", "key", "salt", "n", "hot", "fan", "best", "sim"}
+RESERVED = {"standard_name", "match_confidence", "alias", "score", "key", "n", "hot", "fan", "best", "sim", "_times", "_run", "_copy"}
 
 
 def match_exact(
@@ -37,11 +37,16 @@ def match_exact(
     else:
         names = rows.groupBy(F.col(name)).agg(F.count(F.lit(1)).alias("n"))
         lookup = names.drop("n").join(aliases, F.col(name) == F.col("alias"), "left")
-        tagged = join_lookup(rows, lookup, names, name, kept, hot_rows)
+        tagged = join_lookup(rows, lookup, names, name, hot_rows)
     hit = F.when(F.col("alias").isNotNull(), F.lit(100)).cast("long")
     return tagged.select(*kept, "standard_name", hit.alias("score"))
 
 
+def nameless(rows: DataFrame, name: str = "name") -> DataFrame:
+    """Rows without a name, with the ``reason``; resolving goes on without them."""
+    return rows.filter(F.col(name).isNull()).withColumn("reason", F.lit("no name"))
+
+
 def missed_keys(missed: DataFrame, name: str = "name") -> DataFrame:
     """``(key, n)``: distinct comparison keys of names without an alias, with their row counts."""
     return missed.groupBy(token_key(F.col(name)).alias("key")).agg(F.count(F.lit(1)).alias("n"))
@@ -79,7 +84,7 @@ def resolve(
         "key", gate(F.col("best"), confidence, above).alias("standard_name"), confidence.alias("match_confidence")
     )
     keyed = missed.withColumn("key", token_key(F.col(name)))
-    back = join_lookup(keyed, answers, keys, "key", kept, hot_rows)
+    back = join_lookup(keyed, answers, keys, "key", hot_rows)
     return hits.unionByName(back.drop("key"))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = 10_000_000
@@ -23,18 +23,26 @@ def hot_keys(counts: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame
 
 
 def join_lookup(
-    rows: DataFrame, lookup: DataFrame, counts: DataFrame, key: str, spread: list[Column], hot_rows: int = HOT_ROWS
+    rows: DataFrame, lookup: DataFrame, counts: DataFrame, key: str, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Inner join of ``rows`` to ``lookup`` (unique on ``key``); rows of a hot key go to many tasks.
 
-    ``counts`` is ``(key, n)`` over ``rows``. The salt is a hash of the ``spread``
-    columns, so a task that is run again gives the same rows.
+    ``counts`` is ``(key, n)`` over ``rows``. Rows of cold keys are joined as usual. Of hot keys, equal rows are counted
+    where they are read, and each count is cut into runs of ``hot_rows`` rows, which are dealt out one by one
+    and joined to the answers of hot keys. So even rows that are alike in all columns, which no salt
+    made of them could tell apart, spread over many tasks; a task that runs again gives the same rows.
     """
+    spark = rows.sparkSession
     hot = F.broadcast(hot_keys(counts, key, hot_rows))
-    salt = F.pmod(F.xxhash64(*spread), F.coalesce("fan", F.lit(1)))
-    salted = rows.join(hot, F.xxhash64(key) == F.col("hot"), "left").withColumn("salt", salt).drop("hot", "fan")
-    copies = F.explode(F.sequence(F.lit(0), F.coalesce("fan", F.lit(1)) - 1).cast("array<bigint>"))
-    copied = (
-        lookup.join(hot, F.xxhash64(key) == F.col("hot"), "left").withColumn("salt", copies).drop("hot", "fan")
-    )
-    return salted.join(copied, [key, "salt"]).drop("salt")
+    marked = rows.join(hot, F.xxhash64(key) == F.col("hot"), "left")
+    columns = [F.col(f"`{c}`") for c in rows.columns]
+    cold = marked.filter(F.col("hot").isNull()).select(*columns).join(lookup, key)
+    alike = marked.filter(F.col("hot").isNotNull()).groupBy(*columns).agg(F.count(F.lit(1)).alias("_times"))
+    runs = alike.withColumn("_run", F.explode(F.sequence(F.lit(0), F.floor((F.col("_times") - 1) / hot_rows))))
+    runs = runs.withColumn("_times", F.least(F.lit(hot_rows), F.col("_times") - F.col("_run") * hot_rows))
+    # Runs are few bytes but many rows: a fixed number of partitions keeps them apart.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = runs.repartition(tasks, F.xxhash64(*columns, "_run"))
+    answers = lookup.join(hot, F.xxhash64(key) == F.col("hot"), "left_semi")  # one row per hot key
+    found = dealt.join(F.broadcast(answers), key).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
+    return cold.unionByName(found.drop("_times", "_run", "_copy"))

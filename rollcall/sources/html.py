@@ -1,173 +1,33 @@
-"""HTML tables as columns, from page text and built-in expressions only.
+"""HTML tables as arrays of rows.
 
-A page stays one row until its cells are exploded, so taking a table apart, and
-choosing a column of it, needs no shuffle. End tags of rows and cells may be
-missing, as HTML allows; ``colspan`` and ``rowspan`` repeat a cell. Of nested tables
-the outer one ends where the first inner one does.
+A page stays one row until its cells are exploded, so taking a table apart, and choosing a column of it,
+needs no shuffle. Pages reach the tokenizer in Arrow batches; everything after it is built-in expressions.
 """
 
 from __future__ import annotations
 
-import json
-from html.entities import name2codepoint
-
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType, StringType, StructType
 
-from rollcall.functions.text import strip
-
-# Control characters that HTML does not allow: "row or cell starts" and "its content starts".
-START, BODY = "\x01", "\x02"
-ROW = r"(?i)<tr\b[^>]*>"
-THEAD = r"(?is)<thead\b[^>]*>(.*?)(?:</thead\s*>|<tbody\b[^>]*>|\z)"
-ENTITY = r"^(#\d{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
-SPAN = r"(?i)\b%s\s*=\s*[\"']?(\d{1,4})"
-SPANNED = "array<struct<text:string,left:int>>"
-ROWS = "array<struct<head:boolean,cells:array<string>>>"
-
-
-def _let(value: Column, body) -> Column:
-    """``body(value)`` with ``value`` computed once, also inside a lambda."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
-def _rest(pieces: Column) -> Column:
-    """All pieces but the first."""
-    return F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0)))
-
-
-def unescape(text: Column) -> Column:
-    """Decode character references, numeric and named, in one pass."""
-    names = json.dumps({name: chr(point) for name, point in name2codepoint.items()})
-    named = F.from_json(F.lit(names), "map<string,string>")
-
-    def numeric(ref: Column) -> Column:
-        hexed = F.conv(F.substring(ref, 3, 6), 16, 10)
-        point = F.when(ref.rlike("^#[xX]"), hexed).otherwise(F.substring(ref, 2, 7)).cast("bigint")
-        known = lambda p: p.between(1, 0xD7FF) | p.between(0xE000, 0x10FFFF)
-        point = _let(point, lambda p: F.when(known(p), p).otherwise(F.lit(0xFFFD)))
-        return F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")
-
-    def decoded(piece: Column) -> Column:
-        def char(ref: Column) -> Column:
-            return F.when(ref.startswith("#"), numeric(ref)).when(ref != "", F.try_element_at(named, ref))
-
-        def joined(ref: Column) -> Column:
-            tail = F.substr(piece, F.length(ref) + 2)
-            return F.coalesce(F.concat(char(ref), tail), F.concat(F.lit("&"), piece))
-
-        return _let(F.regexp_extract(piece, ENTITY, 1), joined)
-
-    def spliced(pieces: Column) -> Column:
-        return F.concat(F.get(pieces, F.lit(0)), F.array_join(F.transform(_rest(pieces), decoded), ""))
-
-    return _let(text, lambda t: F.when(t.contains("&"), _let(F.split(t, "&"), spliced)).otherwise(t))
-
-
-def cell_text(content: Column) -> Column:
-    """Text of a cell: markup dropped, references decoded, line breaks and runs of spaces to one space."""
-    bare = F.regexp_replace(F.regexp_replace(content, r"(?i)<br\b[^>]*>", "\n"), "<[^>]*>", "")
-    return F.regexp_replace(strip(unescape(bare)), r"(?U)[\r\n]+|\s{2,}", " ")
-
+from rollcall.functions import markup
 
-def tables(html: Column) -> Column:
-    """Inner text of every table, outside comments, scripts and styles."""
-    hidden = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|[\x01\x02]"
-    return F.regexp_extract_all(
-        F.regexp_replace(html, hidden, ""), F.lit(r"(?is)<table\b[^>]*>(.*?)(?:</table\s*>|\z)"), 1
-    )
-
-
-def _cells(row: Column) -> Column:
-    """Cells of one row as ``array<struct<text, left>>``: ``left`` rows to fill, this one included."""
-
-    def cell(piece: Column) -> Column:
-        content = F.regexp_replace(
-            F.substring_index(piece, BODY, -1), r"(?is)</t(?:[dhr]|body|foot|head)\b.*\z", ""
-        )
-
-        def span(kind: str) -> Column:
-            given = F.regexp_extract(F.substring_index(piece, BODY, 1), SPAN % kind, 1)
-            return _let(given, lambda n: F.when(n == "", F.lit(1)).otherwise(F.greatest(n.cast("int"), F.lit(1))))
-
-        spanned = F.struct(cell_text(content).alias("text"), span("rowspan").alias("left"))
-        return F.array_repeat(spanned, span("colspan"))
-
-    marked = F.regexp_replace(row, r"(?i)<t[dh]\b([^>]*)>", f"{START}$1{BODY}")
-    return F.flatten(F.transform(_let(F.split(marked, START), _rest), cell))
-
-
-def _fill_down(rows: Column) -> Column:
-    """Put cells that span several rows into the rows below them; only tables that have some come here."""
+cloudpickle.register_pickle_by_value(markup)  # executors need no copy of this package
 
-    def add_row(state: Column, row: Column) -> Column:
-        def held_from(place: Column) -> Column:
-            """Cells held from the rows above, from column ``place`` on without a gap."""
-            columns = F.when(place <= F.size(state.open), F.sequence(place, F.size(state.open)))
-            ends = F.filter(columns, lambda i: F.coalesce(F.get(state.open, i).left, F.lit(0)) < 1)
-            return F.slice(state.open, place + 1, F.coalesce(F.array_min(ends) - place, F.lit(0)))
+ROWS = ArrayType(StructType().add("head", BooleanType()).add("cells", ArrayType(StringType())))
 
-        def put(out: Column, cell: Column) -> Column:
-            return F.concat(out, held_from(F.size(out)), F.array(cell))
 
-        def close(out: Column) -> Column:
-            below = F.slice(state.open, F.size(out) + 1, F.greatest(F.size(state.open) - F.size(out), F.lit(0)))
-            return F.concat(out, F.filter(below, lambda c: c.left > 0))
-
-        filled = F.aggregate(row.cells, F.array().cast(SPANNED), put, close)
-        return _let(
-            filled,
-            lambda cells: F.struct(
-                F.concat(
-                    state.done, F.array(F.struct(row.head.alias("head"), cells.getField("text").alias("cells")))
-                ).alias("done"),
-                F.transform(
-                    cells, lambda c: F.struct(c.text.alias("text"), (c.left - 1).alias("left"))
-                ).alias("open"),
-            ),
-        )
-
-    start = F.struct(F.array().cast(ROWS).alias("done"), F.array().cast(SPANNED).alias("open"))
-    return F.aggregate(rows, start, add_row, lambda state: state.done)
-
-
-def table_rows(table: Column) -> Column:
-    """Rows of one table as ``array<struct<head, cells>>``.
-
-    Rows in a thead are header rows; without a thead, the leading rows of only th cells are.
-    """
-
-    def count_rows(text: Column) -> Column:
-        return F.regexp_count(text, F.lit(ROW))
-
-    def rows(parts: Column) -> Column:
-        texts = _let(F.split(F.regexp_replace(F.concat(parts.thead, parts.rest), ROW, START), START), _rest)
-        in_thead = count_rows(parts.thead)
-        # Rows that start before the first td, but for the one it stands in.
-        all_th = F.when(
-            parts.rest.rlike(r"(?i)<td\b"), count_rows(F.regexp_extract(parts.rest, r"(?is)^(.*?)<td\b", 1)) - 1
-        ).otherwise(count_rows(parts.rest))
-        lead = F.when(in_thead > 0, in_thead).otherwise(all_th)
-        spanned = _let(
-            lead,
-            lambda n: F.transform(texts, lambda row, i: F.struct((i < n).alias("head"), _cells(row).alias("cells"))),
-        )
-
-        def plain(rows: Column) -> Column:
-            return F.transform(rows, lambda r: F.struct(r.head.alias("head"), r.cells.getField("text").alias("cells")))
-
-        tall = lambda rows: F.exists(rows, lambda r: F.exists(r.cells, lambda c: c.left > 1))
-        return _let(spanned, lambda rows: F.when(tall(rows), _fill_down(rows)).otherwise(plain(rows)))
-
-    parts = F.struct(
-        F.regexp_extract(table, THEAD, 1).alias("thead"), F.regexp_replace(table, THEAD, "").alias("rest")
-    )
-    return _let(parts, rows)
+@F.pandas_udf(ArrayType(ROWS))
+def tables(html: pd.Series) -> pd.Series:
+    """Every table of a page, outside comments, scripts and styles; nested ones after the table that holds them."""
+    return html.map(markup.page_tables, na_action="ignore")
 
 
 def first_table_rows(html: Column) -> Column:
     """Rows of the first table; NULL for a page without one."""
-    return _let(F.get(tables(html), F.lit(0)), lambda first: F.when(first.isNotNull(), table_rows(first)))
+    return F.get(tables(html), F.lit(0))
 
 
 def data_cells(rows: Column) -> Column:
@@ -181,7 +41,7 @@ def table_cells(pages: DataFrame, doc: str, html: str, first_only: bool = False)
     if first_only:
         found = F.slice(found, 1, 1)
     in_tables = pages.select(doc, F.posexplode(found).alias("table_idx", "_table"))
-    in_rows = in_tables.select(doc, "table_idx", F.posexplode(table_rows(F.col("_table"))).alias("ro", "_row"))
+    in_rows = in_tables.select(doc, "table_idx", F.posexplode("_table").alias("ro", "_row"))
     cells = in_rows.select(
         doc, "table_idx", "ro", F.col("_row.head").alias("head"), F.posexplode("_row.cells").alias("co", "cell")
     )
@@ -192,7 +52,7 @@ def table_cells(pages: DataFrame, doc: str, html: str, first_only: bool = False)
 def probed_column(pages: DataFrame, html: str, probe, keep: list[str]) -> DataFrame:
     """``keep`` plus ``rows`` (data cells of the first table, NULL without a table) and ``col``, the probed column.
 
-    The one-element explode keeps the optimizer from parsing the page again
+    The one-element explode keeps the optimizer from taking the page apart again
     wherever ``rows`` is used.
     """
     taken = pages.select(*keep, F.explode(F.array(data_cells(first_table_rows(F.col(html))))).alias("rows"))

@@ -7,6 +7,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rollcall.session import drop_path, scratch_path
+
 # Minimal quoting, doubled quotes, spaces kept; an empty text is told from NULL by its quotes.
 CSV = {
     "header": "true",
@@ -15,6 +17,8 @@ CSV = {
     "ignoreTrailingWhiteSpace": "false",
     "encoding": "UTF-8",
 }
+#: Rows of one exported file; a reader's tasks are as long as that.
+FILE_ROWS = 1_000_000
 
 
 def write_layer(df: DataFrame, path: str) -> DataFrame:
@@ -23,15 +27,37 @@ def write_layer(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def write_layer_if_any(df: DataFrame, path: str) -> DataFrame:
+    """Replace the layer only when there are rows; the earlier one stays otherwise, and is returned.
+
+    The rows are stored beside the layer first, so an empty result is told without working it out twice. Where
+    there is no earlier layer, an empty one is written.
+    """
+    spark = df.sparkSession
+    staged = scratch_path(spark, "layer")
+    try:
+        df.write.parquet(staged)
+        rows = spark.read.schema(df.schema).parquet(staged)
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        there = where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+        if there and rows.isEmpty():
+            return spark.read.schema(df.schema).parquet(path)
+        return write_layer(rows, path)
+    finally:
+        drop_path(spark, staged)
+
+
 def export_csv(df: DataFrame, path: str, order: tuple[str, ...] = (), drop: tuple[str, ...] = ()) -> None:
     """Replace the CSV export at ``path``, rows in ``order``, without the ``drop`` columns."""
     if order:
         df = df.orderBy(*order)
-    df.drop(*drop).write.mode("overwrite").options(**CSV).csv(path)
+    df.drop(*drop).write.mode("overwrite").option("maxRecordsPerFile", FILE_ROWS).options(**CSV).csv(path)
 
 
-def read_csv(spark: SparkSession, path: str, schema: str, multi_line: bool = False) -> DataFrame:
-    """``multi_line`` reads texts with line breaks, at the price that no file is split between tasks."""
+def read_csv(spark: SparkSession, path: str, schema: str, multi_line: bool = True) -> DataFrame:
+    """Read a CSV export. Texts may hold line breaks, so a file is not split between tasks; exports
+    keep their files short. ``multi_line=False`` splits files, for texts without line breaks.
+    """
     return spark.read.schema(schema).options(**CSV, multiLine=multi_line).csv(path)
 
 
@@ -62,11 +88,20 @@ def land_raw(docs: DataFrame, path: str) -> None:
     docs.write.mode("overwrite").parquet(path)
 
 
-def write_feed(documents: DataFrame, path: str, part: str = "part") -> None:
-    """One JSON object per line and group; a long list goes on under ``part=1``, ``part=2``, .."""
-    documents.select(part, F.col("names_json").alias("value")).write.mode("overwrite").partitionBy(part).text(path)
+def write_feed(lists: DataFrame, path: str, group: str = "league", ascii_only: bool = False) -> None:
+    """One line per list: a JSON object of the group, the part, the place of its first name and the names.
+
+    ``lists`` is what ``ordered_lists`` gives. However many parts a group has, the files are
+    as many as the tasks that write them. ``ascii_only`` writes other characters as ``\\uXXXX``.
+    """
+    options = {"writeNonAsciiCharacterAsCodePoint": "true"} if ascii_only else {}
+    line = F.to_json(F.struct(F.col(group).alias("group"), "part", "start", "names"), options)
+    lists.select(line.alias("value")).write.mode("overwrite").text(path)
 
 
-def read_feed(spark: SparkSession, path: str) -> DataFrame:
-    """``(part, body)`` of a feed stored by ``write_feed``."""
-    return spark.read.schema("value string, part long").text(path).select("part", F.col("value").alias("body"))
+def read_feed(spark: SparkSession, path: str, group: str = "league") -> DataFrame:
+    """``(group, name_ord, name)`` of a feed stored by ``write_feed``; ``name_ord`` counts through all parts from 0."""
+    schema = "group string, part long, start long, names array<string>"
+    lines = spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    names = lines.select(F.col("group").alias(group), "start", F.posexplode("names").alias("pos", "name"))
+    return names.select(group, (F.col("start") + F.col("pos")).alias("name_ord"), "name")

@@ -41,6 +41,27 @@ def test_rank_by_arrival(spark, kind, bits):
     assert got == places(rows)
 
 
+@pytest.mark.parametrize("bits", [2, 21])
+def test_rank_by_page_and_row(spark, bits):
+    rnd = random.Random(9)
+    numbers = [-(2**62), -5, 0, 3, 2**39, 2**40, (1 << 62) + 1]
+    rows = [(g, p, r, f"{g}{p}-{r}") for g in ("a", "b") for p in numbers for r in rnd.sample(range(1000), 15)]
+    df = spark.createDataFrame(rows, "league string, page long, row long, name string").repartition(5)
+    got = {r.name: r.place for r in arrival_rank(df, "league", "page", "place", bits, within="row").collect()}
+    want = {}
+    for group in ("a", "b"):
+        for i, x in enumerate(sorted(x[1:] for x in rows if x[0] == group)):
+            want[x[2]] = i + 1
+    assert got == want
+
+
+def test_ties_are_broken_by_the_other_columns(spark):
+    rows = [("a", 1, n) for n in "zyxwv"]
+    for parts in (1, 4):
+        df = spark.createDataFrame(rows, "league string, ord long, name string").repartition(parts)
+        assert {r.name: r.place for r in arrival_rank(df, "league", "ord", "place").collect()} == {n: i + 1 for i, n in enumerate("vwxyz")}
+
+
 def test_gold_keeps_unknown_and_repeats(spark):
     rows = [("A", 5, "x"), ("A", 7, "UNKNOWN"), ("A", 9, "x"), ("B", 1, "y"), (None, 1, "z")]
     df = spark.createDataFrame(rows, "league string, name_ord long, standard_name string")
@@ -72,6 +93,7 @@ def test_long_lists_go_on_in_parts(spark):
     for group in ("hot", "a", "b"):
         parts = sorted((r.part, r.names) for r in lists if r.league == group)
         assert [p for p, _ in parts] == list(range(len(parts)))
+        assert all(r.start == 50 * r.part for r in lists)
         want = [n for _, n in sorted((o, n) for g, o, n in rows if g == group)]
         assert [n for _, names in parts for n in names] == want
 
@@ -80,4 +102,4 @@ def test_group_without_names_keeps_an_empty_list(spark):
     df = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y")], "league string, ord long, name string")
     groups = spark.createDataFrame([("a",), ("b",), ("b",)], "league string")
     got = sorted(map(tuple, ordered_lists(df, "league", "name", "ord", 1, groups).collect()))
-    assert got == [("a", 0, ["x"]), ("a", 1, ["y"]), ("b", 0, [])]
+    assert got == [("a", 0, 0, ["x"]), ("a", 1, 1, ["y"]), ("b", 0, 0, [])]

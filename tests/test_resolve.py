@@ -3,9 +3,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from rollcall.operators.dictionary import dictionary_size, flatten_aliases
+from rollcall.operators.dictionary import dictionary_size, flatten_aliases, unnamed
 from rollcall.operators.names import run_metrics
-from rollcall.operators.resolve import master, match_exact, resolve, review
+from rollcall.operators.resolve import master, match_exact, nameless, resolve, review
 from rollcall.operators.skew import join_lookup
 
 ENTRIES = [
@@ -110,12 +110,32 @@ def test_hot_key_is_split_and_nothing_is_lost(spark):
     df = spark.createDataFrame(rows, "key string, id long")
     lookup = df.select("key").distinct().withColumn("value", F.concat(F.lit("v-"), "key"))
     counts = df.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    joined = join_lookup(df, lookup, counts, "key", [F.col("id")], hot_rows=200)
+    joined = join_lookup(df, lookup, counts, "key", hot_rows=200)
     got = joined.collect()
     assert sorted((r.key, r.id) for r in got) == sorted(rows)
     assert all(r.value == f"v-{r.key}" for r in got)
 
 
+def test_equal_rows_of_a_hot_key_spread(spark):
+    rows = spark.range(20_000).select(F.lit("A").alias("league"), F.lit("hot").alias("name"))
+    counts = rows.groupBy("name").agg(F.count(F.lit(1)).alias("n"))
+    lookup = spark.createDataFrame([("hot", "v"), ("cold", "w")], "name string, value string")
+    joined = join_lookup(rows, lookup, counts, "name", hot_rows=1000)
+    per_task = joined.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in per_task) == 20_000
+    assert len(per_task) > 1 and max(r["count"] for r in per_task) < 20_000
+
+
+def test_entries_without_a_name_match_nothing(spark, raw):
+    rows = [*ENTRIES, (9, None, ["qqqq"]), (10, None, None)]
+    broken = spark.createDataFrame(rows, "ord long, standard_name string, aliases array<string>")
+    assert [r.ord for r in unnamed(broken).orderBy("ord").collect()] == [9, 10]
+    for options in ({}, {"small_rows": 0, "broadcast_bytes": 0}):
+        got = resolve(raw, broken, **options).collect()
+        assert {(r.league, r.name): (r.standard_name, r.match_confidence) for r in got} == WANT
+    assert [tuple(r) for r in nameless(raw).collect()] == [("B", 3, None, "no name")]
+
+
 def test_run_metrics_counts_before_and_after(spark):
     before = spark.createDataFrame([("a",), ("a",), ("b",)], "league string")
     after = before.distinct()

@@ -20,17 +20,26 @@ from rollcall.operators.names import (
 )
 from rollcall.operators.ranking import first_k, gold_ranking, ordered_lists
 from rollcall.operators.resolve import master, match_exact, missed_keys, resolve, review
-from rollcall.plans.medallion import medallion
+from rollcall.plans.medallion import medallion, run
 from rollcall.session import cut_lineage, scratch_path
 from rollcall.sources.feeds import (
     explode_feed,
     feed_documents,
     quarantine,
+    read_documents,
     tag_groups,
 )
-from rollcall.sources.html import probed_column, table_cells, unreadable
+from rollcall.sources.html import first_table_rows, probed_column, table_cells, unreadable
 from rollcall.sources.inline import inline_table
-from rollcall.sources.sinks import export_csv, export_snapshot, land_raw, read_csv, read_feed, write_feed
+from rollcall.sources.sinks import (
+    export_csv,
+    export_if_any,
+    export_snapshot,
+    land_raw,
+    read_csv,
+    read_feed,
+    write_feed,
+)
 
 SEASON = 2025
 AS_OF = datetime(2026, 1, 2, 3, 4)
@@ -50,6 +59,13 @@ NOISE = """CASE p_partkey % 8
 END"""
 
 
+# Customers' texts in the manner of the parts': words, a brand and the number.
+CUSTOMER_TEXT = """concat(
+  CASE c_custkey % 5 WHEN 0 THEN 'small' WHEN 1 THEN 'red' WHEN 2 THEN 'blue' WHEN 3 THEN 'old' ELSE 'green' END, ' ',
+  CASE c_custkey % 4 WHEN 0 THEN 'gizmo' WHEN 1 THEN 'widget' WHEN 2 THEN 'bolt' ELSE 'gear' END,
+  ' Brand#', CAST(c_custkey % 25 + 10 AS STRING), ' ', CAST(c_custkey AS STRING))"""
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -137,7 +153,7 @@ def best_of_misses(spark, sf_dir):
 
 
 def silver(spark, sf_dir):
-    return resolve(deduped(spark, sf_dir), club(spark, sf_dir))
+    return resolve(cut_lineage(deduped(spark, sf_dir)), club(spark, sf_dir))
 
 
 # ---- registered queries ---------------------------------------------------
@@ -155,19 +171,26 @@ def json_feed_explode(spark, sf_dir):
 def names_to_json(spark, sf_dir):
     """One document per league and hundred names; a league of stop words only keeps an empty list."""
     read = feed(spark, sf_dir).withColumn("league", F.expr("CASE WHEN cell = 'Team' THEN 'BLANK' ELSE league END"))
-    names = dedup_ordered(clean_names(read))
+    names = cut_lineage(dedup_ordered(clean_names(read)))
     lists = ordered_lists(names, "league", "name", "first_ord", LIST_ROWS, groups=read)
     return feed_documents(lists, "league", ["league", "part"])
 
 
 def json_feed_roundtrip(spark, sf_dir):
-    """Write the feed with escaped characters, read it back, restore each name's place."""
-    lists = ordered_lists(deduped(spark, sf_dir), "league", "name", "first_ord", LIST_ROWS)
+    """Write the feed with escaped characters and read it back, each name in its place."""
+    lists = ordered_lists(cut_lineage(deduped(spark, sf_dir)), "league", "name", "first_ord", LIST_ROWS)
     path = scratch_path(spark, "feed")
-    write_feed(feed_documents(lists, "league", ["part"], ascii_only=True), path)
-    names = explode_feed(read_feed(spark, path))
-    place = F.col("part") * LIST_ROWS + F.col("name_ord")
-    return names.select("league", place.cast("long").alias("name_ord"), "name")
+    write_feed(lists, path, "league", ascii_only=True)
+    return read_feed(spark, path)
+
+
+def json_documents_read(spark, sf_dir):
+    """Documents landed as files, one per league, read whole."""
+    lists = ordered_lists(cut_lineage(deduped(spark, sf_dir)), "league", "name", "first_ord")
+    docs = feed_documents(lists, "league", ["league"])
+    path = scratch_path(spark, "documents")
+    docs.repartition("league").write.partitionBy("league").text(path)
+    return explode_feed(read_documents(spark, path)).select("league", "name_ord", "name")
 
 
 def feed_tag_league(spark, sf_dir):
@@ -180,6 +203,27 @@ def alias_exact(spark, sf_dir):
     return match_exact(deduped(spark, sf_dir), club(spark, sf_dir)).drop("first_ord")
 
 
+def alias_beyond_broadcast(spark, sf_dir):
+    """As ``alias_exact``, with aliases that are taken to be too many for a broadcast."""
+    found = match_exact(cut_lineage(deduped(spark, sf_dir)), club(spark, sf_dir), broadcast_bytes=0)
+    return found.drop("first_ord")
+
+
+def resolve_hot(spark, sf_dir):
+    """Every cleaned name resolved by shuffles; rows are alike but for league and name, and a name is hot from six on."""
+    names = cut_lineage(cleaned(spark, sf_dir).select("league", "name"))
+    return resolve(names, club(spark, sf_dir), broadcast_bytes=0, hot_rows=5)
+
+
+def fuzzy_blocks(spark, sf_dir):
+    """Every customer's name and address-book entry against all parts' texts, by blocks."""
+    parts = table(spark, sf_dir, "part").groupBy(F.concat_ws(" ", "p_name", "p_brand", "p_partkey").alias("standard_name"))
+    dictionary = parts.agg(F.min("p_partkey").alias("ord")).withColumn("aliases", F.array().cast("array<string>"))
+    names = table(spark, sf_dir, "customer").selectExpr("c_custkey", f"{CUSTOMER_TEXT} AS name")
+    found = resolve(cut_lineage(names), cut_lineage(dictionary), broadcast_bytes=0, small_rows=0)
+    return found.select("c_custkey", "name", "standard_name", "match_confidence")
+
+
 def alias_miss(spark, sf_dir):
     return misses(spark, sf_dir).select("name").distinct()
 
@@ -239,7 +283,8 @@ def gold_snapshot(spark, sf_dir):
 
 
 def metrics(spark, sf_dir):
-    return run_metrics(cleaned(spark, sf_dir), deduped(spark, sf_dir), review(silver(spark, sf_dir)))
+    names = cut_lineage(deduped(spark, sf_dir))
+    return run_metrics(cleaned(spark, sf_dir), names, review(resolve(names, club(spark, sf_dir))))
 
 
 def html_table_cells(spark, sf_dir):
@@ -252,6 +297,33 @@ def pages_list_cells(spark, sf_dir):
     return table_cells(pages_tables(spark, sf_dir), "page_id", "html").drop("head")
 
 
+HARD = (
+    # Each of these around the row's cell must give the cell back, or what stands beside it.
+    ("<td title='a>b'>{}</td>", "{}"),
+    ('<td data-colspan="3" title="x > y">{}</td>', "{}"),
+    ("<td colspan='0002'>{}</td>", "{}|{}"),
+    ("<td>Queen&apos;s {} &amp Co&nbsp</td>", "Queen's {} & Co"),
+    ("<td>&#0000000233;&#146;&lsqb;&cacute; {}</td>", "é’[ć {}"),
+    ("<td>{} <table><tr><td>inner</td></tr></table> end</td>", "{} inner end"),
+    ("<td><script>if (a < b) x = '<td>no</td>'</script>{}<!-- <td>no</td> --></td>", "{}"),
+)
+
+
+def html_hard_cells(spark, sf_dir):
+    """First tables of generated pages whose cells use the harder parts of HTML."""
+    part = table(spark, sf_dir, "part").select("p_type", "p_partkey", F.regexp_replace("p_name", "[^a-z ]", "").alias("cell"))
+    row = F.lit(None).cast("string")
+    for i, (markup, _) in enumerate(HARD):
+        before, after = markup.split("{}")
+        row = F.when(F.col("p_partkey") % len(HARD) == i, F.concat(F.lit(f"<tr>{before}"), "cell", F.lit(f"{after}<td>"), "p_partkey")).otherwise(row)
+    rows = part.withColumn("doc", F.expr("p_partkey div 50")).groupBy("doc").agg(
+        F.array_sort(F.collect_list(F.struct("p_partkey", row.alias("tr")))).alias("body")
+    )
+    html = F.concat(F.lit("<table>"), F.array_join("body.tr", ""), F.lit("</table><table><tr><td>other</table>"))
+    taken = rows.select("doc", F.posexplode(first_table_rows(html)).alias("ro", "r"))
+    return taken.select("doc", F.col("ro").cast("long").alias("ro"), F.array_join("r.cells", "|").alias("cells"))
+
+
 def probe_column_len(spark, sf_dir):
     return probed_column(html_docs(spark, sf_dir), "html", probe_longer, ["league", "doc"]).drop("rows")
 
@@ -263,9 +335,19 @@ def probe_column_contains(spark, sf_dir):
 
 
 def bad_feed_quarantine(spark, sf_dir):
-    cut = F.expr("CASE WHEN event_id % 10 = 0 THEN substr(props, 1, 3) ELSE props END")
-    docs = table(spark, sf_dir, "events").select("event_id", cut.alias("body"))
-    return quarantine(docs, "body", "map<string,string>").drop("body")
+    """Events' properties as feeds; of ten documents five are damaged, each in its own way."""
+    feed = F.to_json(F.create_map(F.lit("A"), F.array("props", F.col("event_id").cast("string"))))
+    way = F.col("event_id") % 10
+    body = (
+        F.when(way == 0, F.substring(feed, 1, 9))
+        .when(way == 1, F.concat(feed, F.lit(" trailing")))
+        .when(way == 2, F.concat(feed, F.lit("\n"), feed))
+        .when(way == 3, F.lit("{'A': ['x']}"))
+        .when(way == 4, F.concat(F.lit('{"A": ["x", '), F.col("props"), F.lit("]}")))
+        .when(way == 5, F.concat(F.lit("["), feed, F.lit("]")))
+        .otherwise(feed)
+    )
+    return quarantine(table(spark, sf_dir, "events").select("event_id", body.alias("body"))).drop("body")
 
 
 def pages_quarantine(spark, sf_dir):
@@ -300,21 +382,73 @@ def inline_counts(spark, sf_dir):
 def csv_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "csv")
     awkward = feed(spark, sf_dir).withColumn(
-        "cell", F.expr("CASE WHEN ord % 3 = 0 THEN concat(cell, ',\"q\"\\\\NA') ELSE cell END")
+        "cell", F.expr("CASE WHEN ord % 3 = 0 THEN concat(cell, ',\"q\"\\\\NA', chr(10), 'next') ELSE cell END")
     )
     export_csv(awkward, path)
     return read_csv(spark, path, "league string, ord long, cell string")
 
 
+def master_export(spark, sf_dir):
+    """The master table as CSV, read back."""
+    path = scratch_path(spark, "master")
+    stored = cut_lineage(silver(spark, sf_dir))
+    export_csv(master(stored, keep=("first_ord",)), path, order=("league", "first_ord"), drop=("first_ord",))
+    return read_csv(spark, path, "raw_name string, standard_name string, league string, match_confidence long")
+
+
+def review_export(spark, sf_dir):
+    """The review log of a run stays when the next run has nothing to review, unless it is to be cleared."""
+    kept, cleared = scratch_path(spark, "review"), scratch_path(spark, "review")
+    log = cut_lineage(review(silver(spark, sf_dir)))
+    for path, clear in ((kept, False), (cleared, True)):
+        export_if_any(log, path, order=("league", "raw_input"))
+        export_if_any(log.limit(0), path, clear_when_empty=clear)
+    schema = "raw_input string, guessed_name string, confidence_score long, league string"
+    logs = [read_csv(spark, path, schema).withColumn("log", F.lit(name)) for path, name in ((kept, "kept"), (cleared, "cleared"))]
+    return logs[0].unionByName(logs[1])
+
+
+def inline_export(spark, sf_dir):
+    """The inline table joined to its counts, as CSV, read back."""
+    path = scratch_path(spark, "inline")
+    counts = inline_counts(spark, sf_dir)
+    export_csv(counts, path, order=("league_pos",))
+    return read_csv(spark, path, ", ".join(f"{name} {kind}" for name, kind in counts.dtypes))
+
+
 def raw_landing(spark, sf_dir):
     path = scratch_path(spark, "raw")
     land_raw(table(spark, sf_dir, "events").select("event_id", F.col("props").alias("body")), path)
     return spark.read.schema("event_id long, body string").parquet(path)
 
 
+def far_pages(spark, sf_dir):
+    """The generated pages under numbers as far apart as ``monotonically_increasing_id`` puts them."""
+    return html_docs(spark, sf_dir).withColumn("doc", F.expr("shiftleft(CAST(doc AS BIGINT), 33)"))
+
+
 def medallion_end_to_end(spark, sf_dir):
     """Pages -> names -> resolved -> ranked per league."""
-    return medallion(html_docs(spark, sf_dir), club(spark, sf_dir), "league", "doc", SEASON)
+    return medallion(far_pages(spark, sf_dir), club(spark, sf_dir), "league", "doc", SEASON)
+
+
+def bronze_guard(spark, sf_dir):
+    """Two runs of the flow; the second finds pages without tables only, and the names of the first stay."""
+    base = scratch_path(spark, "flow")
+    pages, dictionary = cut_lineage(far_pages(spark, sf_dir)), cut_lineage(club(spark, sf_dir))
+    run(pages, dictionary, base, AS_OF, SEASON, "league", "doc")
+    bare = pages.withColumn("html", F.lit("<p>under repair</p>"))
+    paths = run(bare, dictionary, base, AS_OF, SEASON, "league", "doc")
+    names = spark.read.parquet(paths["bronze"]).groupBy("league").agg(F.count(F.lit(1)).alias("n_names"))
+    aside = spark.read.parquet(paths["quarantine"]).groupBy("league").agg(F.count(F.lit(1)).alias("n_aside"))
+    return names.join(aside, "league")
+
+
+def flow_metrics(spark, sf_dir):
+    """The counts that a run of the flow stores."""
+    base = scratch_path(spark, "flow")
+    paths = run(cut_lineage(far_pages(spark, sf_dir)), cut_lineage(club(spark, sf_dir)), base, AS_OF, SEASON, "league", "doc")
+    return spark.read.parquet(paths["metrics"])
 
 
 QUERIES = {
@@ -324,21 +458,26 @@ QUERIES = {
     "first_k_names": lambda spark, sf_dir: first_k(deduped(spark, sf_dir), "league", "first_ord", 20),
     "names_to_json": names_to_json,
     "json_feed_roundtrip": json_feed_roundtrip,
+    "json_documents_read": json_documents_read,
     "feed_tag_league": feed_tag_league,
     "alias_flatten": lambda spark, sf_dir: flatten_aliases(club(spark, sf_dir)),
     "alias_exact": alias_exact,
+    "alias_beyond_broadcast": alias_beyond_broadcast,
     "alias_miss": alias_miss,
     "normalise_names": normalise_names,
     "token_sort_ratio": token_sort_ratio,
     "fuzzy_best": fuzzy_best,
     "fuzzy_entities": fuzzy_entities,
+    "fuzzy_blocks": fuzzy_blocks,
     "match_gate": match_gate,
+    "resolve_hot": resolve_hot,
     "silver_master": lambda spark, sf_dir: master(silver(spark, sf_dir)),
     "review_log": lambda spark, sf_dir: review(silver(spark, sf_dir)),
     "gold_ranking": gold,
     "gold_snapshot": gold_snapshot,
     "run_metrics": metrics,
     "html_table_cells": html_table_cells,
+    "html_hard_cells": html_hard_cells,
     "pages_list_cells": pages_list_cells,
     "probe_column_len": probe_column_len,
     "probe_column_contains": probe_column_contains,
@@ -347,5 +486,10 @@ QUERIES = {
     "inline_table": inline_counts,
     "csv_roundtrip": csv_roundtrip,
     "raw_landing": raw_landing,
+    "master_export": master_export,
+    "review_export": review_export,
+    "inline_export": inline_export,
     "medallion_end_to_end": medallion_end_to_end,
+    "bronze_guard": bronze_guard,
+    "flow_metrics": flow_metrics,
 }

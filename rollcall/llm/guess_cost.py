@@ -47,6 +47,8 @@ DATE = re.compile(
 RANK = {word: i + 1 for i, word in enumerate(WORDS)}
 NEXT = {(a, b): row for row in (*ROWS, *(r[::-1] for r in ROWS)) for a, b in zip(row, row[1:], strict=False)}
 LONGEST = max(map(len, WORDS))
+#: Rows that a task searches at a time.
+ROWS = 256
 #: Longest unit that counts as a repeat.
 UNIT = 8
 
@@ -153,9 +155,11 @@ def find_secrets(docs: DataFrame, id: str = "doc_id", text: str = "text", costly
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            both = [secret_spans(x.as_py() or "", costly) for x in batch.column(1)]
-            columns = [pa.array([[dict(zip(names, s, strict=True)) for s in b[i]] for b in both], kind) for i in (0, 1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["id", "base", "spans"])
+            for at in range(0, len(batch), ROWS):
+                part = batch.slice(at, ROWS)
+                both = [secret_spans(x.as_py() or "", costly) for x in part.column(1)]
+                columns = [pa.array([[dict(zip(names, s, strict=True)) for s in b[i]] for b in both], kind) for i in (0, 1)]
+                yield pa.RecordBatch.from_arrays([part.column(0), *columns], ["id", "base", "spans"])
 
     names = ("kind", "start", "end")
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
@@ -173,16 +177,16 @@ def redact(docs: DataFrame, id: str = "doc_id", text: str = "text", size: str |
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [masked(x.as_py(), mark) for x in batch.column(text)]
-            columns = {c: batch.column(c) for c in batch.schema.names}
-            if size in columns:
-                old = columns[size]
-                columns[size] = pa.array(
-                    [n.as_py() if new == was.as_py() else len(new) for n, new, was in zip(old, texts, batch.column(text), strict=True)],
-                    old.type,
-                )
-            columns[text] = pa.array(texts, batch.column(text).type)
-            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+            for at in range(0, len(batch), ROWS):
+                part = batch.slice(at, ROWS)
+                columns = {c: part.column(c) for c in part.schema.names}
+                old = columns[text].to_pylist()
+                new = [masked(x, mark) for x in old]
+                columns[text] = pa.array(new, columns[text].type)
+                if size in columns:
+                    sizes = zip(columns[size].to_pylist(), old, new, strict=True)
+                    columns[size] = pa.array([n if a == b else len(b) for n, a, b in sizes], columns[size].type)
+                yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -183,10 +183,12 @@ def pieces(path: str) -> Pieces:
     return Pieces(path)
 
 
-def encoded(docs: DataFrame, model: str, n: int, id: str = "doc_id", text: str = "text") -> DataFrame:
+def encoded(
+    docs: DataFrame, model: str, n: int, id: str = "doc_id", text: str = "text", back: bool = False
+) -> DataFrame:
     """``(id, rank, score, ids)``: up to ``n`` segmentations of each row's text, ``ids`` little-endian unsigned 32 bits.
 
-    NULL and empty texts have one segmentation, without ids. Texts with fewer ways give fewer rows. Repeated rows and ids
+    With ``back``, a further column holds what the ids decode to, in the same pass. NULL and empty texts have one segmentation, without ids. Texts with fewer ways give fewer rows. Repeated rows and ids
     are encoded one by one; other columns are left behind.
     """
 
@@ -195,11 +197,17 @@ def encoded(docs: DataFrame, model: str, n: int, id: str = "doc_id", text: str =
         for batch in batches:
             for ids, texts in slices(batch, ENCODE_CHARS):
                 rows = [(i, r + 1, s, x) for i, t in zip(ids, texts, strict=True) for r, (s, x) in enumerate(known.segmentations(t, n))]
-                columns = zip(list(zip(*rows, strict=True)), [batch.schema.field(0).type, pa.int32(), pa.float64(), pa.binary()], strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in columns], ["id", "rank", "score", "ids"])
+                columns = [list(c) for c in zip(*rows, strict=True)]
+                if back:
+                    columns.append([known.decode(x) for x in columns[3]])
+                arrays = [pa.array(c, kind) for c, kind in zip(columns, [batch.schema.field(0).type, *kinds], strict=True)]
+                yield pa.RecordBatch.from_arrays(arrays, names)
 
     pick = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
-    return pick.mapInArrow(run, f"id {pick.schema['id'].dataType.simpleString()}, rank int, score double, ids binary")
+    names = ["id", "rank", "score", "ids"] + ["back"] * back
+    kinds = [pa.int32(), pa.float64(), pa.binary()] + [pa.string()] * back
+    schema = f"id {pick.schema['id'].dataType.simpleString()}, rank int, score double, ids binary"
+    return pick.mapInArrow(run, schema + ", back string" * back)
 
 
 def decoded(rows: DataFrame, model: str, ids: str = "ids", text: str = "text") -> DataFrame:

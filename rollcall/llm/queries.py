@@ -69,26 +69,16 @@ def op1_simhash(spark, sf_dir):
 
 
 def op2_nbest_pieces(spark, sf_dir):
-    """Each segmentation's score and a checksum of its ids, and whether they decode to the text."""
-    docs = documents(spark, sf_dir).select("doc_id", "text")
-    found = nbest.encoded(docs, PIECE_BPE, N_BEST)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = nbest.pieces(PIECE_BPE)
-        for batch in batches:
-            texts = [known.decode(x.as_buffer()).encode() for x in batch.column("ids")]
-            columns = [
-                batch.column("id"),
-                batch.column("rank"),
-                batch.column("score"),
-                pa.array([len(x.as_buffer()) // 4 for x in batch.column("ids")], pa.int64()),
-                pa.array([zlib.crc32(x.as_buffer()) for x in batch.column("ids")], pa.int64()),
-                pa.array([zlib.crc32(x) for x in texts], pa.int64()),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "rank", "score", "n_pieces", "ids_crc32", "text_crc32"])
-
-    kind = found.schema["id"].dataType.simpleString()
-    return found.mapInArrow(run, f"doc_id {kind}, rank int, score double, n_pieces long, ids_crc32 long, text_crc32 long")
+    """Each segmentation's score, and checksums of its ids and of the text that they decode to."""
+    found = nbest.encoded(documents(spark, sf_dir), PIECE_BPE, N_BEST, back=True)
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "rank",
+        "score",
+        (F.octet_length("ids") / 4).cast("long").alias("n_pieces"),
+        F.crc32("ids").alias("ids_crc32"),
+        F.crc32(F.encode("back", "UTF-8")).alias("text_crc32"),
+    )
 
 
 def op3_quality_bradley_terry(spark, sf_dir):

@@ -17,6 +17,7 @@ STATE = {
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
     "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "4",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",  # else each partition reserves disk ahead
 }
 #: Landed bytes that one micro-batch takes in.
 BATCH_BYTES = 16 << 30

@@ -12,7 +12,6 @@ from __spark_entry__ import entry
 from check import compare
 from oracle import ORACLE
 from rollcall.operators.names import clean_feed
-from rollcall.operators.resolve import resolve
 from rollcall.plans import medallion
 from rollcall.session import cut_lineage, drop_path, name_scratch, scratch_path, scratch_root
 from rollcall.sources.sinks import read_csv

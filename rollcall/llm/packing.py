@@ -22,15 +22,32 @@ ENCODE_CHARS = 1 << 20
 def fullest(left: Counter[int], window: int) -> Counter[int]:
     """The multiset of lengths in ``left`` whose sum comes closest to ``window`` from below.
 
+    A sum that is the window itself is sought with the longest length in it first, which few others go with; only
+    if there is none are all lengths tried.
+    """
+    lengths = sorted(left, reverse=True)
+    longest = lengths[0]
+    fitting = [x for x in lengths if x <= window - longest]
+    more = Counter(left)
+    more[longest] -= 1
+    taken = _subset(more, fitting, window, longest)
+    if taken is None:
+        return _subset(left, lengths, window, 0)
+    taken[longest] += 1
+    return taken
+
+
+def _subset(left: Counter[int], lengths: list[int], window: int, held: int) -> Counter[int] | None:
+    """The counts of ``lengths`` that, with ``held``, come closest to ``window``; with some held, only if they reach it.
+
     Subset sums are the bits of a number: a length that is there c times is shifted in as
-    1, 2, 4 .. copies that add up to c. The longest length goes first, and the sums are
-    no longer extended once the window can be filled. The counts are found by going
-    back through the shifts.
+    1, 2, 4 .. copies that add up to c. The sums are no longer extended once the window can
+    be filled. The counts are found by going back through the shifts.
     """
-    mask, sums, steps = (1 << window + 1) - 1, 1, []
-    for length in sorted(left, reverse=True):
-        count, copies = min(left[length], window // length), 1
-        while count:
+    mask, sums, steps = (1 << window + 1) - 1, 1 << held, []
+    for length in lengths:
+        count, copies = min(left[length], (window - held) // length), 1
+        while count > 0:
             copies = min(copies, count)
             steps.append((length, copies, sums))
             sums |= sums << length * copies & mask
@@ -39,6 +56,8 @@ def fullest(left: Counter[int], window: int) -> Counter[int]:
         if sums >> window:
             break
     at, taken = sums.bit_length() - 1, Counter()
+    if held and at < window:
+        return None
     for length, copies, before in reversed(steps):
         if not before >> at & 1:
             taken[length] += copies

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 from functools import cache
+from itertools import chain
 
 import numpy as np
 
@@ -62,8 +63,12 @@ class Encoder:
         cuts = [cut(x, self.path) for x in texts]
         if len(self.ids) > self.remembered:
             self.ids = {}
-        new = list({p for c in cuts for p in c if p not in self.ids})
-        for p, ids in zip(new, encode(new, self.path), strict=True):
-            self.ids[p] = np.array(ids, "<u4").tobytes()
+        new = list(set(chain.from_iterable(cuts)).difference(self.ids))
+        found = encode(new, self.path)
+        flat = np.fromiter(chain.from_iterable(found), "<u4").tobytes()
+        at = 0
+        for p, ids in zip(new, found, strict=True):
+            self.ids[p] = flat[at : at + 4 * len(ids)]
+            at += 4 * len(ids)
         known = self.ids.__getitem__
         return [b"".join(map(known, c)) for c in cuts]

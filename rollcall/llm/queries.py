@@ -2,11 +2,7 @@
 
 from __future__ import annotations
 
-import zlib
-from collections.abc import Iterator
-
 import public_tokenizers
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -166,16 +162,9 @@ def op8_slack_packing(spark, sf_dir):
 
 def piece_digests(pieces: DataFrame) -> DataFrame:
     """The packed pieces with a checksum in place of their ids."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            crc = pa.array([zlib.crc32(x.as_buffer()) for x in batch.column("ids")], pa.int64())
-            columns = {c: batch.column(c) for c in batch.schema.names}
-            yield pa.RecordBatch.from_arrays([crc if c == "ids" else v for c, v in columns.items()], out)
-
-    out = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
-    kinds = [f"doc_id {pieces.schema['id'].dataType.simpleString()}", *(f"{c} long" for c in out[1:])]
-    return pieces.mapInArrow(run, ", ".join(kinds))
+    return pieces.select(
+        F.col("id").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
 
 
 def op9_url_markov(spark, sf_dir):

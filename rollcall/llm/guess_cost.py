@@ -47,8 +47,8 @@ DATE = re.compile(
 RANK = {word: i + 1 for i, word in enumerate(WORDS)}
 NEXT = {(a, b): row for row in (*ROWS, *(r[::-1] for r in ROWS)) for a, b in zip(row, row[1:], strict=False)}
 LONGEST = max(map(len, WORDS))
-#: Rows that a task searches at a time.
-ROWS = 256
+#: Documents that a task searches at a time.
+SLICE = 256
 #: Longest unit that counts as a repeat.
 UNIT = 8
 
@@ -155,8 +155,8 @@ def find_secrets(docs: DataFrame, id: str = "doc_id", text: str = "text", costly
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, len(batch), ROWS):
-                part = batch.slice(at, ROWS)
+            for at in range(0, len(batch), SLICE):
+                part = batch.slice(at, SLICE)
                 both = [secret_spans(x.as_py() or "", costly) for x in part.column(1)]
                 columns = [pa.array([[dict(zip(names, s, strict=True)) for s in b[i]] for b in both], kind) for i in (0, 1)]
                 yield pa.RecordBatch.from_arrays([part.column(0), *columns], ["id", "base", "spans"])
@@ -177,8 +177,8 @@ def redact(docs: DataFrame, id: str = "doc_id", text: str = "text", size: str |
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, len(batch), ROWS):
-                part = batch.slice(at, ROWS)
+            for at in range(0, len(batch), SLICE):
+                part = batch.slice(at, SLICE)
                 columns = {c: part.column(c) for c in part.schema.names}
                 old = columns[text].to_pylist()
                 new = [masked(x, mark) for x in old]

@@ -1,7 +1,8 @@
-"""Repeated paragraphs across documents: MinHash bands, exact Jaccard, components."""
+"""Repeated paragraphs and passages across documents: MinHash bands, exact Jaccard, components."""
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -23,6 +24,10 @@ SEED = 11
 BLOCK = 2048
 #: Up to so many members are compared set by set.
 FEW = 24
+#: Words of a passage that is found wherever it stands in a text, and of the units that are compared for it.
+PASSAGE, UNIT = 50, 25
+#: Documents that a task cuts into units at a time, and words whose hashes a worker keeps.
+SLICE, KNOWN = 64, 1 << 18
 
 
 def tuned(similar: float = SIMILAR, rows: int = ROWS, recall: float = RECALL) -> int:
@@ -44,9 +49,9 @@ def paragraphs(docs: DataFrame, id: str, text: str, shingle: int) -> DataFrame:
 
     ``norm`` is in lower case with single spaces; ``key`` is its MD5, so equal paragraphs are one from there on.
     """
-    lines = docs.select(F.col(id).alias("id"), F.posexplode(F.split(F.col(text), "\n")).alias("para", "line"))
-    norm = F.trim(F.regexp_replace(F.lower("line"), "[\\s\\x1c-\\x1f]+", " "))
-    lines = lines.select("id", "para", norm.alias("norm"))
+    norm = lambda line: F.trim(F.regexp_replace(F.lower(line), "[\\s\\x1c-\\x1f]+", " "))
+    split = F.transform(F.split(F.col(text), "\n"), norm)  # before the explode: worked out once
+    lines = docs.select(F.col(id).alias("id"), F.posexplode(split).alias("para", "norm"))
     lines = lines.filter(F.length("norm") - F.length(F.replace("norm", F.lit(" "))) >= shingle - 1).filter("norm <> ''")
     return lines.select("id", "para", "norm", F.unhex(F.md5("norm")).alias("key"))
 
@@ -157,6 +162,85 @@ def links(members: DataFrame, similar: float, shingle: int) -> DataFrame:
     return members.mapInArrow(run, "a long, b long")
 
 
+class WordHashes(dict):
+    """Hash by word, worked out when a word is first met."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = value = xxhash.xxh64_intdigest(word.encode(), SEED)
+        return value
+
+
+def shingle_hashes(words: list[str], known: WordHashes, shingle: int) -> np.ndarray:
+    """A hash per run of ``shingle`` words."""
+    if len(known) > KNOWN:
+        known.clear()
+    own = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+    n = max(0, len(words) - shingle + 1)
+    out = np.zeros(n, np.uint64)
+    for i in range(shingle):
+        out = (out ^ (out >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + own[i : i + n]
+    out = (out ^ (out >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
+    return out ^ (out >> np.uint64(29))
+
+
+def anchors(hashes: np.ndarray, n_words: int, passage: int, unit: int) -> np.ndarray:
+    """Words at which units start: the least hash of each run of ``passage - unit + 1``, so equal passages start alike.
+
+    Every run of ``passage`` words holds a whole unit whose start depends on these words only.
+    """
+    if n_words < passage:
+        return np.zeros(0, np.int64)
+    bits = np.uint64(len(hashes).bit_length())
+    least = (hashes >> bits << bits) | np.arange(len(hashes), dtype=np.uint64)  # of equal ones the first
+    run, width = passage - unit + 1, 1
+    while width < run:
+        step = min(width, run - width)
+        least = np.minimum(least[:-step], least[step:])
+        width += step
+    found = (least[: n_words - passage + 1] & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    return found[np.diff(found, prepend=-1) > 0]
+
+
+def units(words: list[str], starts: np.ndarray, unit: int) -> list[tuple[int, str]]:
+    """``(start, norm)`` of the units; of equal ones that overlap (a text that repeats itself at once) the first only."""
+    out, ends = [], {}
+    for start in starts.tolist():
+        norm = " ".join(words[start : start + unit])
+        if start >= ends.get(norm, 0):
+            out.append((start, norm))
+            ends[norm] = start + unit
+    return out
+
+
+def passages(docs: DataFrame, id: str, text: str, shingle: int, passage: int, unit: int) -> DataFrame:
+    """``(id, start, key)`` of each text's units; ``key`` is the MD5 of its words in lower case with single spaces.
+
+    ``start`` counts the words of the whole text, line breaks or not, from 0; words are what white space parts.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordHashes()
+        for batch in batches:
+            for at in range(0, len(batch), SLICE):
+                part = batch.slice(at, SLICE)
+                rows, starts, keys = [], [], []
+                for i, x in enumerate(part.column(1)):
+                    words = (x.as_py() or "").lower().split()
+                    found = anchors(shingle_hashes(words, known, shingle), len(words), passage, unit)
+                    for start, norm in units(words, found, unit):
+                        rows.append(i)
+                        starts.append(start)
+                        keys.append(hashlib.md5(norm.encode()).digest())
+                if rows:
+                    columns = [part.column(0).take(pa.array(rows)), pa.array(starts, pa.int64()), pa.array(keys, pa.binary())]
+                    yield pa.RecordBatch.from_arrays(columns, ["id", "start", "key"])
+
+    if not shingle <= unit <= passage:
+        raise ValueError("a unit has the words of a shingle at least and of a passage at most")
+    pick = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
+    return pick.mapInArrow(run, f"id {pick.schema['id'].dataType.simpleString()}, start long, key binary")
+
+
 def repeated_paragraphs(
     docs: DataFrame,
     id: str = "doc_id",
@@ -211,3 +295,32 @@ def repeated_paragraphs(
         "group_size",
         (F.col("id").eqNullSafe(F.col("keep.id")) & (F.col("para") == F.col("keep.para"))).alias("kept"),
     )
+
+
+def repeated_passages(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, passage: int = PASSAGE, unit: int = UNIT
+) -> DataFrame:
+    """``(id, start, end, keep_id, keep_start, keep_end, group_size, kept)`` of units of ``unit`` words that stand elsewhere too.
+
+    Units are cut by content from the whole text. So wherever the same ``passage`` words or more stand twice, within a
+    line or over line breaks, at least one unit of them is found at both places. Units lie ``passage - unit + 1`` words
+    apart at most and may overlap; at either end of a passage up to as many words can be in none of its
+    units. ``start`` and ``end`` (exclusive) count words. Units are equal but for case and white space: two of this length
+    reach a Jaccard similarity of 0.8 only if they are shifted or differ in their outermost words. The
+    first of a group, by id and start, is kept; NULLs and repeated rows are as for paragraphs.
+    """
+    all_rows = cut_lineage(passages(docs, id, text, shingle, passage, unit))
+    place = F.struct(F.col("id").isNull().alias("none"), "id", "start")
+    groups = all_rows.groupBy("key").agg(F.min(place).alias("keep"), F.count("*").alias("group_size"))
+    groups = cut_lineage(groups.filter("group_size > 1"))
+    keep_id, keep_start = F.col("keep.id"), F.col("keep.start")
+    return all_rows.join(groups, "key").select(
+        "id",
+        "start",
+        (F.col("start") + unit).alias("end"),
+        keep_id.alias("keep_id"),
+        keep_start.alias("keep_start"),
+        (keep_start + unit).alias("keep_end"),
+        "group_size",
+        (F.col("id").eqNullSafe(keep_id) & (F.col("start") == keep_start)).alias("kept"),
+    )

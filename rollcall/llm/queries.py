@@ -102,7 +102,10 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS te
 
 
 def op5_paragraph_minhash(spark, sf_dir):
-    found = paragraph_minhash.repeated_paragraphs(documents(spark, sf_dir))
+    """Lines (``para``), and passages wherever they stand in a text (words ``start`` to ``end``); the other columns are NULL."""
+    docs = documents(spark, sf_dir)
+    found = paragraph_minhash.repeated_paragraphs(docs)
+    found = found.unionByName(paragraph_minhash.repeated_passages(docs), allowMissingColumns=True)
     return found.withColumnsRenamed({"id": "doc_id", "keep_id": "keep_doc_id"})
 
 

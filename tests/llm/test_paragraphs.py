@@ -1,7 +1,16 @@
 import random
 import re
 
-from rollcall.llm.paragraph_minhash import linked, repeated_paragraphs, shingles, tuned
+from rollcall.llm.paragraph_minhash import (
+    WordHashes,
+    anchors,
+    linked,
+    repeated_paragraphs,
+    repeated_passages,
+    shingle_hashes,
+    shingles,
+    tuned,
+)
 from llm_rows import ODD, prose
 
 
@@ -83,3 +92,41 @@ def test_odd_rows(odd, none):
     got = repeated_paragraphs(odd)
     assert sorted(((r.id, r.para, r.keep_id, r.keep_para, r.group_size) for r in got.collect()), key=repr) == by_hand(ODD)
     assert repeated_paragraphs(none).collect() == []
+
+
+def test_passages_within_lines(docs_of):
+    copied = prose(900, 50)
+    places = {0: (0, 90), 1: (37, 0), 2: (140, 61), 3: (11, 200)}
+    rows = [(i, f"{prose(10 + i, a)} {copied} {prose(30 + i, b)}".strip()) for i, (a, b) in places.items()]
+    wrapped = copied.split(" ")
+    rows += [(4, prose(50, 70)), (5, f"{prose(51, 30)}\n{' '.join(wrapped[:20])}\n{' '.join(wrapped[20:])} {prose(52, 9)}")]
+    assert repeated_paragraphs(docs_of(rows[:5])).collect() == []
+    places[5] = (30, 9)
+    got = repeated_passages(docs_of(rows)).collect()
+    assert {r.id for r in got} == places.keys()
+    for r in got:
+        words = rows[r.id][1].split()
+        assert places[r.id][0] <= r.start < r.end <= places[r.id][0] + 50 and r.end - r.start == 25
+        assert words[r.start : r.end] == rows[r.keep_id][1].split()[r.keep_start : r.keep_end]
+        assert r.kept == ((r.id, r.start) == (r.keep_id, r.keep_start))
+    assert {r.id for r in got if r.group_size == 5 and r.keep_id == 0} == places.keys()
+
+
+def test_every_shared_run_of_fifty_words_holds_a_shared_unit():
+    known = WordHashes()
+    for seed in range(200):
+        copied, starts = prose(seed, 50).split(), []
+        for a, b in ((seed % 70, 33), (3 * seed % 80, 0)):
+            words = [*prose(1000 + seed + a, a).split(), *copied, *prose(2000 + seed + a, b).split()]
+            at = anchors(shingle_hashes(words, known, 5), len(words), 50, 25)
+            starts.append({x - a for x in at.tolist() if 0 <= x - a <= 25})
+        assert starts[0] & starts[1]
+
+
+def test_passages_of_odd_rows(odd, none, docs_of):
+    assert repeated_passages(docs_of([prose(k, 400) for k in range(20)])).collect() == []
+    assert repeated_passages(none).collect() == []
+    got = repeated_passages(odd).collect()
+    assert {r.id for r in got} == {7, 8, 9} and max(r.group_size for r in got) == 30_001 // 25 - 1
+    assert {(r.keep_id, r.kept) for r in got if r.id == 9} == {(8, False)}
+    assert repeated_passages(docs_of([prose(1, 49), prose(1, 49)])).collect() == []

@@ -131,14 +131,22 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return [(kind, start, end) for start, _, kind, end in sorted(found)]
 
 
+def covered(start: int, end: int, spans: list[tuple[str, int, int]]) -> bool:
+    """Whether ``spans``, sorted by start, hold every character from ``start`` to ``end``."""
+    for _, s, e in spans:
+        if s <= start < e:
+            start = e
+    return start >= end
+
+
 def guess_spans(text: str, base: list[tuple[str, int, int]], costly: float = COSTLY) -> list[tuple[str, int, int]]:
-    """Spans ``guess``: values in a credential context that no base span touches and that cost ``costly`` or more."""
+    """Spans ``guess``: values in a credential context that base spans do not cover whole and that cost ``costly`` or more."""
     found = []
     for m in CONTEXT.finditer(text):
         start, end = m.span(1)
         while end > start and text[end - 1] in ".,;:!?)]}":
             end -= 1
-        if not any(s < end and start < e for _, s, e in base) and guess_cost(text[start:end]) >= costly:
+        if not covered(start, end, base) and guess_cost(text[start:end]) >= costly:
             found.append(("guess", start, end))
     return found
 

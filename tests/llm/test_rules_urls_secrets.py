@@ -187,3 +187,11 @@ def test_odd_rows(odd, none, spark):
     assert guess_cost.find_secrets(none).collect() == guess_cost.redact(none).collect() == []
     docs = spark.createDataFrame([(1, SECRETS[0][0], 25), (None, SECRETS[7][0], None)], "doc_id long, text string, n_chars long")
     assert sorted((r.text, r.n_chars) for r in guess_cost.redact(docs).collect()) == [("[SECRET]'", 9), ("日本 [SECRET]", 11)]
+
+
+def test_values_that_base_spans_cover_in_part():
+    text = "password=Abcdefghijkl!@#Secret99$zz and"
+    assert guess_cost.secret_spans(text)[1] == [("assign", 0, 21), ("guess", 9, 35)]
+    assert guess_cost.masked(text, "[S]") == "[S] and"
+    assert guess_cost.masked("pwd: x#0123456789abcdef!Zk~ and", "[S]") == "pwd: [S] and"
+    assert guess_cost.masked("token: 0123456789abcdef", "[S]") == "[S]"

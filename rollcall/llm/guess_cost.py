@@ -23,10 +23,10 @@ BASE = {
     "access": (re.compile(r"AKIA[A-Z0-9]+"), 0, 18),
     "hex": (re.compile(r"[0-9a-f]+"), 0, 16),
 }
-#: A value that something names as a credential.
+#: A value that something names as a credential; not consumed, as it may itself name the next one.
 CONTEXT = re.compile(
     r"""(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|(?:api|access|private|auth|client|account)[_-]?key|auth|bearer)"""
-    r"""["']?\x20*(?:[:=]|\x20(?:is|was)\x20)\x20*["']?([^\s"'<>]+)""",
+    r"""["']?[\x20\t]*(?:[:=]{1,3}>?|[\x20\t](?:is|was)[\x20\t])[\x20\t]*["']?(?=([^\s"'<>]+))""",
     re.ASCII | re.IGNORECASE,
 )
 #: Decimal digits of guesses from which on a value is a secret.

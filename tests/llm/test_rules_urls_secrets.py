@@ -195,3 +195,19 @@ def test_values_that_base_spans_cover_in_part():
     assert guess_cost.masked(text, "[S]") == "[S] and"
     assert guess_cost.masked("pwd: x#0123456789abcdef!Zk~ and", "[S]") == "pwd: [S] and"
     assert guess_cost.masked("token: 0123456789abcdef", "[S]") == "[S]"
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("credentials: password: Tr0ub4dor&3xK!", "credentials: password: [S]!"),
+        ("auth: {password: kT9#vL2!qQ}", "auth: {password: [S]}"),
+        ('password := "kT9#vL2!qQ7"', 'password := "[S]"'),
+        ("password:\tkT9#vL2!qQ7", "password:\t[S]"),
+        ("password\t=\tkT9#vL2!qQ7", "password\t=\t[S]"),
+        ("'password' => 'kT9#vL2!qQ7'", "'password' => '[S]'"),
+        ("token was\tkT9#vL2!qQ7", "token was\t[S]"),
+    ],
+)
+def test_forms_of_contexts(text, want):
+    assert guess_cost.masked(text, "[S]") == want

@@ -23,12 +23,19 @@ BASE = {
     "access": (re.compile(r"AKIA[A-Z0-9]+"), 0, 18),
     "hex": (re.compile(r"[0-9a-f]+"), 0, 16),
 }
-#: A value that something names as a credential; not consumed, as it may itself name the next one.
-CONTEXT = re.compile(
-    r"""(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|(?:api|access|private|auth|client|account)[_-]?key|auth|bearer)"""
-    r"""["']?[\x20\t]*(?:[:=]{1,3}>?|[\x20\t](?:is|was)[\x20\t])[\x20\t]*["']?(?=([^\s"'<>]+))""",
-    re.ASCII | re.IGNORECASE,
+#: Names of credentials. The short ones end ordinary words (compass), so they stand at a word's start, a camel-case hump or
+#: behind a usual prefix.
+NAME = (
+    r"""(?:(?:(?<![A-Za-z])|(?-i:(?<=[a-z])(?=[A-Z])))(?:(?:my|db|sql|user|admin|root|ftp|smtp|mail|login)?pass|auth|bearer)"""
+    r"""|pass(?:word|wd|phrase|code)|pwd|secret|token|credentials?|(?:api|access|private|auth|client|account)[_-]?key)"""
 )
+#: Every name holds one of these; a text without them is not searched for contexts.
+STEMS = ("pass", "pwd", "secret", "token", "credential", "key", "auth", "bearer")
+HEAD = NAME + r"""["']?[\x20\t]*(?:[:=]{1,3}>?|[\x20\t](?:is|was)[\x20\t])[\x20\t]*["']?"""
+#: A value that something names as a credential; not consumed, as it may itself name the next one.
+CONTEXT = re.compile(HEAD + r"""(?=([^\s"'<>]+))""", re.ASCII | re.IGNORECASE)
+#: The same with the value, for Spark: such values do not count as words.
+VALUE = "(?i)(?:" + HEAD + r"""[{(\[]*)+[^\s"'<>]+"""
 #: Decimal digits of guesses from which on a value is a secret.
 COSTLY = 8.0
 #: Fixed list, commonest first: words that people put into passwords.
@@ -46,7 +53,8 @@ DATE = re.compile(
 )
 RANK = {word: i + 1 for i, word in enumerate(WORDS)}
 NEXT = {(a, b): row for row in (*ROWS, *(r[::-1] for r in ROWS)) for a, b in zip(row, row[1:], strict=False)}
-LONGEST = max(map(len, WORDS))
+#: Words of the documents that are ranked at most, documents that hold one at least, and their letters.
+RANKED, HELD_BY, LETTERS = 30_000, 5, (3, 24)
 #: Documents that a task searches at a time.
 SLICE = 256
 #: Longest unit that counts as a repeat.
@@ -65,10 +73,27 @@ def brute(value: str) -> float:
     return log10(max(size, 2))
 
 
-def guess_cost(value: str) -> float:
+def word_ranks(docs: DataFrame, text: str = "text", most: int = RANKED, least: int = HELD_BY) -> dict[str, int]:
+    """Ranks of ``WORDS`` and of the ``most`` words that most rows of ``docs`` hold, ``least`` rows at least, commonest first.
+
+    Words are runs of a to z in lower case. Values in a credential context are left out, so that a secret in many
+    copies is no word. Counted by Spark; the driver and each task hold the bounded result only.
+    """
+    low = F.lower(F.col(text))
+    named = F.greatest(*(F.contains(low, F.lit(stem)) for stem in STEMS))
+    plain = F.when(named, F.lower(F.regexp_replace(F.col(text), VALUE, " "))).otherwise(low)
+    words = docs.select(F.explode(F.array_distinct(F.split(plain, "[^a-z]+"))).alias("word"))
+    words = words.filter(F.length("word").between(*LETTERS)).groupBy("word").agg(F.count("*").alias("n")).filter(F.col("n") >= least)
+    ranks = dict(RANK)
+    for i, row in enumerate(words.orderBy(F.desc("n"), "word").limit(most).collect()):
+        ranks[row.word] = min(ranks.get(row.word, i + 1), i + 1)
+    return ranks
+
+
+def guess_cost(value: str, ranks: dict[str, int] = RANK, longest: int = LETTERS[1]) -> float:
     """Decimal digits of the guesses that the cheapest segmentation of ``value`` takes; 0 for an empty one.
 
-    Segments are words of a list (any case, common substitutions), dates, walks along a keyboard row or the
+    Segments are words of ``ranks`` (any case, common substitutions), dates, walks along a keyboard row or the
     alphabet, repeats of up to ``UNIT`` characters, and single characters at brute force.
     The time is proportional to the length.
     """
@@ -95,11 +120,11 @@ def guess_cost(value: str) -> float:
     for i in range(n):
         at = best[i]
         reach(i + 1, at + one)
-        for j in range(i + 3, min(n, i + LONGEST) + 1):
-            rank = RANK.get(low[i:j]) or RANK.get(plain[i:j])
+        for j in range(i + 3, min(n, i + longest) + 1):
+            rank = ranks.get(low[i:j]) or ranks.get(plain[i:j])
             if rank:
                 case = 0.0 if value[i:j] == low[i:j] else 0.31
-                leet = 0.0 if low[i:j] in RANK else 0.6
+                leet = 0.0 if low[i:j] in ranks else 0.6
                 reach(j, at + log10(rank + 1) + case + leet)
         if i in dates:
             reach(dates[i], at + (2.1 if dates[i] - i == 4 else 4.6))
@@ -109,13 +134,13 @@ def guess_cost(value: str) -> float:
         for u in range(1, UNIT + 1):
             times = same[u][i] // u + 1
             if times > 1:
-                reach(i + u * times, at + min(u * one, best_unit(value[i : i + u], one)) + log10(times))
+                reach(i + u * times, at + min(u * one, best_unit(value[i : i + u], one, ranks)) + log10(times))
     return best[n]
 
 
-def best_unit(unit: str, one: float) -> float:
+def best_unit(unit: str, one: float, ranks: dict[str, int] = RANK) -> float:
     """Cost of a repeat's unit: a word, or its characters."""
-    rank = RANK.get(unit.lower())
+    rank = ranks.get(unit.lower())
     return log10(rank + 1) if rank else len(unit) * one
 
 
@@ -139,23 +164,25 @@ def covered(start: int, end: int, spans: list[tuple[str, int, int]]) -> bool:
     return start >= end
 
 
-def guess_spans(text: str, base: list[tuple[str, int, int]], costly: float = COSTLY) -> list[tuple[str, int, int]]:
+def guess_spans(
+    text: str, base: list[tuple[str, int, int]], costly: float = COSTLY, ranks: dict[str, int] = RANK
+) -> list[tuple[str, int, int]]:
     """Spans ``guess``: values in a credential context that base spans do not cover whole and that cost ``costly`` or more."""
-    found = []
-    for m in CONTEXT.finditer(text):
+    found, low = [], text.lower()
+    for m in CONTEXT.finditer(text) if any(stem in low for stem in STEMS) else ():
         start, end = m.span(1)
         while end > start and text[end - 1] in ".,;:!?)]}":
             end -= 1
-        if not covered(start, end, base) and guess_cost(text[start:end]) >= costly:
+        if not covered(start, end, base) and guess_cost(text[start:end], ranks) >= costly:
             found.append(("guess", start, end))
     return found
 
 
-def secret_spans(text: str, costly: float = COSTLY) -> tuple[list, list]:
+def secret_spans(text: str, costly: float = COSTLY, ranks: dict[str, int] = RANK) -> tuple[list, list]:
     """Base spans, and all spans by start, then kind as listed (``guess`` last)."""
     base = base_spans(text)
     order = {kind: i for i, kind in enumerate((*BASE, "guess"))}
-    return base, sorted(base + guess_spans(text, base, costly), key=lambda x: (x[1], order[x[0]]))
+    return base, sorted(base + guess_spans(text, base, costly, ranks), key=lambda x: (x[1], order[x[0]]))
 
 
 def find_secrets(docs: DataFrame, id: str = "doc_id", text: str = "text", costly: float = COSTLY) -> DataFrame:
@@ -165,10 +192,11 @@ def find_secrets(docs: DataFrame, id: str = "doc_id", text: str = "text", costly
         for batch in batches:
             for at in range(0, len(batch), SLICE):
                 part = batch.slice(at, SLICE)
-                both = [secret_spans(x.as_py() or "", costly) for x in part.column(1)]
+                both = [secret_spans(x.as_py() or "", costly, ranks) for x in part.column(1)]
                 columns = [pa.array([[dict(zip(names, s, strict=True)) for s in b[i]] for b in both], kind) for i in (0, 1)]
                 yield pa.RecordBatch.from_arrays([part.column(0), *columns], ["id", "base", "spans"])
 
+    ranks = word_ranks(docs, text)
     names = ("kind", "start", "end")
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
     pick = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
@@ -189,22 +217,23 @@ def redact(docs: DataFrame, id: str = "doc_id", text: str = "text", size: str |
                 part = batch.slice(at, SLICE)
                 columns = {c: part.column(c) for c in part.schema.names}
                 old = columns[text].to_pylist()
-                new = [masked(x, mark) for x in old]
+                new = [masked(x, mark, ranks) for x in old]
                 columns[text] = pa.array(new, columns[text].type)
                 if size in columns:
                     sizes = zip(columns[size].to_pylist(), old, new, strict=True)
                     columns[size] = pa.array([n if a == b else len(b) for n, a, b in sizes], columns[size].type)
                 yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
+    ranks = word_ranks(docs, text)
     return docs.mapInArrow(run, docs.schema)
 
 
-def masked(text: str | None, mark: str) -> str | None:
+def masked(text: str | None, mark: str, ranks: dict[str, int] = RANK) -> str | None:
     """``text`` with its secrets replaced."""
     if not text:
         return text
     out, at = [], 0
-    for _, start, end in secret_spans(text)[1]:
+    for _, start, end in secret_spans(text, ranks=ranks)[1]:
         if start >= at:
             out += [text[at:start], mark]
         at = max(at, end)

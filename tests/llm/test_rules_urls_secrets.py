@@ -211,3 +211,19 @@ def test_values_that_base_spans_cover_in_part():
 )
 def test_forms_of_contexts(text, want):
     assert guess_cost.masked(text, "[S]") == want
+
+
+def test_plain_sentences_stay(docs_of):
+    plain = ["password is required", "the token was invalidated", "your secret is something", "Token was Invalidated.", "compass: northwest"]
+    around = ["it is required that something else was invalidated northwest of here"] * 6
+    secrets = ["password is xkqjvzwpgh", "myPass: kT9#vL2!qQ7", "dbpass=kT9#vL2!qQ7", "bypass: kT9#vL2!qQ7"] + ["secret is wvqxjzkpfy"] * 9
+    want = [*plain, *around, "password is [S]", "myPass: [S]", "dbpass=[S]", secrets[3]] + ["secret is [S]"] * 9
+    got = guess_cost.redact(docs_of([*plain, *around, *secrets]), mark="[S]").collect()
+    assert [r.text for r in sorted(got, key=lambda r: r.doc_id)] == want
+
+
+def test_ranks_are_bounded(docs_of):
+    docs = docs_of(["zebra zebra apple"] * 6 + ["apple Pear"] * 5 + ["pear lonely"])
+    own = {w: n for w, n in guess_cost.word_ranks(docs).items() if w not in guess_cost.RANK}
+    assert own == {"apple": 1, "pear": 2, "zebra": 3}
+    assert len(guess_cost.word_ranks(docs, most=1)) == len(guess_cost.RANK) + 1

@@ -8,12 +8,15 @@ from pyspark.sql import functions as F
 
 from rollcall.llm import (
     bradley_terry,
+    collocations,
     guess_cost,
+    mixing,
     nbest,
     packing,
     paragraph_minhash,
     quality_rules,
     simhash,
+    spelling,
     stream_dedup,
     token_counts,
     url_markov,
@@ -189,6 +192,44 @@ def op10_secret_guess_cost(spark, sf_dir):
     )
 
 
+def op11_spelling_variants(spark, sf_dir):
+    return spelling.variants(spelling.count_words(documents(spark, sf_dir)))
+
+
+def op12_cube_mixing(spark, sf_dir):
+    return mixing.mixed(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+
+
+def op13_collocations(spark, sf_dir):
+    return collocations.collocations(documents(spark, sf_dir)).withColumnRenamed("group", "lang")
+
+
+OP13_SQL = r"""
+WITH t AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+p AS (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM t),
+w AS (SELECT lang, row_number() OVER () AS id, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+i AS (SELECT lang, id, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM w),
+h AS (SELECT lang, x, lead(x) OVER q AS y, lead(x, 2) OVER q AS z FROM i WINDOW q AS (PARTITION BY id ORDER BY i)),
+g AS (SELECT lang, 1 AS k, x AS phrase FROM h
+    UNION ALL SELECT lang, 2, x || ' ' || y FROM h WHERE y IS NOT NULL
+    UNION ALL SELECT lang, 3, x || ' ' || y || ' ' || z FROM h WHERE z IS NOT NULL),
+f AS (SELECT lang, k, phrase, count(*) AS a FROM g GROUP BY ALL),
+n AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND a >= 10),
+x AS (SELECT lang, k, phrase, a, w, unnest(range(1, k)) AS cut FROM c),
+y AS MATERIALIZED (SELECT lang, phrase, a, cut, lang || ' ' || array_to_string(w[1:cut], ' ') AS lp, lang || ' ' || array_to_string(w[cut+1:], ' ') AS rp FROM x),
+e AS MATERIALIZED (SELECT lang || ' ' || phrase AS part, a FROM f WHERE a >= 10),
+s AS (SELECT y.*, l.a AS l, r.a AS r, ((1000000::HUGEINT * y.a * y.a) // (l.a::HUGEINT * r.a))::BIGINT AS score
+    FROM y JOIN e AS l ON l.part = lp JOIN e AS r ON r.part = rp),
+m AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+d AS (SELECT lang, phrase, max(a) AS longer FROM (
+    SELECT lang, a, w[1] || ' ' || w[2] AS phrase FROM c WHERE k = 3 UNION ALL SELECT lang, a, w[2] || ' ' || w[3] FROM c WHERE k = 3) GROUP BY ALL)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM m LEFT JOIN d USING (lang, phrase) JOIN n USING (lang) WHERE longer IS NULL OR 100 * longer < 50 * a
+QUALIFY rank <= 2000
+"""
+
+
 LLM_QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_nbest_pieces": op2_nbest_pieces,
@@ -200,5 +241,8 @@ LLM_QUERIES = {
     "op8_slack_packing": op8_slack_packing,
     "op9_url_markov": op9_url_markov,
     "op10_secret_guess_cost": op10_secret_guess_cost,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_cube_mixing": op12_cube_mixing,
+    "op13_collocations": op13_collocations,
 }
-LLM_ORACLE = {"op4_exact_dedup": OP4_SQL, "op7_quality_rules": OP7_SQL}
+LLM_ORACLE = {"op4_exact_dedup": OP4_SQL, "op7_quality_rules": OP7_SQL, "op13_collocations": OP13_SQL}

@@ -166,8 +166,7 @@ def fly(units: DataFrame, seed: int, turn: int, landing: int) -> DataFrame:
                         row = next(stream, None)
 
                 rest = []
-                units = spaced(own(), landing, rest) if last else own()
-                for unit in flight(units, random.Random(f"{seed} {turn} {place} {block}")):
+                for unit in flight(spaced(own(), landing, rest), random.Random(f"{seed} {turn} {place} {block}")):
                     if unit[1] in (0.0, 1.0):
                         yield unit
                     else:
@@ -198,10 +197,12 @@ def fly(units: DataFrame, seed: int, turn: int, landing: int) -> DataFrame:
 def balanced(units: DataFrame, block: int = BLOCK, landing: int = LANDING, seed: int = SEED) -> DataFrame:
     """``(place, id, size, chance)`` of ``units`` with every chance 0 or 1: a sample balanced on sizes and numbers by place.
 
-    Flight phase: a place's units are cut into blocks by hash; each block leaves two undecided, which meet in fewer
-    blocks in the next turn, until a place has one. Its last units land. So a place with a third
+    Flight phase: a place's units are cut into blocks by hash; each block leaves ``landing`` and two undecided, which meet in
+    fewer blocks in the next turn, until a place has one. Its last units land. So a place with a third
     of all units is spread over many tasks, and the turns grow with the logarithm of its size.
     """
+    if block < 2 * (landing + 2):
+        raise ValueError("a block must be twice as large as what it leaves undecided")
     rounds, done, turn = Rounds(units.sparkSession), [], 0
     while True:
         sizes = cut_lineage(units.groupBy("place").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")))

@@ -20,7 +20,7 @@ NO_GROUP = "und"
 LETTERS = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\n\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz " + b"." * 10)
 END = b"."
 #: Words that a task counts together.
-BLOCK_WORDS = 1 << 20
+BLOCK_WORDS = 1 << 19
 #: Phrases' occurrences in a hash partition, by their expected number.
 MASS = 1 << 23
 #: Bits in which a task looks up whether a phrase may be frequent: of a hash partition, and of all at most (64 MB).

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import heapq
 import re
+import struct
 from collections.abc import Iterator
 from functools import cache
 
@@ -21,8 +22,10 @@ CUT = re.compile(f"{MARK}[^{MARK}\n]*|[^{MARK}\n]+|\n")
 UNKNOWN = 10.0
 #: Pieces scored at or below this are placeholders: one character counts as unknown, longer ones are never used.
 UNUSED = -1e8
-#: Distinct strings a worker remembers before it starts anew; some 120 MB.
-REMEMBERED = 400_000
+#: Distinct strings in each of the two generations that a worker remembers; some 150 MB in all.
+REMEMBERED = 200_000
+#: Where no piece goes on.
+STOP: dict = {}
 ENCODE_CHARS = 1 << 20
 
 
@@ -51,56 +54,86 @@ class Pieces:
                     self.id[piece], self.score[piece] = i, score
         self.unknown = min(x for x in self.score.values() if x > UNUSED) - UNKNOWN
         self.score = {piece: max(score, self.unknown) for piece, score in self.score.items()}
-        for piece in list(self.score):
-            for end in range(1, len(piece)):
-                self.score.setdefault(piece[:end], None)  # a beginning of pieces, not a piece
-        self.best: dict[str, tuple[float, float, bytes]] = {}
-        self.more: dict[tuple[str, int], list[tuple[float, bytes]]] = {}
+        #: Letter by letter, the pieces that begin so; under "" the score of the piece that ends there.
+        self.tree: dict = {}
+        for piece, score in self.score.items():
+            node = self.tree
+            for letter in piece:
+                node = node.setdefault(letter, {})
+            node[""] = score
+        self.best, self.more = Looked(self), {}
 
     def edges(self, s: str, start: int) -> Iterator[tuple[int, float]]:
         """Ends and scores of the lattice's edges from ``start``."""
-        known, alone = self.score, True
-        for end in range(start + 1, len(s) + 1):
-            score = known.get(s[start:end], 1.0)
-            if score is None:
-                continue
-            if score > 0:
+        node, alone = self.tree, True
+        for end in range(start, len(s)):
+            node = node.get(s[end])
+            if node is None:
                 break
-            alone = alone and end > start + 1
-            yield end, score
+            if "" in node:
+                alone = alone and end > start
+                yield end + 1, node[""]
         if alone:
             yield start + 1, self.unknown
 
-    def packed(self, s: str, cuts: list[int]) -> bytes:
-        """Little-endian unsigned 32-bit ids of the pieces of ``s`` between ``cuts``."""
-        ids = []
+    def numbers(self, s: str, cuts: list[int]) -> list[int]:
+        """Ids of the pieces of ``s`` between ``cuts``."""
+        known, out = self.id, []
         for a, b in zip(cuts, cuts[1:], strict=False):
-            i = self.id.get(s[a:b])
-            ids += [self.byte[x] for x in s[a:b].encode()] if i is None else [i]
-        return np.array(ids, "<u4").tobytes()
+            i = known.get(s[a:b])
+            if i is None:
+                out += [self.byte[x] for x in s[a:b].encode()]
+            else:
+                out.append(i)
+        return out
+
+    def packed(self, s: str, cuts: list[int]) -> bytes:
+        """The same as little-endian unsigned 32-bit numbers."""
+        return packed(self.numbers(s, cuts))
 
     def forward(self, s: str) -> tuple[list[float], list[float], list[int]]:
         """Viterbi scores of the best and second best way to each place, and where the best one's last piece starts."""
-        low = float("-inf")
-        first, second, back = [low] * (len(s) + 1), [low] * (len(s) + 1), [0] * (len(s) + 1)
+        low, n, tree, unknown = float("-inf"), len(s), self.tree, self.unknown
+        first, second, back = [low] * (n + 1), [low] * (n + 1), [0] * (n + 1)
         first[0] = 0.0
-        for start in range(len(s)):
-            one, two = first[start], second[start]
-            for end, score in self.edges(s, start):
-                if one + score > first[end]:
+        for start in range(n):
+            one, two, node, end, alone = first[start], second[start], tree, start, True
+            while True:
+                node = node.get(s[end]) if end < n else None
+                if node is None:
+                    if not alone:
+                        break
+                    end, score = start, unknown  # no piece is this one letter: it is an edge all the same
+                    node = STOP
+                elif "" in node:
+                    score = node[""]
+                    if end == start:
+                        alone = False
+                else:
+                    end += 1
+                    continue
+                end += 1
+                way = one + score
+                if way > first[end]:
                     second[end] = max(first[end], two + score)
-                    first[end], back[end] = one + score, start
-                elif one + score > second[end]:
-                    second[end] = one + score
+                    first[end], back[end] = way, start
+                elif way > second[end]:
+                    second[end] = way
+                if node is STOP:
+                    break
         return first, second, back
 
-    def look(self, s: str) -> tuple[float, float, bytes]:
-        """The best score of ``s``, how much less the second best has, and the best one's ids."""
+    def look(self, s: str) -> tuple[float, float, bytes, bytes]:
+        """The best score of ``s``, how much less the second best has, the best one's ids and what they stand for."""
         first, second, back = self.forward(s)
         cuts = [len(s)]
         while cuts[-1]:
             cuts.append(back[cuts[-1]])
-        return first[-1], first[-1] - second[-1], self.packed(s, cuts[::-1])
+        ids = self.numbers(s, cuts[::-1])
+        return first[-1], first[-1] - second[-1], packed(ids), b"".join(map(self.text.__getitem__, ids))
+
+    def bytes_of(self, ids: bytes) -> bytes:
+        return b"".join(map(self.text.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
     def others(self, s: str, n: int) -> list[tuple[float, bytes]]:
         """Up to ``n`` segmentations of ``s`` beside the best, each with how much less it scores; best first.
@@ -116,7 +149,7 @@ class Pieces:
         for start in range(len(s)):
             for end, score in self.edges(s, start):
                 into[end].append((start, score))
-        best, found = self.best[s][2] if s in self.best else self.look(s)[2], []
+        best, found = self.best[s][2], []
         heap, order = [(-first[-1], 0, 0.0, (len(s),))], 0
         while heap and len(found) < n:
             worth, _, so_far, cuts = heapq.heappop(heap)
@@ -131,37 +164,60 @@ class Pieces:
         self.more[s, n] = found
         return found
 
-    def segmentations(self, text: str, n: int, remembered: int = REMEMBERED) -> list[tuple[float, bytes]]:
-        """The ``n`` best (score, ids) of a text, best first; ties by the earliest change of the best one.
+    def segmentations(self, text: str, n: int, remembered: int = REMEMBERED) -> list[tuple[float, bytes, bytes]]:
+        """The ``n`` best (score, ids, decoded ids) of a text, best first; ties by the earliest change of the best one.
 
         The lattice falls apart at the cuts, so a text's segmentation is one for each string between them. The n
-        best differ from the best only in the n - 1 strings whose second best loses least.
+        best differ from the best only in the n - 1 strings whose second best loses least: the others are not touched again.
         """
         parts = CUT.findall(MARK + text.replace(" ", MARK)) if text else []
         if len(self.best) > remembered:
-            self.best, self.more = {}, {}
-        best = self.best
-        for s in set(parts):
-            if s not in best:
-                best[s] = self.look(s)
-        own = [best[s] for s in parts]
-        score, ids = sum(x[0] for x in own), [x[2] for x in own]
+            self.best.forget()
+            self.more = {}
+        scores, losses, ids, raws = map(list, zip(*map(self.best.__getitem__, parts), strict=True)) if parts else ([], [], [], [])
+        score = sum(scores)
         ways: list[tuple[float, tuple]] = [(0.0, ())]
-        for at in least([x[1] for x in own], n - 1):
+        for at in least(losses, n - 1):
             others = [(0.0, ()), *((loss, ((at, i),)) for i, (loss, _) in enumerate(self.others(parts[at], n - 1)))]
             ways = sorted((a + b, x + y) for a, x in ways for b, y in others)[:n]
-        out = []
+        out, plain = [], b"".join(raws)
         for loss, changes in ways:
-            changed = list(ids)
+            old, same = [(at, ids[at], raws[at]) for at, _ in changes], True
             for at, i in changes:
-                changed[at] = self.others(parts[at], n - 1)[i][1]
-            out.append((score - loss, b"".join(changed)))
+                ids[at] = self.others(parts[at], n - 1)[i][1]
+                raws[at], before = self.bytes_of(ids[at]), raws[at]
+                same = same and raws[at] == before
+            out.append((score - loss, b"".join(ids), plain if same else b"".join(raws)))
+            for at, i, raw in old:
+                ids[at], raws[at] = i, raw
         return out
 
     def decode(self, ids: bytes) -> str:
         """The text of some ids: pieces and bytes put together, the first word mark dropped."""
-        raw = b"".join(map(self.text.__getitem__, np.frombuffer(ids, "<u4").tolist()))
-        return raw.removeprefix(b" ").decode(errors="replace")
+        return shown(self.bytes_of(ids))
+
+
+def packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+def shown(raw: bytes) -> str:
+    return raw.removeprefix(b" ").decode(errors="replace")
+
+
+class Looked(dict):
+    """What ``look`` found, by string; of the generation before, what is asked for again is kept."""
+
+    def __init__(self, pieces: Pieces):
+        self.pieces, self.before = pieces, {}
+
+    def __missing__(self, s: str) -> tuple[float, float, bytes, bytes]:
+        found = self[s] = self.before.get(s) or self.pieces.look(s)
+        return found
+
+    def forget(self) -> None:
+        self.before = dict(self)
+        self.clear()
 
 
 def least(losses: list[float], n: int) -> list[int]:
@@ -196,10 +252,9 @@ def encoded(
         known = pieces(model)
         for batch in batches:
             for ids, texts in slices(batch, ENCODE_CHARS):
-                rows = [(i, r + 1, s, x) for i, t in zip(ids, texts, strict=True) for r, (s, x) in enumerate(known.segmentations(t, n))]
+                rows = [(i, r + 1, *x) for i, t in zip(ids, texts, strict=True) for r, x in enumerate(known.segmentations(t, n))]
                 columns = [list(c) for c in zip(*rows, strict=True)]
-                if back:
-                    columns.append([known.decode(x) for x in columns[3]])
+                columns[4:] = [[shown(raw) for raw in columns[4]]] if back else []
                 arrays = [pa.array(c, kind) for c, kind in zip(columns, [batch.schema.field(0).type, *kinds], strict=True)]
                 yield pa.RecordBatch.from_arrays(arrays, names)
 

@@ -10,13 +10,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.pretokens import Encoder
+from rollcall.llm.pretokens import encode_texts
 
 WINDOW = 2048
 END_ID = 1
 #: Tokens that one task packs together, and characters that it encodes together; both bound its memory.
 BLOCK_TOKENS = 1 << 21
-ENCODE_CHARS = 1 << 20
+ENCODE_CHARS = 1 << 24
 
 
 def fullest(left: Counter[int], window: int) -> Counter[int]:
@@ -139,7 +139,7 @@ def packed(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = Encoder(tokenizer), end_id.to_bytes(4, "little")
+        end = end_id.to_bytes(4, "little")
         sequence = TaskContext.get().partitionId() << 40
         ids, tokens, size = [], [], 0
 
@@ -165,7 +165,7 @@ def packed(
         for batch in batches:
             kind = batch.schema.field(0).type
             for own, texts in slices(batch, ENCODE_CHARS):
-                new = [x + end for x in encoder(texts)]
+                new = [x + end for x in encode_texts(texts, tokenizer)]
                 ids += own
                 tokens += new
                 size += sum(map(len, new)) // 4

@@ -8,6 +8,10 @@ from functools import cache
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+from rollcall.llm.merges import merges
 
 #: Unicode white space, as the pattern of the vocabulary has it.
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -19,8 +23,10 @@ LETTERS = "A-Za-z\\xc0-\\xd6\\xd8-\\xf6\\xf8-\\xff"
 CUT = re.compile(
     rf" ?[{LETTERS}]+(?=[{SPACE}.,!?;:|*%&$#]|\Z)| ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 )
-#: Pre-tokens a worker remembers before it starts anew; some 100 MB.
-REMEMBERED = 400_000
+#: Pre-tokens that are one run of Latin letters to any such vocabulary, and short.
+PLAIN = re.compile(rf" ?[{LETTERS}]{{1,40}}").fullmatch
+#: White space behind a space, in the syntax of Arrow's expressions.
+WHOLE = " ([" + re.sub(r"\\u(....)", r"\\x{\1}", SPACE) + "]|$)"
 
 
 @cache
@@ -52,23 +58,51 @@ def encode(pieces: list[str], path: str) -> list[list[int]]:
     return [x.ids for x in _library(path).encode_batch_fast(pieces, add_special_tokens=False)]
 
 
-class Encoder:
-    """Texts to ids, each distinct pre-token encoded once while it is remembered."""
-
-    def __init__(self, path: str, remembered: int = REMEMBERED):
-        self.path, self.remembered, self.ids = path, remembered, {}
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        cuts = [cut(x, self.path) for x in texts]
-        if len(self.ids) > self.remembered:
-            self.ids = {}
-        new = list(set(chain.from_iterable(cuts)).difference(self.ids))
-        found = encode(new, self.path)
-        flat = np.fromiter(chain.from_iterable(found), "<u4").tobytes()
-        at = 0
-        for p, ids in zip(new, found, strict=True):
-            self.ids[p] = flat[at : at + 4 * len(ids)]
-            at += 4 * len(ids)
-        known = self.ids.__getitem__
-        return [b"".join(map(known, c)) for c in cuts]
+def _encoded(pieces: list[str], path: str) -> list[bytes]:
+    """Ids of distinct pre-tokens: runs of Latin letters by the vocabulary's merges, many at once; all others by the library."""
+    table = merges(path)
+    letters = [bool(PLAIN(p)) for p in pieces] if table.plain else [False] * len(pieces)
+    short = iter(table.encode([p.encode() for p, plain in zip(pieces, letters, strict=True) if plain]))
+    rest = iter(encode([p for p, plain in zip(pieces, letters, strict=True) if not plain], path))
+    return [next(short) if plain else np.array(next(rest), "<u4").tobytes() for plain in letters]
+
+
+def _runs(starts: np.ndarray, sizes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places of the runs ``at``, one after the other, and where each run ends among them, from 0 on."""
+    own = sizes[at]
+    ends = np.cumsum(own)
+    places = np.repeat(starts[at] - (ends - own), own) + np.arange(ends[-1] if len(ends) else 0)
+    return places, np.concatenate([[0], ends])
+
+
+def encode_texts(texts: list[str], path: str) -> list[bytes]:
+    """Little-endian unsigned 32-bit ids of each text.
+
+    A space that a character other than white space follows begins a pre-token, so a text may be cut there into words.
+    Each distinct word of ``texts`` is cut into pre-tokens once, each distinct pre-token encoded once, and runs of ids put
+    together by their places. Texts with a special string, or with more white space behind a space, are cut as a whole.
+    """
+    special = _special(path)
+    strings = pa.array(texts, pa.large_string())
+    whole = pc.match_substring_regex(strings, WHOLE).to_pylist()
+    whole = [w or bool(special and special.search(text)) for w, text in zip(whole, texts, strict=True)]
+    plain = pc.split_pattern(strings.filter(pc.invert(pa.array(whole, pa.bool_()))), " ")
+    words = plain.flatten().dictionary_encode()
+    cuts = [CUT.findall(" " + word) for word in words.dictionary.to_pylist()]
+    n_words = len(cuts)  # behind them, the first word of each text, which has no space before it, or the whole text
+    cuts += [cut(text, path) if w else CUT.findall(text.split(" ", 1)[0]) for w, text in zip(whole, texts, strict=True)]
+    pieces = pa.array(list(chain.from_iterable(cuts)), pa.large_string()).dictionary_encode()
+    ids = _encoded(pieces.dictionary.to_pylist(), path)
+    sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+    places, ends = _runs(np.cumsum(sizes) - sizes, sizes, pieces.indices.to_numpy())
+    tokens = np.frombuffer(b"".join(ids), "<u4")[places]
+    bounds = ends[np.cumsum([0, *map(len, cuts)])]
+
+    at, firsts = words.indices.to_numpy().astype(np.int64), plain.offsets.to_numpy()
+    at[firsts[:-1]] = n_words + np.flatnonzero(~np.array(whole, bool))
+    places, ends = _runs(bounds[:-1], np.diff(bounds), at)
+    flat = tokens[places].tobytes()
+    ends = (4 * ends[firsts]).tolist()
+    found = iter(zip(ends, ends[1:], strict=False))
+    heads = zip(bounds[n_words:].tolist(), bounds[n_words + 1 :].tolist(), strict=False)
+    return [tokens[a:b].tobytes() if w else flat[slice(*next(found))] for w, (a, b) in zip(whole, heads, strict=True)]

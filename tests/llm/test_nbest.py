@@ -3,7 +3,7 @@ import random
 import public_tokenizers
 import pytest
 
-from rollcall.llm.nbest import MARK, decoded, encoded, least, pieces
+from rollcall.llm.nbest import MARK, decoded, encoded, least, pieces, shown
 from llm_rows import ODD
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -30,10 +30,10 @@ def test_n_best_of_all_segmentations():
         ways = all_ways(known, MARK + text.replace(" ", MARK))
         for n in (1, 2, 5):
             got = known.segmentations(text, n)
-            assert [s for s, _ in got] == [s for s, _ in ways[:n]]
-            assert len({ids for _, ids in got}) == len(got)
-            assert set(got) <= set(ways)
-            assert all(known.decode(ids) == text.replace(MARK, " ") for _, ids in got)
+            assert [s for s, _, _ in got] == [s for s, _ in ways[:n]]
+            assert len({ids for _, ids, _ in got}) == len(got)
+            assert {x[:2] for x in got} <= set(ways)
+            assert all(known.decode(ids) == shown(raw) == text.replace(MARK, " ") for _, ids, raw in got)
 
 
 def test_pieces_are_those_of_the_library():
@@ -49,7 +49,10 @@ def test_pieces_are_those_of_the_library():
 def test_forgetting_changes_nothing():
     known = pieces(MODEL)
     text = "the river and the stone " * 5
-    assert known.segmentations(text, 4) == known.segmentations(text, 4, remembered=0)
+    want = known.segmentations(text, 4)
+    assert known.segmentations(text, 4, remembered=0) == want
+    assert not set(known.best) - set(known.best.before)  # kept from the generation before
+    assert known.segmentations("other words", 4, remembered=0) and known.segmentations(text, 4) == want
 
 
 @pytest.mark.parametrize(("losses", "n", "want"), [([3, 1, 1, 1], 2, [1, 2]), ([float("inf"), 2], 3, [1]), ([], 2, []), ([1], 0, [])])

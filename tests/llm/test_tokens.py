@@ -6,8 +6,9 @@ import public_tokenizers
 import pytest
 
 from rollcall.llm import token_counts
+from rollcall.llm.merges import merges
 from rollcall.llm.packing import fullest, pack, packed, plan, powers
-from rollcall.llm.pretokens import Encoder, _library, cut
+from rollcall.llm.pretokens import _library, cut, encode_texts
 from llm_rows import ODD, prose
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -21,14 +22,23 @@ def test_cuts_change_no_id():
     draw = random.Random(1)
     bits = [" ", "  ", "\n", "\t", "a", "é", "日", "٣", "5", "½", "²", "_", "-", "'s", "'", ".", "!!", "|", "ª", "ß", "\u0301"]
     bits += ["😀", "\u200b", "\x1c", "\x85", "\xa0", "<|endoftext|>", "the", "İ", "×", "\x00"]
-    encoder = Encoder(PATH, remembered=50)
     texts = ["".join(draw.choice(bits) for _ in range(draw.randrange(14))) for _ in range(4000)]
     for at in range(0, len(texts), 100):
-        for text, ids in zip(texts[at : at + 100], encoder(texts[at : at + 100]), strict=True):
+        for text, ids in zip(texts[at : at + 100], encode_texts(texts[at : at + 100], PATH), strict=True):
             assert np.frombuffer(ids, "<u4").tolist() == ids_of(text)
             assert "".join(cut(text, PATH)) == text
 
 
+def test_merges_equal_the_library():
+    draw, table = random.Random(7), merges(PATH)
+    assert table.plain
+    words = ["".join(draw.choice("etaoinshrdluéßÉTHE") for _ in range(draw.randrange(1, 25))) for _ in range(3000)] + ["a", "é", "aaaaaaaaaaaaaaaa"]
+    words += [" " + w for w in words]
+    for word, ids in zip(words, table.encode([w.encode() for w in words]), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == ids_of(word)
+    assert table.encode([]) == [] and encode_texts([], PATH) == [] and encode_texts(["", "a  b"], PATH)[0] == b""
+
+
 def test_counts_equal_the_library(odd, none, docs_of, monkeypatch):
     rows = token_counts.token_counts(odd, PATH).collect()
     want = sorted(((i, len((t or "").encode()), len(ids_of(t))) for i, t in ODD), key=repr)

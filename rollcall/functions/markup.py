@@ -7,6 +7,8 @@ from html.parser import HTMLParser
 
 #: The bounds that the HTML standard sets on spans.
 MOST_COLUMNS, MOST_ROWS = 1000, 65534
+#: What one page may ask for: cells with their spans spread out, and tables within tables.
+MOST_CELLS, MOST_DEEP = 2_000_000, 256
 CELL_SPACE = re.compile(r"[\r\n]+|\s{2,}")
 SPAN = re.compile(r"[\t\n\f\r ]*\+?(\d+)")
 HIDDEN = ("script", "style", "template")
@@ -17,10 +19,15 @@ def span(attrs: dict[str, str | None], name: str, most: int) -> int:
     found = SPAN.match(attrs.get(name) or "")
     if not found:
         return 1
-    value = min(int(found[1]), most)
+    digits = found[1].lstrip("0")
+    value = most if len(digits) > 6 else min(int(digits or 0), most)
     return value or (most if name == "rowspan" else 1)
 
 
+class TooMuch(Exception):
+    """A page asks for more than its bounds."""
+
+
 class _Table:
     def __init__(self):
         self.rows: list[list] = []  # [in thead, [(is th, text, columns, rows)]]
@@ -57,6 +64,8 @@ class Tables(HTMLParser):
         if tag in HIDDEN:
             self.hidden = tag
         elif tag == "table":
+            if len(self.open) == MOST_DEEP:
+                raise TooMuch("tables too deep")
             self.tables.append(_Table())
             self.open.append(self.tables[-1])
         elif tag == "br":
@@ -107,8 +116,8 @@ class Tables(HTMLParser):
                     table.cell[1].append(data)
 
 
-def _filled(rows: list[list]) -> list[list[str]]:
-    """Texts of each row with spans spread out to the right and downwards."""
+def _filled(rows: list[list], room: int) -> list[list[str]]:
+    """Texts of each row with spans spread out to the right and downwards, ``room`` cells at most."""
     out, held = [], {}  # held: column -> (text, rows left)
     for _, cells in rows:
         row, below = [], {}
@@ -128,6 +137,9 @@ def _filled(rows: list[list]) -> list[list[str]]:
                 put(*held[column])
         held = below
         out.append(row)
+        room -= len(row)
+        if room < 0:
+            raise TooMuch("too many cells")
     return out
 
 
@@ -141,7 +153,7 @@ def page_tables(html: str | None) -> list[list[dict]] | None:
     parser.close()
     for table in reversed(parser.open):
         table.end_row()
-    out = []
+    out, room = [], MOST_CELLS
     for table in parser.tables:
         heads = [thead for thead, _ in table.rows]
         if not any(heads):
@@ -149,6 +161,17 @@ def page_tables(html: str | None) -> list[list[dict]] | None:
             for i, (_, cells) in enumerate(table.rows):
                 lead = lead and all(c[0] for c in cells)
                 heads[i] = lead
-        texts = _filled(table.rows)
+        texts = _filled(table.rows, room)
+        room -= sum(map(len, texts))
         out.append([{"head": h, "cells": t} for h, t in zip(heads, texts, strict=True)])
     return out
+
+
+def read_page(html: str | None) -> dict:
+    """``{reason, tables}``: a page's tables, or why it is set aside; nothing in a page stops the others."""
+    try:
+        return {"reason": None, "tables": page_tables(html)}
+    except TooMuch as bound:
+        return {"reason": str(bound), "tables": None}
+    except Exception as fault:  # whatever the tokenizer stumbles on
+        return {"reason": f"unreadable: {type(fault).__name__}", "tables": None}

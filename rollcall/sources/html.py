@@ -19,10 +19,21 @@ cloudpickle.register_pickle_by_value(markup)  # executors need no copy of this p
 ROWS = ArrayType(StructType().add("head", BooleanType()).add("cells", ArrayType(StringType())))
 
 
-@F.pandas_udf(ArrayType(ROWS))
-def tables(html: pd.Series) -> pd.Series:
-    """Every table of a page, outside comments, scripts and styles; nested ones after the table that holds them."""
-    return html.map(markup.page_tables, na_action="ignore")
+PAGE = StructType().add("reason", StringType()).add("tables", ArrayType(ROWS))
+
+
+@F.pandas_udf(PAGE)
+def read_page(html: pd.Series) -> pd.DataFrame:
+    """``(reason, tables)`` of each page: its tables, or why it is set aside. A page that fails fails alone."""
+    return pd.DataFrame([markup.read_page(x) for x in html], columns=["reason", "tables"], dtype=object)
+
+
+def tables(html: Column) -> Column:
+    """Every table of a page, outside comments, scripts and styles; nested ones after the table that holds them.
+
+    NULL for a page that is set aside.
+    """
+    return read_page(html).getField("tables")
 
 
 def first_table_rows(html: Column) -> Column:
@@ -50,13 +61,15 @@ def table_cells(pages: DataFrame, doc: str, html: str, first_only: bool = False)
 
 
 def probed_column(pages: DataFrame, html: str, probe, keep: list[str]) -> DataFrame:
-    """``keep`` plus ``rows`` (data cells of the first table, NULL without a table) and ``col``, the probed column.
+    """``keep`` plus ``reason`` (NULL, or why the page is set aside), ``rows`` and ``col``, the probed column.
 
-    The one-element explode keeps the optimizer from taking the page apart again
-    wherever ``rows`` is used.
+    ``rows`` are the data cells of the first table, NULL without a table. The one-element explode keeps the
+    optimizer from taking the page apart again wherever it is used.
     """
-    taken = pages.select(*keep, F.explode(F.array(data_cells(first_table_rows(F.col(html))))).alias("rows"))
-    return taken.withColumn("col", probe(F.col("rows")).cast("long"))
+    taken = pages.select(*keep, F.explode(F.array(read_page(F.col(html)))).alias("_page"))
+    rows = data_cells(F.get("_page.tables", F.lit(0)))
+    found = taken.select(*keep, F.col("_page.reason").alias("reason"), rows.alias("rows"))
+    return found.withColumn("col", probe(F.col("rows")).cast("long"))
 
 
 def column_names(probed: DataFrame, keep: list[str], out: str = "cell", ord: str = "ord") -> DataFrame:
@@ -71,7 +84,7 @@ def unreadable(probed: DataFrame, keep: list[str], column_needed: bool = False)
 
     A table without a fitting column is an empty feed, unless ``column_needed``.
     """
-    reason = F.when(F.col("rows").isNull(), "no table")
+    why = F.when(F.col("reason").isNotNull(), F.col("reason")).when(F.col("rows").isNull(), "no table")
     if column_needed:
-        reason = reason.when(F.col("col").isNull(), "no such column")
-    return probed.withColumn("reason", reason).filter(F.col("reason").isNotNull()).select(*keep, "reason")
+        why = why.when(F.col("col").isNull(), "no such column")
+    return probed.withColumn("reason", why).filter(F.col("reason").isNotNull()).select(*keep, "reason")

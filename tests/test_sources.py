@@ -273,3 +273,21 @@ def test_inline_table_is_local(spark):
     df = inline_table(spark, {"name": pa.string(), "pos": pa.int32()}, [("a", 1), ("b", 2)])
     assert df.dtypes == [("name", "string"), ("pos", "int")]
     assert "LocalTableScan" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_page_fails_alone(spark, monkeypatch):
+    from rollcall.functions import markup
+
+    digits = "9" * 5000
+    wide = f"<table><tr><td colspan='{digits}'>a</td></tr></table>"
+    deep = "<table><tr><td>" * (markup.MOST_DEEP + 1)
+    many = "<table>" + "<tr><td colspan=1000 rowspan=60000>x" + "<tr>" * 3000
+    good = "<table><tr><th>Team</th></tr><tr><td>Foxes</td></tr></table>"
+    pages = spark.createDataFrame([(i, x) for i, x in enumerate([wide, deep, many, good, None, ""])], "doc int, html string")
+    probed = probed_column(pages, "html", probe_longer, ["doc"])
+    got = {r.doc: r.reason for r in unreadable(probed, ["doc"]).collect()}
+    assert got == {1: "tables too deep", 2: "too many cells", 4: "no table", 5: "no table"}
+    assert {r.doc: r.cell for r in column_names(probed, ["doc"]).collect()}[3] == "Foxes"
+    assert markup.span({"colspan": "000" + digits}, "colspan", 1000) == 1000 and markup.span({"colspan": "000"}, "colspan", 1000) == 1
+    monkeypatch.setattr(markup, "page_tables", lambda html: {}["x"])
+    assert markup.read_page(good) == {"reason": "unreadable: KeyError", "tables": None}

@@ -325,13 +325,13 @@ def html_hard_cells(spark, sf_dir):
 
 
 def probe_column_len(spark, sf_dir):
-    return probed_column(html_docs(spark, sf_dir), "html", probe_longer, ["league", "doc"]).drop("rows")
+    return probed_column(html_docs(spark, sf_dir), "html", probe_longer, ["league", "doc"]).drop("rows", "reason")
 
 
 def probe_column_contains(spark, sf_dir):
     """Pages whose table mentions neither needle use the fallback column."""
     probe = lambda rows: probe_contains(rows, ["Brand#11 ", "Brand#2 "])
-    return probed_column(html_docs(spark, sf_dir), "html", probe, ["league", "doc"]).drop("rows")
+    return probed_column(html_docs(spark, sf_dir), "html", probe, ["league", "doc"]).drop("rows", "reason")
 
 
 def bad_feed_quarantine(spark, sf_dir):
@@ -351,9 +351,17 @@ def bad_feed_quarantine(spark, sf_dir):
 
 
 def pages_quarantine(spark, sf_dir):
-    """Pages whose first list holds five entries or fewer lose it: they have no table then."""
+    """Pages whose first list holds five entries or fewer lose it: they have no table then. Of the others, one in ten asks
+    for a span of 5,000 digits, which is bounded, and one in ten nests its tables too deep, which sets it aside alone.
+    """
     few = F.size(F.split(F.substring_index("html", "</tr></table>", 1), "<tr>")) <= 6
-    html = F.when(few, F.replace("html", F.lit("<table>"))).otherwise(F.col("html"))
+    way = F.col("page_id") % 10
+    html = (
+        F.when(few, F.replace("html", F.lit("<table>")))
+        .when(way == 3, F.replace("html", F.lit("<table>"), F.lit(f"<table><tr><td colspan='{'9' * 5000}'>wide</td></tr>")))
+        .when(way == 4, F.concat(F.repeat(F.lit("<table><tr><td>"), 300), "html"))
+        .otherwise(F.col("html"))
+    )
     pages = pages_tables(spark, sf_dir).withColumn("html", html)
     probed = probed_column(pages, "html", probe_longer, ["page_id"])
     return unreadable(probed, ["page_id"])

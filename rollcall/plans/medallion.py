@@ -13,7 +13,7 @@ from rollcall.operators.ranking import first_k, gold_ranking
 from rollcall.operators.resolve import master, resolve, review
 from rollcall.session import cut_lineage, drop_path, scratch_path
 from rollcall.sources.html import column_names, probed_column, unreadable
-from rollcall.sources.sinks import export_csv, export_if_any, export_snapshot, write_layer, write_layer_if_any
+from rollcall.sources.sinks import export_csv, export_if_any, export_snapshot, layer_path, write_layer, write_layer_if_any
 
 ARRIVAL = ("first_ord", "first_within")
 
@@ -49,6 +49,8 @@ def run(
     Pages are taken apart once and kept in the shared folder until the run ends. Pages without a table and dictionary
     entries without a name are stored beside their layer. When no page gives a name, the
     names of the run before stay, and the later stages work on them. ``metrics`` holds the counts of the run by group.
+    Each layer changes by a commit, so whenever a run is broken off, every layer can be read as one run left it. The
+    paths returned are those of the versions committed; ``read_layer`` finds the last one under ``base``.
     """
     spark = pages.sparkSession
     scratch = scratch_path(spark, "probed")
@@ -69,11 +71,12 @@ def run(
         snapshot = export_snapshot(gold, f"{base}/gold", "ranking", as_of, order=("League", "Positions"))
     finally:
         drop_path(spark, scratch)
+    now = {name: layer_path(spark, path) for name, path in at.items()}
     return {
-        "bronze": at["bronze/names"],
-        "quarantine": at["bronze/quarantine"],
-        "silver": at["silver/master"],
-        "unnamed": at["silver/unnamed"],
-        "metrics": at["metrics"],
+        "bronze": now["bronze/names"],
+        "quarantine": now["bronze/quarantine"],
+        "silver": now["silver/master"],
+        "unnamed": now["silver/unnamed"],
+        "metrics": now["metrics"],
         "gold": snapshot,
     }

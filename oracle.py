@@ -179,6 +179,13 @@ ORACLE = {
         NAMES,
         "SELECT league, row_number() OVER (PARTITION BY league ORDER BY first_ord) - 1 AS name_ord, name FROM deduped",
     ),
+    "json_long_quarantine": ctes(
+        [FEED, CLEANED],
+        """SELECT doc, CASE WHEN NOT bad THEN n END AS n_names, CASE WHEN NOT bad THEN k - 1 END AS last_league,
+             CASE WHEN bad THEN 'not one JSON object of lists of texts' END AS reason
+           FROM (SELECT ord // 100 AS doc, ord // 100 % 10 IN (3, 7) AS bad, count(*) AS n, count(DISTINCT league) AS k
+             FROM cleaned GROUP BY ALL)""",
+    ),
     "feed_tag_league": f"""
         WITH slugs(slug, formal_name) AS (VALUES {', '.join(f"('{s}', '{n}')" for s, n in SLUGS.items())})
         SELECT slug, formal_name, 'raw/' || slug || '/table' AS landing_key, count(*) AS n

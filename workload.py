@@ -22,11 +22,11 @@ from rollcall.operators.ranking import first_k, gold_ranking, ordered_lists
 from rollcall.operators.resolve import master, match_exact, missed_keys, resolve, review
 from rollcall.plans.medallion import medallion, run
 from rollcall.session import cut_lineage, scratch_path
+from rollcall.sources.documents import read_long_documents, write_document
 from rollcall.sources.feeds import (
     explode_feed,
     feed_documents,
     quarantine,
-    read_documents,
     tag_groups,
 )
 from rollcall.sources.html import first_table_rows, probed_column, table_cells, unreadable
@@ -185,12 +185,32 @@ def json_feed_roundtrip(spark, sf_dir):
 
 
 def json_documents_read(spark, sf_dir):
-    """Documents landed as files, one per league, read whole."""
-    lists = ordered_lists(cut_lineage(deduped(spark, sf_dir)), "league", "name", "first_ord")
-    docs = feed_documents(lists, "league", ["league"])
+    """All leagues as one JSON document, written by many tasks in parts of a hundred names and read by many."""
+    lists = ordered_lists(cut_lineage(deduped(spark, sf_dir)), "league", "name", "first_ord", LIST_ROWS)
+    path = scratch_path(spark, "document")
+    write_document(cut_lineage(lists), path)
+    names, _ = read_long_documents(spark, path, one=True)
+    return names.select("league", "name_ord", "name")
+
+
+def json_long_quarantine(spark, sf_dir):
+    """Landed files, one per hundred parts, taken apart at their commas; one in five is cut off or goes on behind its end."""
+    names = cleaned(spark, sf_dir).withColumn("doc", F.expr("ord div 100"))
+    lists = names.groupBy("doc", "league").agg(F.array_sort(F.collect_list(F.struct("ord", "name"))).alias("l"))
+    entries = F.array_sort(F.collect_list(F.struct("league", F.col("l.name").alias("names"))))
+    body = F.to_json(F.map_from_entries(entries))
+    way = F.col("doc") % 10
+    docs = lists.groupBy("doc").agg(body.alias("body")).withColumn(
+        "body", F.when(way == 3, F.expr("left(body, length(body) - 2)")).when(way == 7, F.concat("body", F.lit("[]"))).otherwise(F.col("body"))
+    )
     path = scratch_path(spark, "documents")
-    docs.repartition("league").write.partitionBy("league").text(path)
-    return explode_feed(read_documents(spark, path)).select("league", "name_ord", "name")
+    docs.repartition("doc").write.partitionBy("doc").text(path)
+    names, bad = read_long_documents(spark, path)
+    of = F.regexp_extract("doc", "doc=([0-9]+)", 1).cast("long").alias("doc")
+    read = names.groupBy(of).agg(F.count(F.lit(1)).alias("n_names"), F.max("league_ord").alias("last_league"))
+    none = F.lit(None).cast("long")
+    aside = bad.select(of, none.alias("n_names"), none.alias("last_league"), "reason")
+    return read.withColumn("reason", F.lit(None).cast("string")).unionByName(aside)
 
 
 def feed_tag_league(spark, sf_dir):
@@ -467,6 +487,7 @@ QUERIES = {
     "names_to_json": names_to_json,
     "json_feed_roundtrip": json_feed_roundtrip,
     "json_documents_read": json_documents_read,
+    "json_long_quarantine": json_long_quarantine,
     "feed_tag_league": feed_tag_league,
     "alias_flatten": lambda spark, sf_dir: flatten_aliases(club(spark, sf_dir)),
     "alias_exact": alias_exact,

@@ -52,7 +52,11 @@ DATE = re.compile(
     r"|(?:0?[1-9]|[12]\d|3[01])[-/._]?(?:0?[1-9]|1[0-2])[-/._]?(?:19|20)?\d\d"
 )
 RANK = {word: i + 1 for i, word in enumerate(WORDS)}
-NEXT = {(a, b): row for row in (*ROWS, *(r[::-1] for r in ROWS)) for a, b in zip(row, row[1:], strict=False)}
+#: Rows, either way, in which one character follows another; some pairs stand in two.
+NEXT: dict[tuple[str, str], list[str]] = {}
+for _row in (*ROWS, *(r[::-1] for r in ROWS)):
+    for _pair in zip(_row, _row[1:], strict=False):
+        NEXT.setdefault(_pair, []).append(_row)
 #: Words of the documents that are ranked at most, documents that hold one at least, and their letters.
 RANKED, HELD_BY, LETTERS = 30_000, 5, (3, 24)
 #: Documents that a task searches at a time.
@@ -94,19 +98,21 @@ def guess_cost(value: str, ranks: dict[str, int] = RANK, longest: int = LETTERS[
     """Decimal digits of the guesses that the cheapest segmentation of ``value`` takes; 0 for an empty one.
 
     Segments are words of ``ranks`` (any case, common substitutions), dates, walks along a keyboard row or the
-    alphabet, repeats of up to ``UNIT`` characters, and single characters at brute force.
-    The time is proportional to the length.
+    alphabet, repeats of up to ``UNIT`` characters, and single characters at brute force. It is the minimum over all
+    segmentations: every date, walk and repeat of two or more is tried, but for repeats that end far inside a longer
+    run. Those cost more than the run itself: what follows them in the run costs at least what going on does, unless it
+    reaches over the run's end, and then it begins close to it. So the time is proportional to the length.
     """
     n, low, one = len(value), value.lower(), brute(value)
     plain = low.translate(LEET)
     if len(low) != n:  # a character whose lower case has more than one
         low = plain = value
     best = [0.0] + [float("inf")] * n
-    dates = {m.start(): m.end() for i in range(n) if low[i].isdigit() for m in [DATE.match(low, i)] if m}
-    walk = [1] * (n + 1)  # length of the walk from here
+    over = max(longest, *map(len, ROWS), 2 * UNIT, 10)  # what reaches over a run's end begins so close to it
+    walk, runs = [1] * (n + 1), {}  # length of the longest walk from here, and of that along each row
     for i in range(n - 2, -1, -1):
-        row = NEXT.get((low[i], low[i + 1]))
-        walk[i] = 1 + walk[i + 1] if row and (walk[i + 1] == 1 or NEXT.get((low[i + 1], low[i + 2])) == row) else 1 + bool(row)
+        runs = {row: runs.get(row, 1) + 1 for row in NEXT.get((low[i], low[i + 1]), ())}
+        walk[i] = max(runs.values(), default=1)
     same = [[0] * (n + 1) for _ in range(UNIT + 1)]  # same[u][i]: characters from i on that equal those u further on
     for u in range(1, UNIT + 1):
         run = same[u]
@@ -126,22 +132,35 @@ def guess_cost(value: str, ranks: dict[str, int] = RANK, longest: int = LETTERS[
                 case = 0.0 if value[i:j] == low[i:j] else 0.31
                 leet = 0.0 if low[i:j] in ranks else 0.6
                 reach(j, at + log10(rank + 1) + case + leet)
-        if i in dates:
-            reach(dates[i], at + (2.1 if dates[i] - i == 4 else 4.6))
-        if walk[i] >= 3:
-            for j in {i + 3, i + walk[i]}:
-                reach(j, at + log10(len(ROWS) * 2 * 10 * (j - i)))
+        if low[i].isdigit():
+            for j in range(i + 4, min(n, i + 10) + 1):
+                if DATE.fullmatch(low, i, j):
+                    reach(j, at + date_cost(j - i))
+        for j in range(i + 3, i + walk[i] + 1):
+            reach(j, at + walk_cost(j - i))
         for u in range(1, UNIT + 1):
-            times = same[u][i] // u + 1
-            if times > 1:
-                reach(i + u * times, at + min(u * one, best_unit(value[i : i + u], one, ranks)) + log10(times))
+            most = same[u][i] // u + 1
+            if most > 1:
+                unit = best_unit(value[i : i + u], one, ranks)
+                for times in range(max(2, most - over // u - 1), most + 1):
+                    reach(i + u * times, at + unit + log10(times))
     return best[n]
 
 
+def date_cost(length: int) -> float:
+    """A year, or a longer date."""
+    return 2.1 if length == 4 else 4.6
+
+
+def walk_cost(length: int) -> float:
+    """A row, a direction, a place to begin and a length."""
+    return log10(len(ROWS) * 2 * 10 * length)
+
+
 def best_unit(unit: str, one: float, ranks: dict[str, int] = RANK) -> float:
     """Cost of a repeat's unit: a word, or its characters."""
     rank = ranks.get(unit.lower())
-    return log10(rank + 1) if rank else len(unit) * one
+    return min(len(unit) * one, log10(rank + 1) if rank else float("inf"))
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -185,8 +204,14 @@ def secret_spans(text: str, costly: float = COSTLY, ranks: dict[str, int] = RANK
     return base, sorted(base + guess_spans(text, base, costly, ranks), key=lambda x: (x[1], order[x[0]]))
 
 
-def find_secrets(docs: DataFrame, id: str = "doc_id", text: str = "text", costly: float = COSTLY) -> DataFrame:
-    """``(id, base, spans)`` per row: arrays of (kind, start, end); empty for NULL, empty and clean texts."""
+def find_secrets(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", costly: float = COSTLY, ranks: dict[str, int] | None = None
+) -> DataFrame:
+    """``(id, base, spans)`` per row: arrays of (kind, start, end); empty for NULL, empty and clean texts.
+
+    Words are priced by ``ranks``, a bounded table; without it they are counted in ``docs`` (``word_ranks``). Given the
+    same ranks, a text has the same spans in any table.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -196,7 +221,7 @@ def find_secrets(docs: DataFrame, id: str = "doc_id", text: str = "text", costly
                 columns = [pa.array([[dict(zip(names, s, strict=True)) for s in b[i]] for b in both], kind) for i in (0, 1)]
                 yield pa.RecordBatch.from_arrays([part.column(0), *columns], ["id", "base", "spans"])
 
-    ranks = word_ranks(docs, text)
+    ranks = word_ranks(docs, text) if ranks is None else ranks
     names = ("kind", "start", "end")
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
     pick = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
@@ -204,10 +229,17 @@ def find_secrets(docs: DataFrame, id: str = "doc_id", text: str = "text", costly
     return pick.mapInArrow(run, f"id {pick.schema['id'].dataType.simpleString()}, base {spans}, spans {spans}")
 
 
-def redact(docs: DataFrame, id: str = "doc_id", text: str = "text", size: str | None = "n_chars", mark: str = "[SECRET]") -> DataFrame:
+def redact(
+    docs: DataFrame,
+    id: str = "doc_id",
+    text: str = "text",
+    size: str | None = "n_chars",
+    mark: str = "[SECRET]",
+    ranks: dict[str, int] | None = None,
+) -> DataFrame:
     """``docs`` with every secret's span replaced by ``mark`` and ``size`` (code points) set anew where a text changed.
 
-    All rows stay. Overlapping spans become one mark. A row's own text is searched, so
+    All rows stay. Overlapping spans become one mark. ``ranks`` are as for ``find_secrets``. A row's own text is searched, so
     repeated ids and rows without one are fine.
     """
 
@@ -224,7 +256,7 @@ def redact(docs: DataFrame, id: str = "doc_id", text: str = "text", size: str |
                     columns[size] = pa.array([n if a == b else len(b) for n, a, b in sizes], columns[size].type)
                 yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
-    ranks = word_ranks(docs, text)
+    ranks = word_ranks(docs, text) if ranks is None else ranks
     return docs.mapInArrow(run, docs.schema)
 
 

@@ -7,6 +7,7 @@ import re
 import struct
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,11 +23,13 @@ CUT = re.compile(f"{MARK}[^{MARK}\n]*|[^{MARK}\n]+|\n")
 UNKNOWN = 10.0
 #: Pieces scored at or below this are placeholders: one character counts as unknown, longer ones are never used.
 UNUSED = -1e8
-#: Distinct strings in each of the two generations that a worker remembers; some 150 MB in all.
-REMEMBERED = 200_000
+#: Distinct strings in each of the two generations that a worker remembers; some 200 MB in all.
+REMEMBERED = 300_000
 #: Where no piece goes on.
 STOP: dict = {}
 ENCODE_CHARS = 1 << 20
+#: Strings of one length that are looked at together, so many at least; longer strings are looked at one by one.
+ROWS, FEWEST, LONGEST = 1 << 13, 16, 64
 
 
 class Pieces:
@@ -61,8 +64,28 @@ class Pieces:
             for letter in piece:
                 node = node.setdefault(letter, {})
             node[""] = score
+        self._number_tree()
         self.best, self.more = Looked(self), {}
 
+    def _number_tree(self) -> None:
+        """The tree as arrays: ``steps`` (node and letter, sorted) lead to ``node``; by node, score and piece."""
+        nodes, places = [("", self.tree)], {id(self.tree): 0}
+        steps = []
+        for prefix, node in nodes:  # grows as it goes
+            for letter, below in node.items():
+                if letter:
+                    places[id(below)] = len(nodes)
+                    steps.append((places[id(node)] << 21 | ord(letter), len(nodes)))
+                    nodes.append((prefix + letter, below))
+        steps.sort()
+        self.steps = np.array([k for k, _ in steps] + [-1], np.int64)
+        self.node = np.array([v for _, v in steps] + [0], np.int64)
+        self.gain = np.array([node.get("", np.nan) for _, node in nodes])
+        self.piece = np.array([self.id.get(prefix, -1) for prefix, _ in nodes], np.int64)
+        self.flat_text = np.frombuffer(b"".join(self.text), np.uint8)
+        self.text_size = np.fromiter(map(len, self.text), np.int64, len(self.text))
+        self.text_start = np.cumsum(self.text_size) - self.text_size
+
     def edges(self, s: str, start: int) -> Iterator[tuple[int, float]]:
         """Ends and scores of the lattice's edges from ``start``."""
         node, alone = self.tree, True
@@ -132,6 +155,72 @@ class Pieces:
         ids = self.numbers(s, cuts[::-1])
         return first[-1], first[-1] - second[-1], packed(ids), b"".join(map(self.text.__getitem__, ids))
 
+    def look_many(self, strings: list[str]) -> None:
+        """``look`` at many strings, those of one length together: each step of the Viterbi pass is one of arrays."""
+        by_size: dict[int, list[str]] = {}
+        for s in strings:
+            by_size.setdefault(len(s), []).append(s)
+        for size, same in by_size.items():
+            if size > LONGEST or len(same) < FEWEST:
+                for s in same:
+                    self.best[s] = self.look(s)
+                continue
+            for at in range(0, len(same), ROWS):
+                part = same[at : at + ROWS]
+                self.best.update(zip(part, self._looked(part, size), strict=True))
+
+    def _looked(self, part: list[str], size: int) -> list[tuple[float, float, bytes, bytes]]:
+        rows = len(part)
+        letters = np.frombuffer("".join(part).encode("utf-32-le"), "<u4").reshape(rows, size).astype(np.int64)
+        first, second = np.full((size + 1, rows), -np.inf), np.full((size + 1, rows), -np.inf)
+        back, last = np.zeros((size + 1, rows), np.int64), np.zeros((size + 1, rows), np.int64)
+        first[0] = 0.0
+
+        def reach(row, start, end, gain, piece):
+            way, two = first[start, row] + gain, second[start, row] + gain
+            held = first[end, row]
+            better = way > held
+            second[end, row] = np.where(better, np.maximum(held, two), np.maximum(second[end, row], way))
+            won = row[better]
+            first[end, won], back[end, won] = way[better], start
+            last[end, won] = piece[better]
+
+        for start in range(size):
+            row, node, alone = np.arange(rows), np.zeros(rows, np.int64), np.ones(rows, bool)
+            for end in range(start, size):
+                asked = node << 21 | letters[row, end]
+                at = np.searchsorted(self.steps[:-1], asked)
+                goes_on = self.steps[at] == asked
+                row, node = row[goes_on], self.node[at[goes_on]]
+                if not len(row):
+                    break
+                gain = self.gain[node]
+                is_piece = ~np.isnan(gain)
+                reach(row[is_piece], start, end + 1, gain[is_piece], self.piece[node[is_piece]])
+                if end == start:
+                    alone[row[is_piece]] = False
+            single = np.flatnonzero(alone)
+            reach(single, start, start + 1, np.full(len(single), self.unknown), np.full(len(single), -1))
+        # Back along the best ways of all strings at once; the first piece of a string is found last.
+        row, place, found = np.arange(rows), np.full(rows, size), []
+        while len(row):
+            found.append((row, last[place, row]))
+            place = back[place, row]
+            row, place = row[place > 0], place[place > 0]
+        row, piece = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.lexsort((-np.arange(len(row)), row))
+        row, piece = row[order], piece[order]
+        strange = np.bincount(row, piece < 0, rows) > 0
+        ends = np.cumsum(np.bincount(row, minlength=rows))
+        sizes = self.text_size[piece]
+        stops = np.cumsum(sizes)
+        text = self.flat_text[np.repeat(self.text_start[piece] - (stops - sizes), sizes) + np.arange(stops[-1])].tobytes()
+        stops = np.concatenate([[0], stops])[ends].tolist()
+        ids, ends = piece.astype("<u4").tobytes(), ends.tolist()
+        loss = (first[size] - second[size]).tolist()
+        columns = zip(part, strange.tolist(), first[size].tolist(), loss, [0, *ends], ends, [0, *stops], stops, strict=False)
+        return [self.look(s) if odd else (score, less, ids[4 * a : 4 * b], text[x:y]) for s, odd, score, less, a, b, x, y in columns]
+
     def bytes_of(self, ids: bytes) -> bytes:
         return b"".join(map(self.text.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
@@ -164,16 +253,24 @@ class Pieces:
         self.more[s, n] = found
         return found
 
-    def segmentations(self, text: str, n: int, remembered: int = REMEMBERED) -> list[tuple[float, bytes, bytes]]:
-        """The ``n`` best (score, ids, decoded ids) of a text, best first; ties by the earliest change of the best one.
+    def learn(self, texts: list[str], remembered: int = REMEMBERED) -> list[list[str]]:
+        """The strings between the cuts of each text; those not remembered are looked at, many at once."""
+        if len(self.best) > remembered:
+            self.best.forget()
+            self.more = {}
+        parts = list(map(parts_of, texts))
+        new = set(chain.from_iterable(parts)).difference(self.best)
+        kept = new.intersection(self.best.before)
+        self.best.update((s, self.best.before[s]) for s in kept)
+        self.look_many(list(new - kept))
+        return parts
+
+    def segmentations(self, parts: list[str], n: int) -> list[tuple[float, bytes, bytes]]:
+        """The ``n`` best (score, ids, decoded ids) of a text's strings, best first; ties by the earliest change of the best one.
 
         The lattice falls apart at the cuts, so a text's segmentation is one for each string between them. The n
         best differ from the best only in the n - 1 strings whose second best loses least: the others are not touched again.
         """
-        parts = CUT.findall(MARK + text.replace(" ", MARK)) if text else []
-        if len(self.best) > remembered:
-            self.best.forget()
-            self.more = {}
         scores, losses, ids, raws = map(list, zip(*map(self.best.__getitem__, parts), strict=True)) if parts else ([], [], [], [])
         score = sum(scores)
         ways: list[tuple[float, tuple]] = [(0.0, ())]
@@ -197,6 +294,10 @@ class Pieces:
         return shown(self.bytes_of(ids))
 
 
+def parts_of(text: str) -> list[str]:
+    return CUT.findall(MARK + text.replace(" ", MARK)) if text else []
+
+
 def packed(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
@@ -252,7 +353,8 @@ def encoded(
         known = pieces(model)
         for batch in batches:
             for ids, texts in slices(batch, ENCODE_CHARS):
-                rows = [(i, r + 1, *x) for i, t in zip(ids, texts, strict=True) for r, x in enumerate(known.segmentations(t, n))]
+                cut = known.learn(texts)
+                rows = [(i, r + 1, *x) for i, parts in zip(ids, cut, strict=True) for r, x in enumerate(known.segmentations(parts, n))]
                 columns = [list(c) for c in zip(*rows, strict=True)]
                 columns[4:] = [[shown(raw) for raw in columns[4]]] if back else []
                 arrays = [pa.array(c, kind) for c, kind in zip(columns, [batch.schema.field(0).type, *kinds], strict=True)]

@@ -3,7 +3,7 @@ import random
 import public_tokenizers
 import pytest
 
-from rollcall.llm.nbest import MARK, decoded, encoded, least, pieces, shown
+from rollcall.llm.nbest import MARK, decoded, encoded, least, parts_of, pieces, shown
 from llm_rows import ODD
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -29,7 +29,7 @@ def test_n_best_of_all_segmentations():
         text = "".join(draw.choice("thealoi ng\nés日x▁") for _ in range(draw.randrange(1, 9)))
         ways = all_ways(known, MARK + text.replace(" ", MARK))
         for n in (1, 2, 5):
-            got = known.segmentations(text, n)
+            got = known.segmentations(parts_of(text), n)
             assert [s for s, _, _ in got] == [s for s, _ in ways[:n]]
             assert len({ids for _, ids, _ in got}) == len(got)
             assert {x[:2] for x in got} <= set(ways)
@@ -48,11 +48,20 @@ def test_pieces_are_those_of_the_library():
 
 def test_forgetting_changes_nothing():
     known = pieces(MODEL)
-    text = "the river and the stone " * 5
-    want = known.segmentations(text, 4)
-    assert known.segmentations(text, 4, remembered=0) == want
-    assert not set(known.best) - set(known.best.before)  # kept from the generation before
-    assert known.segmentations("other words", 4, remembered=0) and known.segmentations(text, 4) == want
+    texts = ["the river and the stone " * 5, "other words"]
+    want = [known.segmentations(parts, 4) for parts in known.learn(texts)]
+    for _ in range(3):
+        assert [known.segmentations(parts, 4) for parts in known.learn(texts, remembered=0)] == want
+    assert set(known.best.before) >= set(parts_of(texts[0]))  # the generation before
+
+
+def test_many_strings_at_once_equal_one_by_one():
+    known, draw = pieces(MODEL), random.Random(9)
+    letters = "thealoing sm▁é日x\x00😀𓀀"
+    strings = {"".join(draw.choice(letters) for _ in range(draw.randrange(1, 12))) for _ in range(3000)} | {"q" * 90}
+    known.best.clear()
+    known.look_many(list(strings))
+    assert dict(known.best) == {s: known.look(s) for s in strings}
 
 
 @pytest.mark.parametrize(("losses", "n", "want"), [([3, 1, 1, 1], 2, [1, 2]), ([float("inf"), 2], 3, [1]), ([], 2, []), ([1], 0, [])])

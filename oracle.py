@@ -289,6 +289,7 @@ ORACLE = {
 }
 ORACLE["inline_export"] = ORACLE["inline_table"]
 ORACLE["master_export"] = ORACLE["silver_master"]
+ORACLE["kept_answers"] = ORACLE["silver_master"]
 ORACLE["review_export"] = ctes([*RESOLVED, REVIEW], "SELECT *, 'kept' AS log FROM review")
 ORACLE["flow_metrics"] = ORACLE["run_metrics"]
 ORACLE["bronze_guard"] = ctes(

@@ -84,14 +84,20 @@ def probe_contains(rows: Column, needles: list[str]) -> Column:
     return F.coalesce(first_column_where(rows, found), fallback)
 
 
-def run_metrics(cleaned: DataFrame, deduped: DataFrame, review: DataFrame, group: str = "league") -> DataFrame:
-    """Rows per group before and after de-duplication, and rows to review."""
+def run_metrics(
+    cleaned: DataFrame, deduped: DataFrame, review: DataFrame, group: str = "league", groups: DataFrame | None = None
+) -> DataFrame:
+    """Rows per group before and after de-duplication, and rows to review.
+
+    ``groups`` are all groups that were read: those without a usable name count 0. Without it, groups are those of ``cleaned``.
+    """
 
     def counted(df: DataFrame, column: str) -> DataFrame:
         return df.groupBy(group).agg(F.count(F.lit(1)).alias(column))
 
-    joined = counted(cleaned, "n_before").join(counted(deduped, "n_after"), group, "left")
-    joined = joined.join(counted(review, "n_review"), group, "left")
-    return joined.select(
-        group, "n_before", *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_after", "n_review"))
-    )
+    joined = counted(cleaned, "n_before")
+    if groups is not None:
+        joined = groups.select(group).filter(F.col(group).isNotNull()).distinct().join(joined, group, "left")
+    for table, column in ((deduped, "n_after"), (review, "n_review")):
+        joined = joined.join(counted(table, column), group, "left")
+    return joined.select(group, *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_before", "n_after", "n_review")))

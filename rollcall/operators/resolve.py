@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.functions.text import token_key
+from rollcall.operators.answers import kept_match
 from rollcall.operators.dictionary import BROADCAST_BYTES, DictionarySize, dictionary_size, flatten_aliases
 from rollcall.operators.fuzzy import GATE, best_match, gate, score
 from rollcall.operators.skew import HOT_ROWS, join_lookup
@@ -59,10 +60,13 @@ def resolve(
     above: int = GATE,
     broadcast_bytes: int = BROADCAST_BYTES,
     hot_rows: int = HOT_ROWS,
+    answers: str | None = None,
     **match,
 ) -> DataFrame:
     """``rows`` plus ``standard_name`` and ``match_confidence``; other columns are kept.
 
+    With ``answers``, a folder, best matches are kept there between runs, and only what is new is compared (``kept_match``).
+
     Hits leave after the alias join. Only misses are shuffled: once to distinct
     keys, which are compared, and once to bring the answers back. ``rows`` is read
     for each branch, so pass a stored layer rather than a long computation.
@@ -78,7 +82,10 @@ def resolve(
     )
     missed = tagged.filter(F.col("score").isNull()).select(*kept)
     keys = missed_keys(missed, name)
-    found = best_match(keys, dictionary, size, **match)
+    if answers is None:
+        found = best_match(keys, dictionary, size, **match)
+    else:
+        found = kept_match(keys, dictionary, answers, **match)
     confidence = score(F.col("sim"))
     answers = found.select(
         "key", gate(F.col("best"), confidence, above).alias("standard_name"), confidence.alias("match_confidence")

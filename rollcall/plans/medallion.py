@@ -42,19 +42,30 @@ def medallion(pages: DataFrame, dictionary: DataFrame, group: str, ord: str, sea
 
 
 def run(
-    pages: DataFrame, dictionary: DataFrame, base: str, as_of: datetime, season: int, group: str, ord: str, **options
+    pages: DataFrame,
+    dictionary: DataFrame,
+    base: str,
+    as_of: datetime,
+    season: int,
+    group: str,
+    ord: str,
+    keep_answers: bool = False,
+    **options,
 ) -> dict[str, str]:
     """Run and store every stage under ``base``; a failing stage raises and the later ones do not run.
 
     Pages are taken apart once and kept in the shared folder until the run ends. Pages without a table and dictionary
     entries without a name are stored beside their layer. When no page gives a name, the
     names of the run before stay, and the later stages work on them. ``metrics`` holds the counts of the run by group.
+    ``keep_answers`` keeps the best matches under ``base`` for the next run, which compares only what is new to it.
     Each layer changes by a commit, so whenever a run is broken off, every layer can be read as one run left it. The
     paths returned are those of the versions committed; ``read_layer`` finds the last one under ``base``.
     """
     spark = pages.sparkSession
     scratch = scratch_path(spark, "probed")
     at = {k: f"{base}/{k}" for k in ("bronze/names", "bronze/quarantine", "silver/master", "silver/unnamed", "metrics")}
+    if keep_answers:
+        options["answers"] = f"{base}/silver/answers"
     try:
         probed_column(pages, "html", probe_longer, [group, ord]).write.parquet(scratch)
         probed = spark.read.parquet(scratch)
@@ -66,7 +77,7 @@ def run(
         arrival = {"order": (group, *ARRIVAL), "drop": ARRIVAL}
         export_csv(master(silver, group=group, keep=ARRIVAL), f"{base}/silver/master_csv", **arrival)
         export_if_any(review(silver, group=group, keep=ARRIVAL), f"{base}/silver/review_csv", **arrival)
-        write_layer(run_metrics(cleaned, names, review(silver, group=group), group), at["metrics"])
+        write_layer(run_metrics(cleaned, names, review(silver, group=group), group, groups=probed), at["metrics"])
         gold = gold_ranking(silver, season, group, *ARRIVAL)
         snapshot = export_snapshot(gold, f"{base}/gold", "ranking", as_of, order=("League", "Positions"))
     finally:

@@ -142,3 +142,10 @@ def test_run_metrics_counts_before_and_after(spark):
     log = before.filter("league = 'a'").limit(1)
     got = sorted(map(tuple, run_metrics(before, after, log).collect()))
     assert got == [("a", 2, 1, 1), ("b", 1, 1, 0)]
+
+
+def test_run_metrics_counts_groups_without_names(spark):
+    before = spark.createDataFrame([("a",), ("a",)], "league string")
+    groups = spark.createDataFrame([("a", 1), ("none", 2), ("none", 3), (None, 4)], "league string, doc int")
+    got = run_metrics(before, before.limit(1), before.limit(0), groups=groups)
+    assert sorted(map(tuple, got.collect())) == [("a", 2, 1, 0), ("none", 0, 0, 0)]

@@ -145,7 +145,7 @@ def misses(spark, sf_dir):
 
 def best_of_misses(spark, sf_dir):
     """Each missed name with its best match and that match's integer score."""
-    names = misses(spark, sf_dir).select("name").distinct()
+    names = cut_lineage(misses(spark, sf_dir).select("name").distinct())
     keys = missed_keys(names).select("key")
     best = best_match(keys, club(spark, sf_dir))
     keyed = names.withColumn("key", token_key(F.col("name")))
@@ -286,6 +286,14 @@ def match_gate(spark, sf_dir):
     return best.select("name", gate(F.col("best"), F.col("score")).alias("standard_name"), "score")
 
 
+def kept_answers(spark, sf_dir):
+    """The master table of a second run, after a first one with a dictionary that lacked a third of the entries and had others."""
+    path, names, whole = scratch_path(spark, "answers"), cut_lineage(deduped(spark, sf_dir)), cut_lineage(club(spark, sf_dir))
+    others = whole.filter("ord % 3 = 0").selectExpr("ord + 1 AS ord", "concat('old ', standard_name) AS standard_name", "aliases")
+    resolve(names.filter("first_ord % 4 <> 0"), whole.filter("ord % 3 <> 0").unionByName(others), answers=path)
+    return master(resolve(names, whole, answers=path))
+
+
 def gold(spark, sf_dir):
     return gold_ranking(cut_lineage(silver(spark, sf_dir)), SEASON, ord="first_ord")
 
@@ -501,6 +509,7 @@ QUERIES = {
     "match_gate": match_gate,
     "resolve_hot": resolve_hot,
     "silver_master": lambda spark, sf_dir: master(silver(spark, sf_dir)),
+    "kept_answers": kept_answers,
     "review_log": lambda spark, sf_dir: review(silver(spark, sf_dir)),
     "gold_ranking": gold,
     "gold_snapshot": gold_snapshot,

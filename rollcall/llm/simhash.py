@@ -9,6 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from rollcall.llm.components import components
 from rollcall.llm.joins import drop_ids
@@ -105,6 +106,17 @@ def near_links(fps: DataFrame, max_distance: int = 2) -> DataFrame:
     return ends.filter(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_distance)
 
 
+def _labelled(prints: DataFrame, place, max_distance: int) -> DataFrame:
+    """``prints`` (fp, ..) with ``first``, the least ``place`` reachable over links, its own included."""
+    nodes = prints.groupBy("fp").agg(F.min(place).alias("least"))
+    found = components(near_links(nodes.select("fp"), max_distance))
+    named = nodes.join(found, nodes.fp == found.node, "left")
+    named = cut_lineage(named.select("fp", "least", F.coalesce("component", "fp").alias("component")))
+    smallest = named.groupBy("component").agg(F.min("least").alias("first"))
+    labels = cut_lineage(named.join(cut_lineage(smallest), "component").select("fp", "first"))
+    return prints.join(labels, "fp")
+
+
 def near_duplicates(
     docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 3, max_distance: int = 2
 ) -> DataFrame:
@@ -114,16 +126,30 @@ def near_duplicates(
     never the least unless its component has no other. An empty table gives none.
     """
     prints = cut_lineage(fingerprints(docs, id, text, shingle))
-    nodes = prints.groupBy("fp").agg(F.min("id").alias("least"))
-    found = components(near_links(nodes.select("fp"), max_distance))
-    named = nodes.join(found, nodes.fp == found.node, "left")
-    named = cut_lineage(named.select("fp", "least", F.coalesce("component", "fp").alias("component")))
-    smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    labels = cut_lineage(named.join(cut_lineage(smallest), "component").select("fp", "component_id"))
-    return prints.join(labels, "fp").select("id", "fp", "component_id")
+    found = _labelled(prints, F.col("id"), max_distance)
+    return found.select("id", "fp", F.col("first").alias("component_id"))
+
+
+def _marked(docs: DataFrame, text: str, shingle: int) -> DataFrame:
+    """``(row, at, fp)``: each row whole, a number of its own and its fingerprint."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fps = [fingerprint(x.as_py(), shingle) for x in batch.column(0).field(text)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fps, pa.int64())], ["row", "at", "fp"])
+
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    pick = docs.select(row, F.monotonically_increasing_id().alias("at"))
+    return pick.mapInArrow(run, StructType([*pick.schema.fields, StructField("fp", LongType())]))
 
 
 def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 3, max_distance: int = 2) -> DataFrame:
-    """The documents whose id names their component, with the columns of ``docs``; rows without an id stay."""
-    found = near_duplicates(docs, id, text, shingle, max_distance)
-    return drop_ids(docs, found.filter("id <> component_id").select(F.col("id").alias(id)), id)
+    """One row of each component, with the columns of ``docs``: the least id's, the first stored of several rows that have it.
+
+    Rows are stored with a number each, and the number decides: of rows that share an id or have none, those unlike
+    all others stay, and of those in one component one stays. A NULL id comes last.
+    """
+    rows = cut_lineage(_marked(docs, text, shingle))
+    prints = rows.select(F.col("row").getField(id).alias("id"), "at", "fp")
+    found = _labelled(prints, F.struct(F.col("id").isNull().alias("none"), "id", "at"), max_distance)
+    return drop_ids(rows, found.filter(F.col("at") != F.col("first.at")).select("at"), "at").select("row.*")

@@ -94,3 +94,15 @@ def test_long_path_and_hub(spark):
     found = {r.node: r.component for r in components(edges).collect()}
     assert found == {i: 0 for i in range(61)} | {i: 1000 for i in range(1000, 1300)}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_rows_decide_not_ids(spark):
+    from llm_rows import prose
+
+    near = prose(1, 300)
+    other = near.replace(" ", "  ", 1)
+    rows = [(1, near, "a"), (1, prose(2, 300), "b"), (None, other, "c"), (None, prose(3, 300), "d"), (2, near, "e"), (None, prose(3, 300), "f")]
+    kept = keep_one(spark.createDataFrame(rows, "doc_id long, text string, mark string").coalesce(1)).collect()
+    assert sorted(r.mark for r in kept) == ["a", "b", "d"]
+    twice = keep_one(spark.createDataFrame([(5, near, "x")] * 3, "doc_id long, text string, at string"))
+    assert [tuple(r) for r in twice.collect()] == [(5, near, "x")]

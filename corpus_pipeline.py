@@ -10,7 +10,7 @@ from rollcall.llm.packing import packed
 from rollcall.llm.queries import BITS, BYTE_BPE, SHINGLE, piece_digests, quality_model
 from rollcall.llm.simhash import keep_one
 from rollcall.llm.stream_dedup import keep_first
-from rollcall.session import scratch_path
+from rollcall.session import drop_path, scratch_path
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,10 +50,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply all stages to ``documents``, each stored as Parquet and read again as the next one's input."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """Apply all stages to ``documents``, each stored as Parquet and read again as the next one's input.
+
+    A stage's table goes when the next one is stored; the last one stays for the reader of the result.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for _, stage in STAGES:
         path = scratch_path(spark, "stage")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            drop_path(spark, before)
+        before = path
     return docs

@@ -16,7 +16,7 @@ WINDOW = 2048
 END_ID = 1
 #: Tokens that one task packs together, and characters that it encodes together; both bound its memory.
 BLOCK_TOKENS = 1 << 21
-ENCODE_CHARS = 1 << 24
+ENCODE_CHARS = 1 << 23
 
 
 def fullest(left: Counter[int], window: int) -> Counter[int]:

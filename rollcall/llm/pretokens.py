@@ -70,8 +70,9 @@ def _encoded(pieces: list[str], path: str) -> list[bytes]:
 def _runs(starts: np.ndarray, sizes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The places of the runs ``at``, one after the other, and where each run ends among them, from 0 on."""
     own = sizes[at]
-    ends = np.cumsum(own)
-    places = np.repeat(starts[at] - (ends - own), own) + np.arange(ends[-1] if len(ends) else 0)
+    ends = np.cumsum(own, dtype=np.int64)
+    places = np.repeat((starts[at] - (ends - own)).astype(np.int32), own)
+    places += np.arange(len(places), dtype=np.int32)
     return places, np.concatenate([[0], ends])
 
 
@@ -87,18 +88,21 @@ def encode_texts(texts: list[str], path: str) -> list[bytes]:
     whole = pc.match_substring_regex(strings, WHOLE).to_pylist()
     whole = [w or bool(special and special.search(text)) for w, text in zip(whole, texts, strict=True)]
     plain = pc.split_pattern(strings.filter(pc.invert(pa.array(whole, pa.bool_()))), " ")
-    words = plain.flatten().dictionary_encode()
+    firsts, words = plain.offsets.to_numpy(), plain.flatten().dictionary_encode()
+    del strings, plain
+    at = words.indices.to_numpy().copy()
     cuts = [CUT.findall(" " + word) for word in words.dictionary.to_pylist()]
+    del words
     n_words = len(cuts)  # behind them, the first word of each text, which has no space before it, or the whole text
     cuts += [cut(text, path) if w else CUT.findall(text.split(" ", 1)[0]) for w, text in zip(whole, texts, strict=True)]
+    counts = np.cumsum([0, *map(len, cuts)])
     pieces = pa.array(list(chain.from_iterable(cuts)), pa.large_string()).dictionary_encode()
+    del cuts  # some hundred bytes a word
     ids = _encoded(pieces.dictionary.to_pylist(), path)
     sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
     places, ends = _runs(np.cumsum(sizes) - sizes, sizes, pieces.indices.to_numpy())
     tokens = np.frombuffer(b"".join(ids), "<u4")[places]
-    bounds = ends[np.cumsum([0, *map(len, cuts)])]
-
-    at, firsts = words.indices.to_numpy().astype(np.int64), plain.offsets.to_numpy()
+    bounds = ends[counts]
     at[firsts[:-1]] = n_words + np.flatnonzero(~np.array(whole, bool))
     places, ends = _runs(bounds[:-1], np.diff(bounds), at)
     flat = tokens[places].tobytes()

@@ -8,7 +8,7 @@ import pytest
 from rollcall.llm import guess_cost, queries
 from rollcall.llm.quality_rules import Rule as TextRule
 from rollcall.llm.quality_rules import judged as judge_texts
-from rollcall.llm.url_markov import END, FLOOR, ORDER, START, judged, scores
+from rollcall.llm.url_markov import END, FLOOR, ORDER, START, judged, scores, threshold
 from llm_rows import ODD, prose
 
 
@@ -122,6 +122,29 @@ def test_models_by_definition(spark):
     assert got["good99.org/news/x"] > 0 > got["spam99.biz/win/x"]
 
 
+def test_the_threshold_by_brute_force(spark):
+    draw = random.Random(11)
+    rows = [(f"u{i}.org/{draw.random()}", draw.gauss(0.4 if i % 2 else -0.3, 0.5), "allow" if i % 2 else "block") for i in range(400)]
+    frame = spark.createDataFrame(rows, "url string, ratio double, verdict string")
+    unseen = [(round(r.ratio * 100), r.verdict) for r in frame.filter("pmod(xxhash64(url), 5) = 0").collect()]
+    good, bad = (sum(v == kind for _, v in unseen) for kind in ("allow", "block"))
+
+    def parted(at):
+        """Share of the allowed at or over the cut and of the blocked under it."""
+        return sum(s >= at for s, v in unseen if v == "allow") / good + sum(s < at for s, v in unseen if v == "block") / bad
+
+    best = max(parted(at) for at in range(-2001, 2002))
+    assert parted(threshold(frame) * 100) == pytest.approx(best)
+    assert threshold(frame.filter("verdict = 'allow'")) == 0
+
+
+def test_a_very_long_url(spark):
+    long = "https://x.org/" + "ab/" * 7_000
+    pages = spark.createDataFrame([(1, long), (2, "https://a.net/es/x"), (3, "https://b.com/y"), (4, long)], "page_id long, url string")
+    got = {r.id: r for r in judged(pages, queries.URL_RULES).collect()}
+    assert got[1].path == got[4].path == long.removeprefix("https://x.org") and got[1].verdict == got[4].verdict
+
+
 SECRETS = [
     ("password = 'abcdefghijkl'", [("assign", 0, 24)]),
     ("Api_Key:abcdefghijk", []),

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -26,6 +25,8 @@ BLOCK = 2048
 FEW = 24
 #: Words of a passage that is found wherever it stands in a text, and of the units that are compared for it.
 PASSAGE, UNIT = 50, 25
+#: Odd factors and seeds of the two numbers by which equal pieces are known.
+KEYS = ((0xD1342543DE82EF95, 0x2545F4914F6CDD1D), (0xAF251AF3B0F025B5, 0x9E6C63D0876A9A47))
 #: Documents that a task cuts into units at a time, and words whose hashes a worker keeps.
 SLICE, KNOWN = 64, 1 << 18
 
@@ -44,45 +45,107 @@ def shingles(text: str, size: int = SHINGLE) -> set[str]:
     return set(map(" ".join, zip(*(words[i:] for i in range(size)), strict=False))) or {text}
 
 
-def paragraphs(docs: DataFrame, id: str, text: str, shingle: int) -> DataFrame:
-    """``(id, para, norm, key)``: lines of ``shingle`` words or more, numbered from 0 among all lines of the text.
-
-    ``norm`` is in lower case with single spaces; ``key`` is its MD5, so equal paragraphs are one from there on.
-    """
-    norm = lambda line: F.trim(F.regexp_replace(F.lower(line), "[\\s\\x1c-\\x1f]+", " "))
-    split = F.transform(F.split(F.col(text), "\n"), norm)  # before the explode: worked out once
-    lines = docs.select(F.col(id).alias("id"), F.posexplode(split).alias("para", "norm"))
-    lines = lines.filter(F.length("norm") - F.length(F.replace("norm", F.lit(" "))) >= shingle - 1).filter("norm <> ''")
-    return lines.select("id", "para", "norm", F.unhex(F.md5("norm")).alias("key"))
-
-
-def banded(lines: DataFrame, bands: int, rows: int, shingle: int) -> DataFrame:
-    """``(id, para, key, bands)``: ``bands`` numbers per paragraph, each a hash of ``rows`` minima over its shingles."""
+def hashed(shingles: np.ndarray, spans: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """``bands`` numbers for each span (start, end) of the shingles, each a hash of ``rows`` minima over the span."""
     draw = np.random.default_rng(SEED)
     times = draw.integers(0, 1 << 63, bands * rows, np.uint64) * np.uint64(2) + np.uint64(1)
     plus = draw.integers(0, 1 << 63, bands * rows, np.uint64)
+    mixed = np.zeros((bands, len(spans)), np.uint64)
+    padded = np.append(shingles, np.uint64(0))  # a span may end with the last shingle
+    for i in range(bands * rows):
+        value = padded * times[i]
+        value += plus[i]
+        value ^= value >> np.uint64(32)
+        value *= np.uint64(0x9E3779B97F4A7C15)
+        low = np.minimum.reduceat(value, spans.ravel())[::2]
+        band = mixed[i // rows]
+        band ^= low + np.uint64(0x9E3779B97F4A7C15) + (band << np.uint64(6)) + (band >> np.uint64(2))
+    mixed += np.arange(1, bands + 1, dtype=np.uint64)[:, None] * np.uint64(0xD6E8FEB86659FD93)
+    return np.ascontiguousarray(mixed.T).view(np.int64)
+
+
+def keys(own: np.ndarray, spans: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two numbers for each span (start, end) of words, 128 bits in all: equal where the words are equal."""
+    found = []
+    for times, seed in KEYS:
+        times, back = np.uint64(times), np.uint64(pow(times, -1, 1 << 64))
+        value = (own ^ np.uint64(seed)) * np.uint64(0xBF58476D1CE4E5B9)
+        value ^= value >> np.uint64(31)
+        up, down = np.ones(len(own) + 1, np.uint64), np.ones(len(own) + 1, np.uint64)
+        up[1:], down[1:] = times, back
+        np.multiply.accumulate(up, out=up)
+        np.multiply.accumulate(down, out=down)
+        total = np.zeros(len(own) + 1, np.uint64)
+        np.cumsum(value * up[:-1], out=total[1:])
+        found.append(((total[spans[:, 1]] - total[spans[:, 0]]) * down[spans[:, 0]]).view(np.int64))
+    return found[0], found[1]
+
+
+def pieces(
+    docs: DataFrame, id: str, text: str, shingle: int, least: int = 0, bands: int = 0, rows: int = 0, passage: int = 0, unit: int = 0
+) -> DataFrame:
+    """``(id, para, start, a, b, bands, norm)`` of each text's lines and units, from one pass over its words.
+
+    Words are what white space parts, in lower case. Lines of ``least`` words or more have their number among all lines of
+    the text as ``para``, their band hashes and their words as ``norm``; without ``bands`` there are none. Units, whose ``para`` is
+    NULL, are cut by content where a ``passage`` is named. ``start`` counts the words of the whole text; ``a`` and ``b`` tell equal pieces.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordHashes()
         for batch in batches:
-            sets = [shingles(x.as_py(), shingle) for x in batch.column("norm")]
-            if not sets:
-                continue
-            at = np.cumsum([0] + [len(x) for x in sets])
-            hashes = np.fromiter((xxhash.xxh64_intdigest(x, SEED) for s in sets for x in s), np.uint64, at[-1])
-            mixed = np.zeros((bands, len(sets)), np.uint64)
-            for i in range(bands * rows):
-                value = hashes * times[i] + plus[i]
-                value ^= value >> np.uint64(32)
-                low = np.minimum.reduceat(value * np.uint64(0x9E3779B97F4A7C15), at[:-1])
-                band = mixed[i // rows]
-                band ^= low + np.uint64(0x9E3779B97F4A7C15) + (band << np.uint64(6)) + (band >> np.uint64(2))
-            mixed += np.arange(1, bands + 1, dtype=np.uint64)[:, None] * np.uint64(0xD6E8FEB86659FD93)
-            flat = pa.array(np.ascontiguousarray(mixed.T).view(np.int64).ravel())
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * bands), flat)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("id", "para", "key")), lists], ["id", "para", "key", "bands"])
-
-    kind = lines.schema["id"].dataType.simpleString()
-    return lines.mapInArrow(run, f"id {kind}, para int, key binary, bands array<long>")
+            for at in range(0, len(batch), SLICE):
+                part = batch.slice(at, SLICE)
+                if found := slice_pieces(part.column(1).to_pylist(), known):
+                    owner, *columns = found
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column(0).take(pa.array(owner)), *columns], ["id", "para", "start", "a", "b", "bands", "norm"]
+                    )
+
+    def slice_pieces(texts: list[str | None], known: WordHashes):
+        words, begins, owner, paras, spans, norms = [], [], [], [], [], []
+        for i, whole in enumerate(texts):
+            begins.append(len(words))
+            for para, line in enumerate((whole or "").lower().split("\n")):
+                here = line.split()
+                if bands and len(here) >= least:
+                    owner.append(i)
+                    paras.append(para)
+                    spans.append((len(words), len(words) + len(here)))
+                    norms.append(" ".join(here))
+                words += here
+        begins.append(len(words))
+        if not words:
+            return None
+        own = word_hashes(words, known)
+        runs = mixed_runs(own, shingle)
+        n_lines = len(spans)
+        for i, (begin, end) in enumerate(zip(begins, begins[1:], strict=False)) if passage else ():
+            starts = anchors(runs[begin : max(begin, end - shingle + 1)], end - begin, passage, unit) + begin
+            starts = apart(starts.tolist(), runs, unit, shingle)
+            owner += [i] * len(starts)
+            spans += [(x, x + unit) for x in starts]
+        if not spans:
+            return None
+        spans = np.array(spans, np.int64)
+        a, b = keys(own, spans)
+        more = len(spans) - n_lines
+        flat = np.zeros(0, np.int64)
+        if n_lines:
+            flat = hashed(runs, spans[:n_lines] - [0, shingle - 1], bands, rows).ravel()
+        ends = np.minimum(np.arange(len(spans) + 1), n_lines).astype(np.int32) * bands
+        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+        numbers = pa.array(paras + [None] * more, pa.int32())
+        starts = spans[:, 0] - np.array(begins)[owner]
+        return owner, numbers, pa.array(starts), pa.array(a), pa.array(b), lists, pa.array(norms + [None] * more, pa.string())
+
+    if bands and least < shingle:
+        raise ValueError("a line has the words of a shingle at least")
+    if passage and not shingle <= unit <= passage:
+        raise ValueError("a unit has the words of a shingle at least and of a passage at most")
+    pick = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
+    kind = pick.schema["id"].dataType.simpleString()
+    return pick.mapInArrow(run, f"id {kind}, para int, start long, a long, b long, bands array<long>, norm string")
 
 
 def linked(texts: list[str], similar: float, shingle: int, sides: list[int] | None = None) -> list[tuple[int, int]]:
@@ -170,12 +233,15 @@ class WordHashes(dict):
         return value
 
 
-def shingle_hashes(words: list[str], known: WordHashes, shingle: int) -> np.ndarray:
-    """A hash per run of ``shingle`` words."""
+def word_hashes(words: list[str], known: WordHashes) -> np.ndarray:
     if len(known) > KNOWN:
         known.clear()
-    own = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-    n = max(0, len(words) - shingle + 1)
+    return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+
+
+def mixed_runs(own: np.ndarray, shingle: int) -> np.ndarray:
+    """A hash per run of ``shingle`` words, from the words' own."""
+    n = max(0, len(own) - shingle + 1)
     out = np.zeros(n, np.uint64)
     for i in range(shingle):
         out = (out ^ (out >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + own[i : i + n]
@@ -183,6 +249,11 @@ def shingle_hashes(words: list[str], known: WordHashes, shingle: int) -> np.ndar
     return out ^ (out >> np.uint64(29))
 
 
+def shingle_hashes(words: list[str], known: WordHashes, shingle: int) -> np.ndarray:
+    """A hash per run of ``shingle`` words."""
+    return mixed_runs(word_hashes(words, known), shingle)
+
+
 def anchors(hashes: np.ndarray, n_words: int, passage: int, unit: int) -> np.ndarray:
     """Words at which units start: the least hash of each run of ``passage - unit + 1``, so equal passages start alike.
 
@@ -201,46 +272,19 @@ def anchors(hashes: np.ndarray, n_words: int, passage: int, unit: int) -> np.nda
     return found[np.diff(found, prepend=-1) > 0]
 
 
-def units(words: list[str], starts: np.ndarray, unit: int) -> list[tuple[int, str]]:
-    """``(start, norm)`` of the units; of equal ones that overlap (a text that repeats itself at once) the first only."""
+def apart(starts: list[int], runs: np.ndarray, unit: int, shingle: int) -> list[int]:
+    """``starts`` without units that overlap an equal one before them (a text that repeats itself at once)."""
+    if len(set(runs[starts].tolist())) == len(starts):  # no two begin alike
+        return starts
     out, ends = [], {}
-    for start in starts.tolist():
-        norm = " ".join(words[start : start + unit])
+    for start in starts:
+        norm = runs[start : start + unit - shingle + 1].tobytes()
         if start >= ends.get(norm, 0):
-            out.append((start, norm))
+            out.append(start)
             ends[norm] = start + unit
     return out
 
 
-def passages(docs: DataFrame, id: str, text: str, shingle: int, passage: int, unit: int) -> DataFrame:
-    """``(id, start, key)`` of each text's units; ``key`` is the MD5 of its words in lower case with single spaces.
-
-    ``start`` counts the words of the whole text, line breaks or not, from 0; words are what white space parts.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
-        for batch in batches:
-            for at in range(0, len(batch), SLICE):
-                part = batch.slice(at, SLICE)
-                rows, starts, keys = [], [], []
-                for i, x in enumerate(part.column(1)):
-                    words = (x.as_py() or "").lower().split()
-                    found = anchors(shingle_hashes(words, known, shingle), len(words), passage, unit)
-                    for start, norm in units(words, found, unit):
-                        rows.append(i)
-                        starts.append(start)
-                        keys.append(hashlib.md5(norm.encode()).digest())
-                if rows:
-                    columns = [part.column(0).take(pa.array(rows)), pa.array(starts, pa.int64()), pa.array(keys, pa.binary())]
-                    yield pa.RecordBatch.from_arrays(columns, ["id", "start", "key"])
-
-    if not shingle <= unit <= passage:
-        raise ValueError("a unit has the words of a shingle at least and of a passage at most")
-    pick = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
-    return pick.mapInArrow(run, f"id {pick.schema['id'].dataType.simpleString()}, start long, key binary")
-
-
 def repeated_paragraphs(
     docs: DataFrame,
     id: str = "doc_id",
@@ -250,27 +294,40 @@ def repeated_paragraphs(
     rows: int = ROWS,
     recall: float = RECALL,
     block: int = BLOCK,
+    least: int | None = None,
+    within: bool = True,
 ) -> DataFrame:
     """``(id, para, keep_id, keep_para, group_size, kept)`` of every paragraph that is like another.
 
-    A paragraph is a line of ``shingle`` words or more. Two are linked if a band of their MinHashes is equal and their word
-    shingles have a Jaccard similarity of ``similar`` or more; groups are the components of links and equality. The first
-    paragraph of a group, by id and line, is kept; the others may be removed. Equal paragraphs count once
-    in all comparisons. NULL and empty texts have no paragraph; a NULL id comes last. A repeated row has
-    the same paragraphs twice: rows that tie with the kept one are kept too.
+    A paragraph is a line of ``least`` words or more (None: those of a shingle). Two are linked if a band of their MinHashes
+    is equal and their word shingles have a Jaccard similarity of ``similar`` or more; groups are the components of links and
+    equality. The first paragraph of a group, by id and line, is kept; the others may be removed. Equal paragraphs count once
+    in all comparisons. Without ``within``, a group whose members all stand in one document is left out. NULL and
+    empty texts have no paragraph; a NULL id comes last. A repeated row has the same paragraphs twice: rows that tie with the
+    kept one are kept too.
     """
-    bands = tuned(similar, rows, recall)
-    lines = paragraphs(docs, id, text, shingle)
-    all_rows = cut_lineage(banded(lines, bands, rows, shingle))
-    place = F.struct(F.col("id").isNull().alias("none"), "id", "para")
-    distinct = all_rows.groupBy("key").agg(F.first("bands").alias("bands"), F.min(place).alias("place"), F.count("*").alias("n"))
+    cut = cut_lineage(pieces(docs, id, text, shingle, least or shingle, tuned(similar, rows, recall), rows))
+    return _paragraph_groups(cut, similar, shingle, block, within)
+
+
+def _paragraph_groups(cut: DataFrame, similar: float, shingle: int, block: int, within: bool) -> DataFrame:
+    """Groups of the lines in ``cut``, a stored table of ``pieces``."""
+    lines = cut.filter("para is not null")
+    distinct = lines.groupBy("a", "b").agg(
+        F.first("bands").alias("bands"),
+        F.min(F.struct(F.col("id").isNull().alias("none"), "id", "para")).alias("place"),
+        F.max(F.struct(F.col("id").isNull().alias("none"), "id")).alias("last"),
+        F.count("*").alias("n"),
+    )
     distinct = cut_lineage(distinct.withColumn("pid", F.monotonically_increasing_id()))
 
     in_buckets = distinct.select("pid", F.explode("bands").alias("bucket"))
     sizes = cut_lineage(in_buckets.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1"))
     members = cut_lineage(in_buckets.join(sizes, "bucket"))
-    wanted = cut_lineage(members.select("pid").distinct().join(distinct.select("pid", "key"), "pid"))
-    norms = lines.select("key", "norm").join(sized(wanted), "key").groupBy("pid").agg(F.first("norm").alias("norm"))
+    wanted = distinct.join(members.select("pid").distinct(), "pid").select("pid", "a", "b", "place")
+    first = F.col("id").eqNullSafe(F.col("place.id")) & (F.col("para") == F.col("place.para"))
+    norms = lines.select("a", "b", "id", "para", "norm").join(sized(cut_lineage(wanted)), ["a", "b"]).filter(first)
+    norms = norms.groupBy("pid").agg(F.first("norm").alias("norm"))
     blocks = F.ceil(F.col("size") / block).cast("int")
     own = F.pmod(F.xxhash64("pid"), blocks).cast("int")
     members = members.select("bucket", "pid", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
@@ -283,11 +340,15 @@ def repeated_paragraphs(
 
     found = components(edges)
     named = distinct.join(found, distinct.pid == found.node, "left")
-    named = cut_lineage(named.select("key", "place", "n", F.coalesce("component", "pid").alias("component")))
-    groups = named.groupBy("component").agg(F.min("place").alias("keep"), F.sum("n").alias("group_size"))
-    groups = cut_lineage(groups.filter("group_size > 1"))
-    labels = cut_lineage(named.join(groups, "component").select("key", "keep", "group_size"))
-    return all_rows.join(labels, "key").select(
+    named = cut_lineage(named.select("a", "b", "place", "last", "n", F.coalesce("component", "pid").alias("component")))
+    groups = named.groupBy("component").agg(
+        F.min("place").alias("keep"), F.max("last").alias("last"), F.sum("n").alias("group_size")
+    )
+    groups = groups.filter("group_size > 1")
+    if not within:
+        groups = groups.filter(~F.col("keep.id").eqNullSafe(F.col("last.id")))
+    labels = cut_lineage(named.join(cut_lineage(groups.drop("last")), "component").select("a", "b", "keep", "group_size"))
+    return lines.select("id", "para", "a", "b").join(labels, ["a", "b"]).select(
         "id",
         "para",
         F.col("keep.id").alias("keep_id"),
@@ -298,7 +359,13 @@ def repeated_paragraphs(
 
 
 def repeated_passages(
-    docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, passage: int = PASSAGE, unit: int = UNIT
+    docs: DataFrame,
+    id: str = "doc_id",
+    text: str = "text",
+    shingle: int = SHINGLE,
+    passage: int = PASSAGE,
+    unit: int = UNIT,
+    within: bool = True,
 ) -> DataFrame:
     """``(id, start, end, keep_id, keep_start, keep_end, group_size, kept)`` of units of ``unit`` words that stand elsewhere too.
 
@@ -307,20 +374,52 @@ def repeated_passages(
     apart at most and may overlap; at either end of a passage up to as many words can be in none of its
     units. ``start`` and ``end`` (exclusive) count words. Units are equal but for case and white space: two of this length
     reach a Jaccard similarity of 0.8 only if they are shifted or differ in their outermost words. The
-    first of a group, by id and start, is kept; NULLs and repeated rows are as for paragraphs.
+    first of a group, by id and start, is kept; ``within``, NULLs and repeated rows are as for paragraphs.
     """
-    all_rows = cut_lineage(passages(docs, id, text, shingle, passage, unit))
-    place = F.struct(F.col("id").isNull().alias("none"), "id", "start")
-    groups = all_rows.groupBy("key").agg(F.min(place).alias("keep"), F.count("*").alias("group_size"))
-    groups = cut_lineage(groups.filter("group_size > 1"))
-    keep_id, keep_start = F.col("keep.id"), F.col("keep.start")
-    return all_rows.join(groups, "key").select(
+    cut = cut_lineage(pieces(docs, id, text, shingle, passage=passage, unit=unit))
+    return _passage_groups(cut, unit, within)
+
+
+def _passage_groups(cut: DataFrame, unit: int, within: bool) -> DataFrame:
+    """Groups of the units in ``cut``, a stored table of ``pieces``."""
+    found = cut.filter("para is null").select("a", "b", "id", "start")
+    # Counts and ends of ids first, which hash aggregation takes for numbers; places only of what stands twice.
+    groups = found.groupBy("a", "b").agg(
+        F.count("*").alias("group_size"), F.count("id").alias("named"), F.min("id").alias("keep_id"), F.max("id").alias("last")
+    )
+    groups = groups.filter("group_size > 1")
+    if not within:
+        groups = groups.filter("keep_id <> last or (named > 0 and named < group_size)")
+    all_rows = cut_lineage(found.join(groups.select("a", "b", "group_size", "keep_id"), ["a", "b"]))
+    of_keep = F.col("id").eqNullSafe(F.col("keep_id"))
+    starts = all_rows.filter(of_keep).groupBy("a", "b").agg(F.min("start").alias("keep_start"))
+    return all_rows.join(starts, ["a", "b"]).select(
         "id",
         "start",
         (F.col("start") + unit).alias("end"),
-        keep_id.alias("keep_id"),
-        keep_start.alias("keep_start"),
-        (keep_start + unit).alias("keep_end"),
+        "keep_id",
+        "keep_start",
+        (F.col("keep_start") + unit).alias("keep_end"),
         "group_size",
-        (F.col("id").eqNullSafe(keep_id) & (F.col("start") == keep_start)).alias("kept"),
+        (of_keep & (F.col("start") == F.col("keep_start"))).alias("kept"),
     )
+
+
+def repeated(
+    docs: DataFrame,
+    id: str = "doc_id",
+    text: str = "text",
+    shingle: int = SHINGLE,
+    similar: float = SIMILAR,
+    rows: int = ROWS,
+    recall: float = RECALL,
+    block: int = BLOCK,
+    least: int | None = None,
+    passage: int = PASSAGE,
+    unit: int = UNIT,
+    within: bool = True,
+) -> DataFrame:
+    """Rows of ``repeated_paragraphs`` and ``repeated_passages`` together, each text's words cut once; the other's columns are NULL."""
+    cut = cut_lineage(pieces(docs, id, text, shingle, least or shingle, tuned(similar, rows, recall), rows, passage, unit))
+    lines = _paragraph_groups(cut, similar, shingle, block, within)
+    return lines.unionByName(_passage_groups(cut, unit, within), allowMissingColumns=True)

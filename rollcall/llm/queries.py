@@ -27,6 +27,8 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 #: Segmentations of each document.
 N_BEST = 4
+#: Words of a line that counts as a paragraph; shorter ones (headings, list items, notices) are no copied text by themselves.
+LINE_WORDS = 20
 #: Shingle length and greatest bit distance of near copies.
 SHINGLE, BITS = 3, 2
 #: Tokens beyond which a document is marked.
@@ -106,9 +108,7 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS te
 
 def op5_paragraph_minhash(spark, sf_dir):
     """Lines (``para``), and passages wherever they stand in a text (words ``start`` to ``end``); the other columns are NULL."""
-    docs = documents(spark, sf_dir)
-    found = paragraph_minhash.repeated_paragraphs(docs)
-    found = found.unionByName(paragraph_minhash.repeated_passages(docs), allowMissingColumns=True)
+    found = paragraph_minhash.repeated(documents(spark, sf_dir), least=LINE_WORDS, within=False)
     return found.withColumnsRenamed({"id": "doc_id", "keep_id": "keep_doc_id"})
 
 

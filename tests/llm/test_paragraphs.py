@@ -1,15 +1,20 @@
 import random
 import re
 
+import numpy as np
+
 from rollcall.llm.paragraph_minhash import (
     WordHashes,
     anchors,
+    keys,
     linked,
+    repeated,
     repeated_paragraphs,
     repeated_passages,
     shingle_hashes,
     shingles,
     tuned,
+    word_hashes,
 )
 from llm_rows import ODD, prose
 
@@ -130,3 +135,38 @@ def test_passages_of_odd_rows(odd, none, docs_of):
     assert {r.id for r in got} == {7, 8, 9} and max(r.group_size for r in got) == 30_001 // 25 - 1
     assert {(r.keep_id, r.kept) for r in got if r.id == 9} == {(8, False)}
     assert repeated_passages(docs_of([prose(1, 49), prose(1, 49)])).collect() == []
+
+
+def test_numbers_tell_equal_pieces():
+    draw, known = random.Random(5), WordHashes()
+    words = [draw.choice("abcd") for _ in range(3000)]
+    own = word_hashes(words, known)
+    spans = np.array([(x, x + draw.randrange(1, 9)) for x in range(2900)])
+    a, b = keys(own, spans)
+    by_text, by_key = {}, {}
+    for (x, y), k in zip(spans.tolist(), zip(a.tolist(), b.tolist(), strict=True), strict=True):
+        by_text.setdefault(" ".join(words[x:y]), set()).add(k)
+        by_key.setdefault(k, set()).add(" ".join(words[x:y]))
+    assert all(len(x) == 1 for x in by_text.values()) and all(len(x) == 1 for x in by_key.values())
+
+
+def test_both_kinds_from_one_pass(docs_of, odd):
+    copied = prose(900, 60)
+    rows = [*corpus(30), (70, f"{prose(71, 40)} {copied}"), (71, f"{copied} {prose(72, 25)}"), (72, prose(73, 60))]
+    whole = lambda df, *names: sorted((tuple(r[c] for c in names) for r in df.collect()), key=repr)
+    line, unit = ("id", "para", "keep_id", "keep_para", "group_size", "kept"), ("id", "start", "keep_id", "keep_start", "group_size", "kept")
+    for docs in (docs_of(rows), odd):
+        both = repeated(docs).persist()
+        assert whole(both.filter("para is not null"), *line) == whole(repeated_paragraphs(docs), *line)
+        assert whole(both.filter("para is null"), *unit) == whole(repeated_passages(docs), *unit)
+        both.unpersist()
+
+
+def test_groups_within_one_document_and_short_lines(docs_of):
+    long, short, far = prose(1, 60), prose(2, 19), prose(3, 70)
+    rows = [(1, f"{long}\n{short}\n{long}"), (2, f"{far}\n{short}"), (3, far), (None, prose(4, 60)), (None, prose(4, 60))]
+    got = repeated(docs_of(rows), least=20, within=False).collect()
+    assert {(r.id, r.para, r.keep_id, r.group_size, r.kept) for r in got if r.para is not None} == {(2, 0, 2, 2, True), (3, 0, 2, 2, False)}
+    assert {r.id for r in got if r.para is None} == {2, 3}
+    got = repeated(docs_of(rows), least=20).collect()
+    assert {r.id for r in got if r.para is not None} == {r.id for r in got if r.para is None} == {1, 2, 3, None}

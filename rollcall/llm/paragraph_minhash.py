@@ -7,7 +7,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+from pandas.util import hash_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,8 +27,8 @@ FEW = 24
 PASSAGE, UNIT = 50, 25
 #: Odd factors and seeds of the two numbers by which equal pieces are known.
 KEYS = ((0xD1342543DE82EF95, 0x2545F4914F6CDD1D), (0xAF251AF3B0F025B5, 0x9E6C63D0876A9A47))
-#: Documents that a task cuts into units at a time, and words whose hashes a worker keeps.
-SLICE, KNOWN = 64, 1 << 18
+#: Documents that a task cuts at a time.
+SLICE = 64
 
 
 def tuned(similar: float = SIMILAR, rows: int = ROWS, recall: float = RECALL) -> int:
@@ -92,17 +92,16 @@ def pieces(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
         for batch in batches:
             for at in range(0, len(batch), SLICE):
                 part = batch.slice(at, SLICE)
-                if found := slice_pieces(part.column(1).to_pylist(), known):
+                if found := slice_pieces(part.column(1).to_pylist()):
                     owner, *columns = found
                     yield pa.RecordBatch.from_arrays(
                         [part.column(0).take(pa.array(owner)), *columns], ["id", "para", "start", "a", "b", "bands", "norm"]
                     )
 
-    def slice_pieces(texts: list[str | None], known: WordHashes):
+    def slice_pieces(texts: list[str | None]):
         words, begins, owner, paras, spans, norms = [], [], [], [], [], []
         for i, whole in enumerate(texts):
             begins.append(len(words))
@@ -117,7 +116,7 @@ def pieces(
         begins.append(len(words))
         if not words:
             return None
-        own = word_hashes(words, known)
+        own = word_hashes(words)
         runs = mixed_runs(own, shingle)
         n_lines = len(spans)
         for i, (begin, end) in enumerate(zip(begins, begins[1:], strict=False)) if passage else ():
@@ -225,18 +224,9 @@ def links(members: DataFrame, similar: float, shingle: int) -> DataFrame:
     return members.mapInArrow(run, "a long, b long")
 
 
-class WordHashes(dict):
-    """Hash by word, worked out when a word is first met."""
-
-    def __missing__(self, word: str) -> int:
-        self[word] = value = xxhash.xxh64_intdigest(word.encode(), SEED)
-        return value
-
-
-def word_hashes(words: list[str], known: WordHashes) -> np.ndarray:
-    if len(known) > KNOWN:
-        known.clear()
-    return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+def word_hashes(words: list[str]) -> np.ndarray:
+    """A hash per word, the same in every process."""
+    return hash_array(np.array(words, dtype=object), categorize=False)
 
 
 def mixed_runs(own: np.ndarray, shingle: int) -> np.ndarray:
@@ -249,11 +239,6 @@ def mixed_runs(own: np.ndarray, shingle: int) -> np.ndarray:
     return out ^ (out >> np.uint64(29))
 
 
-def shingle_hashes(words: list[str], known: WordHashes, shingle: int) -> np.ndarray:
-    """A hash per run of ``shingle`` words."""
-    return mixed_runs(word_hashes(words, known), shingle)
-
-
 def anchors(hashes: np.ndarray, n_words: int, passage: int, unit: int) -> np.ndarray:
     """Words at which units start: the least hash of each run of ``passage - unit + 1``, so equal passages start alike.
 

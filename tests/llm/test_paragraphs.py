@@ -4,14 +4,13 @@ import re
 import numpy as np
 
 from rollcall.llm.paragraph_minhash import (
-    WordHashes,
     anchors,
     keys,
     linked,
+    mixed_runs,
     repeated,
     repeated_paragraphs,
     repeated_passages,
-    shingle_hashes,
     shingles,
     tuned,
     word_hashes,
@@ -118,12 +117,11 @@ def test_passages_within_lines(docs_of):
 
 
 def test_every_shared_run_of_fifty_words_holds_a_shared_unit():
-    known = WordHashes()
     for seed in range(200):
         copied, starts = prose(seed, 50).split(), []
         for a, b in ((seed % 70, 33), (3 * seed % 80, 0)):
             words = [*prose(1000 + seed + a, a).split(), *copied, *prose(2000 + seed + a, b).split()]
-            at = anchors(shingle_hashes(words, known, 5), len(words), 50, 25)
+            at = anchors(mixed_runs(word_hashes(words), 5), len(words), 50, 25)
             starts.append({x - a for x in at.tolist() if 0 <= x - a <= 25})
         assert starts[0] & starts[1]
 
@@ -138,9 +136,9 @@ def test_passages_of_odd_rows(odd, none, docs_of):
 
 
 def test_numbers_tell_equal_pieces():
-    draw, known = random.Random(5), WordHashes()
+    draw = random.Random(5)
     words = [draw.choice("abcd") for _ in range(3000)]
-    own = word_hashes(words, known)
+    own = word_hashes(words)
     spans = np.array([(x, x + draw.randrange(1, 9)) for x in range(2900)])
     a, b = keys(own, spans)
     by_text, by_key = {}, {}

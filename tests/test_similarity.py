@@ -130,3 +130,42 @@ def test_blocks_split_on_size_of_texts(spark):
 def test_empty_dictionary_gives_no_match(spark):
     keys = spark.createDataFrame([("a",)], "key string")
     assert [tuple(r) for r in best_match(keys, dictionary(spark, []).limit(0)).collect()] == [("a", None, 0.0)]
+
+
+def changed(rnd, text, letters):
+    for _ in range(rnd.randint(0, 5)):
+        at = rnd.randint(0, len(text))
+        text = text[:at] + (rnd.choice(letters) if rnd.random() < 0.5 else "") + text[at + rnd.randint(0, 1) :]
+    return text
+
+
+@pytest.mark.parametrize("nodes", [1 << 20, 2000])
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_tree_finds_what_comparing_all_finds(seed, nodes, monkeypatch):
+    monkeypatch.setattr(lcs, "NODES", nodes)  # few nodes: many texts leave the walk
+    rnd = random.Random(seed)
+    base = texts(rnd, 40, (0, 1, 5, 20, 30, 63, 64, 65, 130, 300))
+    cands = [changed(rnd, rnd.choice(base), "abcde") for _ in range(300)] + ["", "", "abcd", "abcd"]
+    names = [changed(rnd, rnd.choice(base), "abcdez") for _ in range(120)] + texts(rnd, 10)
+    ords = list(range(len(cands)))
+    rnd.shuffle(ords)
+    for floor in (None, np.array([rnd.choice([-1.0, 60.0, 90.0, 100.0]) for _ in names])):
+        want = lcs.BestMatch(cands, ords).find(names, floor)
+        found = lcs.Tree(cands, ords, rows=37, chars=1000).find(names, floor)
+        assert np.array_equal(found[0], want[0]) and np.array_equal(found[1], want[1])
+
+
+def test_a_tree_of_many_names_looks_at_few_of_them(monkeypatch):
+    seen, walked = [], []
+    real = np.repeat
+    monkeypatch.setattr(lcs.Tree, "_compare", lambda self, texts, which, *_: seen.append(len(which)))
+    cands = [f"{i * 7:07d} customer" for i in range(20_000)]
+    names = [f"{i * 131 + 3:07d} customer" for i in range(300)]
+    tree = lcs.Tree(cands, range(len(cands)))
+    monkeypatch.setattr(lcs.np, "repeat", lambda a, fan: walked.append(len(a)) or real(a, fan))
+    row, sim = tree.find(names)
+    monkeypatch.undo()
+    assert (row >= 0).all() and sum(seen) == 0
+    assert sum(walked) < len(names) * len(cands) / 10
+    want = lcs.BestMatch(cands, range(len(cands))).find(names[:40])
+    assert np.array_equal(want[0], row[:40]) and np.array_equal(want[1], sim[:40])

@@ -12,10 +12,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rollcall.session import cut_lineage
 
-#: Labelled documents per label that are fitted on, and pairs drawn from them.
-FIT_ROWS = 4096
+#: Pairs that ``fit`` draws from the rows it is given.
 PAIRS = 40_000
+#: Documents of the more frequent label in a group whose good-bad pairs are all compared, and at least so many of the other.
+GROUP = 128
+OTHERS = 8
+#: Labels that are broadcast; with more of them the features are joined, not the texts.
+BROADCAST_LABELS = 1_000_000
+#: Strengths in one bin of a quantile that are looked at one by one.
+BIN_ROWS = 4096
 #: A document is predicted good from this score on; the threshold's quantile is mapped to it.
 GOOD = 0.3
 MARKS = "#*$%&|<>!?.,;:'\"()[]{}/\\_-+=@^~"
@@ -126,21 +133,23 @@ def _features_of(docs: DataFrame, also: list[str]) -> DataFrame:
     return docs.select(*also, "text").mapInArrow(run, f"{kinds}, x array<double>")
 
 
-def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "label", rows: int = FIT_ROWS) -> Model:
-    """Fit on up to ``rows`` documents of each label (0 and 1), the first by a hash of their id.
+def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "label", rows: int | None = None) -> Model:
+    """Fit on all documents with a label (0 or 1); with ``rows``, on up to so many of each label, the first by a hash of their id.
 
     Labels that are NULL or something else, ids without a document and documents without a label
     do not count; a repeated label counts as often as it is there. The quantile of the threshold
-    is the share of label 0 among all labels. Only the bounded sample's features reach the driver.
+    is the share of label 0 among all labels. Features stay in stored tables: only sums and counts reach the driver.
     """
     known = labels.select(F.col(id).alias("id"), F.col(label).cast("int").alias("y")).filter("y IN (0, 1) AND id IS NOT NULL")
     counts = dict(known.groupBy("y").count().collect())
+    texts = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
+    if rows is None:
+        return _fit_all(texts, known, counts)
     picked = None
     for y in (0, 1):
         own = known.filter(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(rows)
         picked = own if picked is None else picked.union(own)
-    texts = docs.select(F.col(id).alias("id"), F.col(text).alias("text")).join(F.broadcast(picked), "id")
-    got = _features_of(texts, ["id", "y"]).orderBy("id", "y").toArrow()
+    got = _features_of(texts.join(F.broadcast(picked), "id"), ["id", "y"]).orderBy("id", "y").toArrow()
     x = np.array(got["x"].to_pylist(), np.float64).reshape(-1, N_FEATURES)
     y = np.array(got["y"].to_pylist(), np.int64)
     if not len(y):
@@ -148,6 +157,151 @@ def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
     return fit(x, y, counts.get(0, 0) / sum(counts.values()))
 
 
+def _fit_all(texts: DataFrame, known: DataFrame, counts: dict[int, int]) -> Model:
+    """As ``fit``, over stored tables: every labelled document is in pairs, and counts for the mean, the scale and the cut."""
+    if sum(counts.values()) <= BROADCAST_LABELS:
+        data = _features_of(texts.join(F.broadcast(known), "id"), ["id", "y"])
+    else:
+        data = _features_of(texts.filter("id IS NOT NULL"), ["id"]).join(known, "id").select("id", "y", "x")
+    data = cut_lineage(data)
+    total, mean, square = _moments(data)
+    n = dict(data.groupBy("y").count().collect())
+    if not total:
+        return Model(np.zeros(N_FEATURES), np.ones(N_FEATURES), np.zeros(N_FEATURES))
+    model = Model(mean, np.sqrt(square / total) + 1e-6, np.zeros(N_FEATURES))
+    if len(n) < 2:
+        return model
+    model = Model(model.mean, model.scale, _weights(cut_lineage(_groups(data, n, model))))
+
+    def strengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array(model.strength(_matrix(batch.column("x"))))], ["y", "s"])
+
+    strength = cut_lineage(data.mapInArrow(strengths, "y int, s double"))
+    share = counts.get(0, 0) / sum(counts.values())
+    cut = sum(_crossing(strength, {0: share / n[0], 1: (1 - share) / n[1]}, share)) / 2
+    at, after = _crossing(strength.select("y", F.abs(F.col("s") - cut).alias("s")), {0: 1 / total, 1: 1 / total}, 0.5)
+    median = at if total % 2 else (at + after) / 2
+    return Model(model.mean, model.scale, model.weights, cut, float(3 / (median + 1e-9)))
+
+
+def _matrix(lists: pa.Array) -> np.ndarray:
+    return lists.flatten().to_numpy(zero_copy_only=False).reshape(-1, N_FEATURES)
+
+
+def _moments(data: DataFrame) -> tuple[int, np.ndarray, np.ndarray]:
+    """Rows, mean and sum of squared deviations of ``x``: worked out by batch, and batches put together."""
+
+    def merge(a, b):
+        n = a[0] + b[0]
+        step = b[1] - a[1]
+        return n, a[1] + step * (b[0] / n), a[2] + b[2] + step**2 * (a[0] * b[0] / n)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = (0, np.zeros(N_FEATURES), np.zeros(N_FEATURES))
+        for batch in batches:
+            x = _matrix(batch.column("x"))
+            if len(x):
+                held = merge(held, (len(x), x.mean(axis=0), x.var(axis=0) * len(x)))
+        yield pa.RecordBatch.from_pydict({"n": [held[0]], "mean": [held[1].tolist()], "square": [held[2].tolist()]})
+
+    held = (0, np.zeros(N_FEATURES), np.zeros(N_FEATURES))
+    for n, mean, square in data.select("x").mapInArrow(run, "n long, mean array<double>, square array<double>").collect():
+        if n:
+            held = merge(held, (n, np.array(mean), np.array(square)))
+    return held
+
+
+def _groups(data: DataFrame, n: dict[int, int], model: Model) -> DataFrame:
+    """``(group, good, bad)``: standardised features of documents whose pairs are all compared.
+
+    A hash of the id chooses the group. Of a rare label a document is in several groups, and the first one in all,
+    so that every document meets one of the other label.
+    """
+    rare = 0 if n[0] < n[1] else 1
+    groups = -(-n[1 - rare] // GROUP)
+    times = min(groups, -(-OTHERS * groups // n[rare]))
+    hashed = F.pmod(F.xxhash64("id", F.lit(7)), F.lit(groups))
+    first = data.filter(F.col("y") == rare).agg(F.min_by("id", F.struct(F.xxhash64("id"), "id"))).first()[0]
+    copies = (
+        F.when(F.col("y") != rare, F.array(hashed))
+        .when(F.col("id") == F.lit(first), F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long")))
+        .otherwise(F.transform(F.sequence(F.lit(0).cast("long"), F.lit(times - 1).cast("long")), lambda j: F.pmod(hashed + F.floor(j * groups / times), F.lit(groups)).cast("long")))
+    )
+    mean, scale = model.mean, model.scale
+
+    def gather(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("id", "ascending")])
+        z = np.clip((np.array(table["x"].combine_chunks().flatten()).reshape(-1, N_FEATURES) - mean) / scale, -10, 10)
+        y = table["y"].to_numpy()
+        kind = pa.list_(pa.float64())
+        return pa.table({"good": pa.array([z[y == 1].ravel()], kind), "bad": pa.array([z[y == 0].ravel()], kind)})
+
+    return data.withColumn("group", F.explode(copies)).groupBy("group").applyInArrow(gather, "good array<double>, bad array<double>")
+
+
+def _weights(groups: DataFrame, penalty: float = 1e-3) -> np.ndarray:
+    """Newton's method on the logistic loss of all pairs within the groups; a step is one pass that sums up slopes and bends."""
+    k = N_FEATURES
+    w = np.zeros(k)
+    for _ in range(30):
+        here = w.copy()
+
+        def run(batches: Iterator[pa.RecordBatch], w=here) -> Iterator[pa.RecordBatch]:
+            pairs, slope, bend = 0, np.zeros(k), np.zeros((k, k))
+            for batch in batches:
+                for good, bad in zip(batch.column("good"), batch.column("bad"), strict=True):
+                    good, bad = (np.asarray(side.values).reshape(-1, k) for side in (good, bad))
+                    win = 1 / (1 + np.exp(-np.clip((good @ w)[:, None] - (bad @ w)[None, :], -30, 30)))
+                    pairs += win.size
+                    slope += (win - 1).sum(axis=1) @ good - (win - 1).sum(axis=0) @ bad
+                    win *= 1 - win
+                    both = good.T @ win @ bad
+                    bend += (good.T * win.sum(axis=1)) @ good + (bad.T * win.sum(axis=0)) @ bad - both - both.T
+            yield pa.RecordBatch.from_pydict({"sums": [[pairs, *slope, *bend.ravel()]]}, pa.schema([("sums", pa.list_(pa.float64()))]))
+
+        sums = sum(np.array(r.sums) for r in groups.mapInArrow(run, "sums array<double>").toLocalIterator())
+        pairs, slope, bend = sums[0], sums[1 : k + 1], sums[k + 1 :].reshape(k, k)
+        step = np.linalg.solve(bend / pairs + penalty * np.eye(k), slope / pairs + penalty * w)
+        w = w - step
+        if np.abs(step).max() < 1e-6:
+            break
+    return w
+
+
+def _crossing(values: DataFrame, weight: dict[int, float], share: float) -> tuple[float, float]:
+    """The value ``s``, in ascending order, at which the rows' weights by ``y`` reach ``share``, and the one behind it.
+
+    Bins are counted, and the bin with the crossing is cut into bins again, until its rows are few or all alike.
+    """
+    low, high = values.agg(F.min("s"), F.max("s")).first()
+    passed, behind, bins = 0.0, None, 1000
+    while True:
+        wide = high - low
+        place = F.least(F.floor((F.col("s") - low) / (wide if wide > 0 else 1.0) * bins), F.lit(bins)).cast("int")
+        binned = values.withColumn("bin", place)
+        each = binned.groupBy("bin").agg(F.min("s").alias("low"), F.max("s").alias("high"), F.count_if(F.col("y") == 0).alias("n0"), F.count_if(F.col("y") == 1).alias("n1"))
+        each = each.orderBy("bin").collect()
+        for i, b in enumerate(each):
+            own = b.n0 * weight[0] + b.n1 * weight[1]
+            if passed + own >= share - 1e-9 or i == len(each) - 1:
+                break
+            passed += own
+        if i + 1 < len(each):
+            behind = each[i + 1].low
+        values, low, high = binned.filter(F.col("bin") == b.bin).drop("bin"), b.low, b.high
+        if low == high:
+            # All alike: behind the last row that is needed comes another one, or the next bin.
+            last = b.n0 + b.n1 == 1 or passed + own - (weight[1] if b.n1 else weight[0]) < share - 1e-9
+            return low, behind if last and behind is not None else low
+        if b.n0 + b.n1 <= BIN_ROWS:
+            rows = sorted(tuple(r) for r in values.select("s", "y").collect())
+            reached = passed + np.cumsum([weight[y] for _, y in rows])
+            at = min(int(np.searchsorted(reached, share - 1e-9)), len(rows) - 1)
+            after = rows[at + 1][0] if at + 1 < len(rows) else behind
+            return rows[at][0], rows[at][0] if after is None else after
+
+
 def scored(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``(id, score)`` of every row, NULL and empty texts too (all features zero); other columns are left behind."""
 

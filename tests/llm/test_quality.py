@@ -1,6 +1,7 @@
 import numpy as np
 import pytest
 
+from rollcall.llm import bradley_terry
 from rollcall.llm.bradley_terry import GOOD, N_FEATURES, Model, features, fit, keep_good, scored, train
 from llm_rows import ODD, prose
 
@@ -98,3 +99,57 @@ def test_fit_minimises_the_pair_loss_and_cuts_at_the_quantile():
     under = weight[model.score(x) < GOOD].sum()  # weighed as the labels are, the share of bad ones scores under the threshold
     assert abs(under - share) <= weight.max() + 1e-9
     assert (np.diff(model.score(x)[np.argsort(strength)]) >= -1e-12).all()
+
+
+def all_pairs_slope(model, good, bad, penalty=1e-3):
+    z = [np.clip((np.array([features(t) for t in side]) - model.mean) / model.scale, -10, 10) for side in (good, bad)]
+    lose = 1 - 1 / (1 + np.exp(-((z[0] @ model.weights)[:, None] - (z[1] @ model.weights)[None, :])))
+    return -(lose.sum(axis=1) @ z[0] - lose.sum(axis=0) @ z[1]) / lose.size + penalty * model.weights
+
+
+def test_every_labelled_document_counts(spark):
+    good = [(i, prose(i, 40 + i % 50) + (" ! " * (i % 3))) for i in range(100)]
+    bad = [(1000 + i, junk(i) if i % 2 else prose(500 + i, 30) + " ! # ") for i in range(70)]
+    docs = spark.createDataFrame(good + bad, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i, _ in good] + [(i, 0) for i, _ in bad], "doc_id long, label int")
+    model = train(docs, labels)
+    x = np.array([features(t) for _, t in good + bad])
+    assert np.allclose(model.mean, x.mean(axis=0)) and np.allclose(model.scale, x.std(axis=0) + 1e-6)
+    assert np.abs(all_pairs_slope(model, [t for _, t in good], [t for _, t in bad])).max() < 1e-6
+    strength = model.strength(x)
+    share, y = 70 / 170, np.r_[np.ones(100), np.zeros(70)]
+    order = np.argsort(strength, kind="stable")
+    at = int(np.searchsorted(np.cumsum(np.full(170, 1 / 170)), share - 1e-9))
+    assert model.cut == pytest.approx(strength[order[[at, at + 1]]].mean()) and len(y) == 170
+    assert model.slope == pytest.approx(3 / (np.median(np.abs(strength - model.cut)) + 1e-9))
+
+
+def test_groups_hold_every_document_and_both_labels(spark, tables, monkeypatch):
+    docs, labels = tables
+    monkeypatch.setattr(bradley_terry, "GROUP", 8)
+    monkeypatch.setattr(bradley_terry, "OTHERS", 2)
+    monkeypatch.setattr(bradley_terry, "BROADCAST_LABELS", 0)
+    known = labels.filter("doc_id < 1000 OR doc_id > 1055").selectExpr("doc_id AS id", "label AS y")  # 90 good ones, 4 bad ones
+    data = bradley_terry._features_of(docs.withColumnRenamed("doc_id", "id").join(known, "id"), ["id", "y"])
+    plain = Model(np.zeros(N_FEATURES), np.ones(N_FEATURES), np.zeros(N_FEATURES))
+    rows = bradley_terry._groups(data, {1: 90, 0: 4}, plain).collect()
+    assert len(rows) > 5 and all(r.good and r.bad for r in rows)
+    sides = [{tuple(np.round(x, 9)) for r in rows for x in np.reshape(r[side], (-1, N_FEATURES))} for side in ("good", "bad")]
+    want = [{tuple(np.round(np.clip(r.x, -10, 10), 9)) for r in data.filter(f"y = {y}").collect()} for y in (1, 0)]
+    assert sides == want
+    rows = scored(docs, train(docs, labels)).collect()
+    assert all((r.score >= GOOD) == (r.id < 1000) for r in rows)
+
+
+@pytest.mark.parametrize("n", [1, 2, 7, 300])
+def test_crossing_of_many_values(spark, n, monkeypatch):
+    monkeypatch.setattr(bradley_terry, "BIN_ROWS", 3)
+    draw = np.random.default_rng(n)
+    s, y = np.round(draw.normal(size=n) ** 3, 2), draw.integers(0, 2, n)
+    values = spark.createDataFrame(list(zip(y.tolist(), s.tolist())), "y int, s double")
+    for share in (0.0, 0.3, 0.5, 1.0):
+        weight = {0: share / max(1, (y == 0).sum()), 1: (1 - share) / max(1, (y == 1).sum())}
+        order = np.lexsort((y, s))
+        reached = np.cumsum([weight[v] for v in y[order]])
+        at = min(int(np.searchsorted(reached, share - 1e-9)), n - 1)
+        assert bradley_terry._crossing(values, weight, share) == (s[order[at]], s[order[min(at + 1, n - 1)]])

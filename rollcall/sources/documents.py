@@ -6,6 +6,8 @@ order behind each other, and readers take it apart at its commas.
 
 from __future__ import annotations
 
+import math
+
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -22,6 +24,8 @@ cloudpickle.register_pickle_by_value(feed_json)  # executors need no copy of thi
 MOST_COMMAS = 100_000
 #: Elements of a document whose groups are found in one window.
 RANGE_BITS = 17
+#: Rows that one task sorts or gathers: they are few bytes when shuffled, so adaptive execution would merge them into few tasks.
+TASK_ROWS = 100_000
 ELEMENT = (
     StructType().add("bad", BooleanType()).add("key", StringType()).add("value", StringType()).add("opens", BooleanType())
     .add("closes", BooleanType()).add("ends", BooleanType())
@@ -59,8 +63,13 @@ def write_document(lists: DataFrame, path: str, group: str = "league", ascii_onl
     pieces.select(group, "part", text.alias("value")).orderBy(group, "part").select("value").write.mode("overwrite").text(path)
 
 
-def _chunks(spark: SparkSession, path: str, one: bool) -> DataFrame:
-    """``(doc, number, block, n, first, value, quotes)``: what stands between commas, numbered within its block of a file."""
+def dealt(df: DataFrame, rows: int, *by: str) -> DataFrame:
+    """``df`` of so many ``rows`` in as many tasks as they need, by the columns ``by``."""
+    return df.repartition(max(1, math.ceil(rows / TASK_ROWS)), *by)
+
+
+def _chunks(spark: SparkSession, path: str, one: bool) -> tuple[DataFrame, int]:
+    """``(doc, number, block, n, value, quotes, size)``: what stands between commas, numbered within its block of a file; its rows."""
     read = spark.read.option("lineSep", ",").text(path).select("value", "_metadata", F.monotonically_increasing_id().alias("at"))
     file = F.col("_metadata.file_path")
     number = F.coalesce(F.expr("try_cast(regexp_extract(_metadata.file_name, 'part-([0-9]+)', 1) AS BIGINT)"), F.lit(0).cast("long"))
@@ -74,11 +83,14 @@ def _chunks(spark: SparkSession, path: str, one: bool) -> DataFrame:
         F.col("_metadata.file_size").alias("size"),
         "at",
     )
+    chunks = cut_lineage(chunks)
+    rows = chunks.count()
     segment = Window.partitionBy("doc", "number", "block").orderBy("at")
-    return cut_lineage(chunks.withColumn("n", F.row_number().over(segment)).drop("at"))
+    numbered = dealt(chunks, rows, "doc", "number", "block").withColumn("n", F.row_number().over(segment))
+    return cut_lineage(numbered.drop("at")), rows
 
 
-def _elements(chunks: DataFrame) -> DataFrame:
+def _elements(chunks: DataFrame, rows: int) -> DataFrame:
     """``chunks`` with ``id``, from 1, of the element of their document to which they belong.
 
     A comma parts two elements where an even number of quotes stands in front of it. Quotes are summed up within
@@ -88,11 +100,11 @@ def _elements(chunks: DataFrame) -> DataFrame:
     ahead = segment.rowsBetween(Window.unboundedPreceding, -1)
     inside = F.coalesce(F.sum("quotes").over(ahead), F.lit(0)) % 2
     comma = ~((F.col("block") == 0) & (F.col("n") == 1))  # nothing but a file's first chunk has no comma in front
-    marked = chunks.withColumns({"inside": inside, "comma": comma})
+    marked = dealt(chunks, rows, "doc", "number", "block").withColumns({"inside": inside, "comma": comma})
     count = lambda state: F.sum((F.col("comma") & (F.col("inside") == state)).cast("long"))
     blocks = marked.groupBy("doc", "number", "block").agg(F.sum("quotes").alias("q"), count(0).alias("even"), count(1).alias("odd"))
     before = Window.partitionBy("doc").orderBy("number", "block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("state", F.coalesce(F.sum("q").over(before), F.lit(0)) % 2)
+    blocks = dealt(blocks, rows, "doc").withColumn("state", F.coalesce(F.sum("q").over(before), F.lit(0)) % 2)
     starts = F.when(F.col("state") == 0, F.col("even")).otherwise(F.col("odd"))
     blocks = blocks.withColumn("starts", starts).withColumn("passed", F.coalesce(F.sum("starts").over(before), F.lit(0)))
     joined = marked.join(blocks.select("doc", "number", "block", "state", "passed"), ["doc", "number", "block"])
@@ -119,16 +131,16 @@ def read_long_documents(spark: SparkSession, path: str, one: bool = False) -> tu
         done = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
         if not done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
             raise FileNotFoundError(f"{path} holds no document that was written to its end")
-    chunks = _chunks(spark, path, one)
+    chunks, rows = _chunks(spark, path, one)
     # A comma at the very end of a file is in no chunk; the file's length tells it.
     files = chunks.groupBy("doc", "number").agg(F.sum(F.octet_length("value") + F.lit(1).cast("long")).alias("bytes"), F.max("size").alias("size"))
     cut_off = files.filter(F.col("bytes") != F.col("size") + 1).select("doc")
-    elements = cut_lineage(_elements(chunks))
+    elements = cut_lineage(_elements(chunks, rows))
     endless = elements.groupBy("doc", "id").agg(F.count("*").alias("k")).filter(F.col("k") > MOST_COMMAS).select("doc")
     early = cut_lineage(cut_off.union(endless).distinct())
     parts = F.array_sort(F.collect_list(F.struct("number", "block", "n", "comma", "value")))
     rest = F.transform(F.expr("slice(parts, 2, size(parts))"), lambda p: F.concat(F.when(p["comma"], ",").otherwise(""), p["value"]))
-    whole = elements.join(early, "doc", "left_anti").groupBy("doc", "id").agg(parts.alias("parts"))
+    whole = dealt(elements.join(early, "doc", "left_anti"), rows, "doc", "id").groupBy("doc", "id").agg(parts.alias("parts"))
     text = F.concat(F.col("parts")[0]["value"], F.array_join(rest, ""))
     read = whole.select("doc", "id", F.explode(F.array(_read_element(text))).alias("e")).select("doc", "id", "e.*")
     read = cut_lineage(read)
@@ -148,13 +160,13 @@ def read_long_documents(spark: SparkSession, path: str, one: bool = False) -> tu
     groups = groups.drop("place").join(last, ["doc", "league"])
     group = F.when(F.col("list").isNotNull(), F.struct("id", "league", "place", (F.col("id") == F.col("list")).alias("counts"))).alias("group")
     span = F.shiftright("id", RANGE_BITS).alias("span")
-    named = good.select("doc", "id", "value").join(groups, ["doc", "id"], "left").select("doc", "id", "value", span, group)
+    named = dealt(good.select("doc", "id", "value"), rows, "doc", "id").join(groups, ["doc", "id"], "left").select("doc", "id", "value", span, group)
     named = cut_lineage(named)
     spans = named.groupBy("doc", "span").agg(F.max("group").alias("own"))
     earlier = Window.partitionBy("doc").orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
-    spans = spans.select("doc", "span", F.last("own", ignorenulls=True).over(earlier).alias("carried"))
+    spans = dealt(spans, rows, "doc").select("doc", "span", F.last("own", ignorenulls=True).over(earlier).alias("carried"))
     here = Window.partitionBy("doc", "span").orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
-    held = named.withColumn("here", F.last("group", ignorenulls=True).over(here)).join(spans, ["doc", "span"])
+    held = dealt(named, rows, "doc", "span").withColumn("here", F.last("group", ignorenulls=True).over(here)).join(spans, ["doc", "span"])
     held = held.withColumn("of", F.coalesce("here", "carried")).filter(F.col("value").isNotNull() & F.col("of.counts"))
     names = held.select(
         "doc", (F.col("of.place") - 1).alias("league_ord"), F.col("of.league").alias("league"), (F.col("id") - F.col("of.id")).alias("name_ord"), F.col("value").alias("name")

@@ -128,3 +128,22 @@ def test_no_names_give_an_empty_document(spark, tmp_path):
     write_document(lists(spark, {"A": ["x"]}, 5).limit(0), path)
     found, bad = read_long_documents(spark, path, one=True)
     assert json.loads(concatenated(path)) == {} and found.count() == bad.count() == 0
+
+
+def test_many_documents_are_dealt_out_by_their_rows(spark, tmp_path, monkeypatch):
+    """Rows and documents of one task stay bounded, however well they compress: adaptive execution may not merge them."""
+    monkeypatch.setattr(documents, "TASK_ROWS", 40)
+    docs = {str(i): {f"g{i % 3}": [f"n{i}", "a, b"], "h": ["x"] * (i % 4)} for i in range(60)}
+    for name, doc in docs.items():
+        (tmp_path / f"{name}.json").write_text(json.dumps(doc) if int(name) % 5 else json.dumps(doc)[:-1])
+    plans = []
+    real = documents.cut_lineage
+    monkeypatch.setattr(documents, "cut_lineage", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or real(df))
+    names, bad = read_long_documents(spark, str(tmp_path))
+    of = F.regexp_extract("doc", "([0-9]+).json", 1)
+    got = sorted((r.d, r.league, r.name_ord, r.name) for r in names.withColumn("d", of).collect())
+    assert got == sorted((k, g, j, n) for k, d in docs.items() if int(k) % 5 for g, ns in d.items() for j, n in enumerate(ns))
+    assert sorted(int(r[0]) for r in bad.select(of).collect()) == list(range(0, 60, 5))
+    # A window over rows or blocks sorts what it was dealt; only those over counted ranges are left to Spark.
+    dealt = [line for text in plans[1:3] for line in text.splitlines() if "Exchange" in line and "doc#" in line]
+    assert sum("REPARTITION_BY_NUM" in line for line in dealt) >= 3

@@ -22,7 +22,7 @@ from rollcall.operators.ranking import first_k, gold_ranking, ordered_lists
 from rollcall.operators.resolve import master, match_exact, missed_keys, resolve, review
 from rollcall.plans.medallion import medallion, run
 from rollcall.session import cut_lineage, scratch_path
-from rollcall.sources.documents import read_long_documents, write_document
+from rollcall.sources.documents import dealt, read_long_documents, write_document
 from rollcall.sources.feeds import (
     explode_feed,
     feed_documents,
@@ -195,7 +195,7 @@ def json_documents_read(spark, sf_dir):
 
 def json_long_quarantine(spark, sf_dir):
     """Landed files, one per hundred parts, taken apart at their commas; one in five is cut off or goes on behind its end."""
-    names = cleaned(spark, sf_dir).withColumn("doc", F.expr("ord div 100"))
+    names = dealt(cleaned(spark, sf_dir).withColumn("doc", F.expr("ord div 100")), table(spark, sf_dir, "part").count(), "doc")
     lists = names.groupBy("doc", "league").agg(F.array_sort(F.collect_list(F.struct("ord", "name"))).alias("l"))
     entries = F.array_sort(F.collect_list(F.struct("league", F.col("l.name").alias("names"))))
     body = F.to_json(F.map_from_entries(entries))
@@ -204,7 +204,7 @@ def json_long_quarantine(spark, sf_dir):
         "body", F.when(way == 3, F.expr("left(body, length(body) - 2)")).when(way == 7, F.concat("body", F.lit("[]"))).otherwise(F.col("body"))
     )
     path = scratch_path(spark, "documents")
-    docs.repartition("doc").write.partitionBy("doc").text(path)
+    docs.write.partitionBy("doc").text(path)
     names, bad = read_long_documents(spark, path)
     of = F.regexp_extract("doc", "doc=([0-9]+)", 1).cast("long").alias("doc")
     read = names.groupBy(of).agg(F.count(F.lit(1)).alias("n_names"), F.max("league_ord").alias("last_league"))

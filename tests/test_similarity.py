@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rollcall.functions import lcs
+from rollcall.operators import fuzzy
 from rollcall.operators.fuzzy import best_match, gate, score, similarity
 
 
@@ -169,3 +170,55 @@ def test_a_tree_of_many_names_looks_at_few_of_them(monkeypatch):
     assert sum(walked) < len(names) * len(cands) / 10
     want = lcs.BestMatch(cands, range(len(cands))).find(names[:40])
     assert np.array_equal(want[0], row[:40]) and np.array_equal(want[1], sim[:40])
+
+
+def test_blocks_are_copied_no_more_than_keys_meet_them(spark, tmp_path, monkeypatch):
+    log, real = str(tmp_path / "met"), fuzzy._best_in_block
+
+    def noted(keys, block, *levels):
+        with open(log, "a") as f:
+            f.write(f"{len(keys)} {len(block)}\n")
+        return real(keys, block, *levels)
+
+    monkeypatch.setattr(fuzzy, "_best_in_block", noted)
+    monkeypatch.setattr(fuzzy, "LEAST_KEYS", 1)
+    for name in ("COPIED_ROWS", "WAVE_SHARE"):
+        monkeypatch.setattr(fuzzy, name, 0, raising=False)
+    monkeypatch.setattr(fuzzy, "WAVE_PAIRS", 500, raising=False)
+    rnd = random.Random(5)
+    cands = sorted({" ".join(sorted(w.split())) for w in words(rnd, 300)})
+    names = sorted({changed(rnd, rnd.choice(cands), "abcdefgh").strip() for _ in range(400)} | {"x" * 70, "", "zzz"})
+    rows = best_match(spark.createDataFrame([(n,) for n in names], "key string"), dictionary(spark, cands), small_rows=1, block_rows=30)
+    got = {r.key: (r.best, r.sim) for r in rows.collect()}
+    sims = {n: lcs.pair_similarity([n] * len(cands), cands) for n in names}
+    assert got == {n: (cands[int(s.argmax())], s.max()) for n, s in sims.items()}
+    met = [tuple(map(int, line.split())) for line in open(log)]
+    pairs, copied = map(sum, zip(*met))
+    assert copied <= pairs + (len(lcs.LEVELS) + 2) * len(cands)
+    assert pairs < len(names) * len(cands) / 30 * 1.5
+
+
+@pytest.mark.parametrize("back", [False, True])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_routes_leave_out_no_block_that_holds_enough(seed, back):
+    rnd = random.Random(seed)
+    base = texts(rnd, 30, (0, 1, 5, 20, 30, 63, 64, 65, 130, 300))
+    cands = sorted({changed(rnd, rnd.choice(base), "abcde") for _ in range(200)} | {""}, key=lambda t: t[::-1] if back else t)
+    names = [changed(rnd, rnd.choice(base), "abcdez") for _ in range(60)] + texts(rnd, 10)
+    blocks = {i: cands[i : i + 20] for i in range(0, len(cands), 20)}
+    for most in (1, 3, 64):
+        covers = [(i, *c) for i, block in blocks.items() for c in lcs.cover(block, back, most)]
+        floor = np.array([rnd.choice([-1.0, 0.0, 40.0, 60.0, 80.0, 90.0, 97.0]) for _ in names])
+        text, block = lcs.Routes(*zip(*covers), back).find(names, floor)
+        asked = set(zip(text.tolist(), block.tolist()))
+        for i, name in enumerate(names):
+            for at, held in blocks.items():
+                assert (i, at) in asked or lcs.pair_similarity([name] * len(held), held).max() < floor[i]
+
+
+def test_routes_leave_out_blocks_of_other_names():
+    cands = sorted(f"{word} {i:05d}" for word in ("amber", "birch", "cedar", "daisy") for i in range(500))
+    blocks = {i: cands[i : i + 100] for i in range(0, len(cands), 100)}
+    covers = [(i, *c) for i, block in blocks.items() for c in lcs.cover(block, False)]
+    text, block = lcs.Routes(*zip(*covers), False).find([f"cedar {i:05d}" for i in range(7, 500, 20)], np.full(25, 97.0))
+    assert len(text) <= 2 * 25 and all(cands[i].startswith("cedar") for i in block)
